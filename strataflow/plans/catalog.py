@@ -128,3 +128,59 @@ def q_strata_distinct(spark, sf_dir):
 
 def _unused():  # keep imports referenced for linters
     return C, read_table, union_by_name
+
+
+# ---------------------------------------------------------------- sampling
+from ..operators import sampling as SA  # noqa: E402
+
+SAMPLE_FRACTION = 0.1       # stratified Bernoulli rate of the registered sample
+EXACT_SAMPLE_N = 1000       # total size of the exact proportional sample
+PLOT_SAMPLE_N = 2500        # target size of the plotting sample
+
+
+def strata_sample(spark, sf_dir):
+    return SA.stratified_sample(silver_strata(spark, sf_dir), fraction=SAMPLE_FRACTION, seed=42)
+
+
+def validation(spark, sf_dir):
+    return SA.sample_validation(silver_strata(spark, sf_dir), strata_sample(spark, sf_dir))
+
+
+@query("stratified_sample")
+def q_stratified_sample(spark, sf_dir):
+    return strata_sample(spark, sf_dir).select("event_id", "stratum")
+
+
+@query("stratified_exact")
+def q_stratified_exact(spark, sf_dir):
+    return SA.stratified_exact(silver_strata(spark, sf_dir), EXACT_SAMPLE_N, seed=42).select("event_id", "stratum")
+
+
+@query("plot_sample")
+def q_plot_sample(spark, sf_dir):
+    return SA.sample_to(prepared_trips(spark, sf_dir), PLOT_SAMPLE_N, seed=42).select("event_id")
+
+
+@query("train_test_split")
+def q_train_test_split(spark, sf_dir):
+    return SA.with_split(prepared_trips(spark, sf_dir)).select("event_id", "split")
+
+
+@query("split_balance")
+def q_split_balance(spark, sf_dir):
+    return SA.split_balance(SA.with_split(prepared_trips(spark, sf_dir)))
+
+
+@query("sample_validation")
+def q_sample_validation(spark, sf_dir):
+    return validation(spark, sf_dir)
+
+
+@query("sample_validation_long")
+def q_sample_validation_long(spark, sf_dir):
+    return SA.sample_validation_long(validation(spark, sf_dir))
+
+
+@query("max_deviation")
+def q_max_deviation(spark, sf_dir):
+    return SA.max_deviation(validation(spark, sf_dir))

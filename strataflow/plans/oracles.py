@@ -78,3 +78,48 @@ oracle("strata_counts", STRATA, "SELECT stratum, count(*) AS n FROM strata GROUP
 oracle("strata_shares", STRATA,
        "SELECT stratum, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM strata GROUP BY stratum")
 oracle("strata_distinct", STRATA, "SELECT count(DISTINCT stratum) AS n_strata FROM strata")
+
+# ---------------------------------------------------------------- sampling
+from ..functions.hashing import uniform_sql  # noqa: E402
+
+_U_STRATA = uniform_sql("event_id", "strata:42")
+_U_EXACT = uniform_sql("event_id", "exact:42")
+_U_PLOT = uniform_sql("event_id", "plot:42")
+_U_SPLIT = uniform_sql("event_id", "split:42")
+
+SAMPLE = STRATA + f""",
+smp AS (SELECT * FROM strata WHERE {_U_STRATA} < 0.1::DOUBLE),
+validation AS (
+  SELECT p.stratum, p.n_pop, coalesce(s.n_sample, 0) AS n_sample, p.share_pop,
+         coalesce(s.share_sample, 0.0::DOUBLE) AS share_sample,
+         abs(p.share_pop - coalesce(s.share_sample, 0.0::DOUBLE)) AS abs_err
+  FROM (SELECT stratum, count(*) AS n_pop, count(*) / sum(count(*)) OVER () AS share_pop
+        FROM strata GROUP BY stratum) p
+  LEFT JOIN (SELECT stratum, count(*) AS n_sample, count(*) / sum(count(*)) OVER () AS share_sample
+             FROM smp GROUP BY stratum) s USING (stratum))"""
+
+oracle("stratified_sample", SAMPLE, "SELECT event_id, stratum FROM smp")
+oracle("sample_validation", SAMPLE, "SELECT * FROM validation")
+oracle("sample_validation_long", SAMPLE, """SELECT stratum, 'population' AS source, share_pop AS share FROM validation
+UNION ALL SELECT stratum, 'sample' AS source, share_sample AS share FROM validation""")
+oracle("max_deviation", SAMPLE, "SELECT max(abs_err) AS max_abs_err FROM validation")
+
+oracle("stratified_exact", STRATA + f""",
+cnt AS (SELECT stratum, count(*) AS c, sum(count(*)) OVER () AS total FROM strata GROUP BY stratum),
+alloc0 AS (SELECT stratum, (1000 * c) // total AS base, (1000 * c) % total AS rem,
+                  least(1000, total) - sum((1000 * c) // total) OVER () AS lft FROM cnt),
+alloc AS (SELECT stratum, base + CASE WHEN row_number() OVER (ORDER BY rem DESC, stratum) <= lft THEN 1 ELSE 0 END AS n_i
+          FROM alloc0),
+ranked AS (SELECT event_id, stratum,
+                  row_number() OVER (PARTITION BY stratum ORDER BY {_U_EXACT}, event_id) AS rk FROM strata)""",
+       "SELECT r.event_id, r.stratum FROM ranked r JOIN alloc a USING (stratum) WHERE r.rk <= a.n_i")
+
+oracle("plot_sample", PREPARED + """,
+tot AS (SELECT count(*) AS n FROM prepared)""",
+       f"SELECT event_id FROM prepared, tot WHERE {_U_PLOT} < least(1.0::DOUBLE, greatest(0.0::DOUBLE, 2500 / tot.n))")
+
+SPLIT = PREPARED + f""",
+labelled AS (SELECT *, CASE WHEN {_U_SPLIT} < 0.7::DOUBLE / 1.0::DOUBLE THEN 'train' ELSE 'test' END AS split FROM prepared)"""
+oracle("train_test_split", SPLIT, "SELECT event_id, split FROM labelled")
+oracle("split_balance", SPLIT, """SELECT split, count(*) AS n,
+  avg(CASE WHEN pay_class = 'card' THEN 1.0 ELSE 0.0 END)::DOUBLE AS positive_share FROM labelled GROUP BY split""")
