@@ -184,3 +184,76 @@ def q_sample_validation_long(spark, sf_dir):
 @query("max_deviation")
 def q_max_deviation(spark, sf_dir):
     return SA.max_deviation(validation(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- exploration
+from ..operators import explore as EX  # noqa: E402
+
+QUANTILE_PROBS = (0.25, 0.5, 0.75, 0.99)
+BOX_COLUMNS = ("trip_distance", "fare_amount", "trip_duration_min")
+
+
+def assigned_trips(spark, sf_dir):
+    """Prepared trips with a fixed cluster assignment (afternoon = 1), so
+    cluster statistics are checked exactly without fitting a model."""
+    return prepared_trips(spark, sf_dir).withColumn(
+        "prediction", (F.hour("tpep_pickup_datetime") >= 12).cast("int"))
+
+
+@query("quantiles")
+def q_quantiles(spark, sf_dir):
+    q = EX.quantiles(prepared_trips(spark, sf_dir), C.HISTOGRAM_COLUMNS, QUANTILE_PROBS)
+    return q.select("column_name", "q", F.round("value", 6).alias("value"))
+
+
+@query("quantile_clip")
+def q_quantile_clip(spark, sf_dir):
+    return EX.quantile_clip(prepared_trips(spark, sf_dir), ["trip_distance", "fare_amount"], 0.99).select("event_id")
+
+
+@query("histogram")
+def q_histogram(spark, sf_dir):
+    h = EX.histogram(prepared_trips(spark, sf_dir), C.HISTOGRAM_COLUMNS, bins=40)
+    return h.select("column_name", "bin", F.round("bin_lo", 6).alias("bin_lo"),
+                    F.round("bin_hi", 6).alias("bin_hi"), "n")
+
+
+@query("kde")
+def q_kde(spark, sf_dir):
+    return EX.kde(prepared_trips(spark, sf_dir), "trip_distance", grid_points=200)
+
+
+@query("density_grid")
+def q_density_grid(spark, sf_dir):
+    clipped = EX.quantile_clip(prepared_trips(spark, sf_dir), ["trip_distance", "fare_amount"], 0.99)
+    return EX.density_grid(clipped, "trip_distance", "fare_amount", by=["pay_class"], bins=50)
+
+
+@query("correlation_matrix")
+def q_correlation(spark, sf_dir):
+    m = EX.correlation_matrix(prepared_trips(spark, sf_dir), C.EDA_COLUMNS)
+    return m.select("col_a", "col_b", F.round("r", 4).alias("r"))
+
+
+@query("zone_pay_share")
+def q_zone_pay_share(spark, sf_dir):
+    return EX.group_share(prepared_trips(spark, sf_dir), "pickup_zone", "pay_class")
+
+
+@query("cluster_profile")
+def q_cluster_profile(spark, sf_dir):
+    return EX.cluster_profile(assigned_trips(spark, sf_dir))
+
+
+@query("cluster_zscores")
+def q_cluster_zscores(spark, sf_dir):
+    means = EX.cluster_means(assigned_trips(spark, sf_dir), C.CLUSTER_FEATURES)
+    z = EX.cluster_zscores(means, C.CLUSTER_FEATURES)
+    return z.select("prediction", "column_name", F.round("mean", 4).alias("mean"), F.round("z", 4).alias("z"))
+
+
+@query("box_stats")
+def q_box_stats(spark, sf_dir):
+    b = EX.box_stats(assigned_trips(spark, sf_dir), "prediction", BOX_COLUMNS, clip_q=0.99)
+    return b.select("prediction", "column_name", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")],
+                    "n", "whisker_lo", "whisker_hi", "n_outliers")

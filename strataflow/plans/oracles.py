@@ -123,3 +123,85 @@ labelled AS (SELECT *, CASE WHEN {_U_SPLIT} < 0.7::DOUBLE / 1.0::DOUBLE THEN 'tr
 oracle("train_test_split", SPLIT, "SELECT event_id, split FROM labelled")
 oracle("split_balance", SPLIT, """SELECT split, count(*) AS n,
   avg(CASE WHEN pay_class = 'card' THEN 1.0 ELSE 0.0 END)::DOUBLE AS positive_share FROM labelled GROUP BY split""")
+
+# ---------------------------------------------------------------- exploration
+_HIST = ["trip_distance", "fare_amount", "trip_duration_min", "pickup_hour"]
+_EDA = ["trip_distance", "fare_amount", "trip_duration_min", "pickup_hour", "passenger_count",
+        "tolls_amount", "congestion_surcharge"]
+_CLUS = ["trip_distance", "fare_amount", "trip_duration_min", "pickup_hour", "passenger_count"]
+_BOX = ["trip_distance", "fare_amount", "trip_duration_min"]
+
+
+def _long(cols, src="prepared", keep=""):
+    return "\nUNION ALL\n".join(
+        f"SELECT {keep}'{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM {src}" for c in cols)
+
+
+oracle("quantiles", PREPARED + f""",
+long AS ({_long(_HIST)})""", """SELECT column_name, q, round(CASE q WHEN 0.25 THEN q25 WHEN 0.5 THEN q50
+  WHEN 0.75 THEN q75 ELSE q99 END, 6) AS value
+FROM (SELECT column_name, quantile_cont(value, 0.25) AS q25, quantile_cont(value, 0.5) AS q50,
+             quantile_cont(value, 0.75) AS q75, quantile_cont(value, 0.99) AS q99 FROM long GROUP BY column_name),
+     (SELECT unnest([0.25, 0.5, 0.75, 0.99]::DOUBLE[]) AS q)""")
+
+CLIPPED = PREPARED + """,
+cut AS (SELECT quantile_cont(trip_distance, 0.99) AS qd, quantile_cont(fare_amount, 0.99) AS qf FROM prepared),
+clipped AS (SELECT prepared.* FROM prepared, cut WHERE trip_distance < qd AND fare_amount < qf)"""
+oracle("quantile_clip", CLIPPED, "SELECT event_id FROM clipped")
+
+oracle("histogram", PREPARED + f""",
+long AS ({_long(_HIST)}),
+mm AS (SELECT column_name, min(value) AS lo, max(value) AS hi FROM long GROUP BY column_name),
+binned AS (SELECT l.column_name, m.lo, (m.hi - m.lo) / 40.0::DOUBLE AS w,
+    CAST(CASE WHEN m.hi = m.lo THEN 0 ELSE least(floor((l.value - m.lo) / (m.hi - m.lo) * 40.0::DOUBLE), 39) END AS INTEGER) AS bin
+  FROM long l JOIN mm m USING (column_name) WHERE l.value IS NOT NULL)""",
+       """SELECT column_name, bin, round(lo + bin * w, 6) AS bin_lo, round(lo + (bin + 1) * w, 6) AS bin_hi, count(*) AS n
+FROM binned GROUP BY column_name, bin, lo, w""")
+
+oracle("density_grid", CLIPPED + """,
+mm AS (SELECT min(trip_distance) AS xl, max(trip_distance) AS xh, min(fare_amount) AS yl, max(fare_amount) AS yh FROM clipped)""",
+       """SELECT pay_class,
+  CAST(CASE WHEN xh = xl THEN 0 ELSE least(floor((trip_distance - xl) / (xh - xl) * 50.0::DOUBLE), 49) END AS INTEGER) AS x_bin,
+  CAST(CASE WHEN yh = yl THEN 0 ELSE least(floor((fare_amount - yl) / (yh - yl) * 50.0::DOUBLE), 49) END AS INTEGER) AS y_bin,
+  count(*) AS n
+FROM clipped, mm GROUP BY ALL""")
+
+_pairs = []
+for _a in _EDA:
+    for _b in _EDA:
+        if _a == _b:
+            _pairs.append(f"SELECT '{_a}' AS col_a, '{_b}' AS col_b, CASE WHEN stddev_samp({_a}::DOUBLE) > 0 THEN 1.0::DOUBLE END AS r FROM prepared")
+        else:
+            _pairs.append(f"SELECT '{_a}' AS col_a, '{_b}' AS col_b, round(CASE WHEN stddev_samp({_a}::DOUBLE) > 0 AND stddev_samp({_b}::DOUBLE) > 0 "
+                          f"THEN covar_samp({_a}::DOUBLE, {_b}::DOUBLE) / (stddev_samp({_a}::DOUBLE) * stddev_samp({_b}::DOUBLE)) END, 4) AS r FROM prepared")
+oracle("correlation_matrix", PREPARED, "\nUNION ALL\n".join(_pairs))
+
+oracle("zone_pay_share", PREPARED, """SELECT pickup_zone, pay_class, count(*) AS n,
+  count(*) / sum(count(*)) OVER (PARTITION BY pickup_zone) AS share FROM prepared GROUP BY pickup_zone, pay_class""")
+
+ASSIGNED = PREPARED + """,
+assigned AS (SELECT *, CAST(hour(tpep_pickup_datetime) >= 12 AS INTEGER) AS prediction FROM prepared)"""
+oracle("cluster_profile", ASSIGNED, """SELECT prediction, count(*) AS n,
+  round(avg(trip_distance), 2) AS avg_distance, round(avg(fare_amount), 2) AS avg_fare,
+  round(avg(trip_duration_min), 1) AS avg_duration_min, round(avg(pickup_hour), 1) AS avg_hour,
+  round(avg(passenger_count), 2) AS avg_passengers FROM assigned GROUP BY prediction ORDER BY prediction""")
+
+oracle("cluster_zscores", ASSIGNED + f""",
+means AS (SELECT prediction, {", ".join(f"avg({c}::DOUBLE) AS {c}" for c in _CLUS)} FROM assigned GROUP BY prediction),
+long AS ({_long(_CLUS, "means", "prediction, ")})""",
+       """SELECT prediction, column_name, round(value, 4) AS mean,
+  round(CASE WHEN stddev_pop(value) OVER w > 0 THEN (value - avg(value) OVER w) / stddev_pop(value) OVER w END, 4) AS z
+FROM long WINDOW w AS (PARTITION BY column_name)""")
+
+oracle("box_stats", ASSIGNED + f""",
+cut AS (SELECT {", ".join(f"quantile_cont({c}, 0.99) AS q_{c}" for c in _BOX)} FROM assigned),
+long AS ({chr(10).join(("UNION ALL " if i else "") + f"SELECT prediction, '{c}' AS column_name, CAST({c} AS DOUBLE) AS value FROM assigned, cut WHERE {c} < q_{c}" for i, c in enumerate(_BOX))}),
+qs AS (SELECT prediction, column_name, quantile_cont(value, 0.25) AS q1, quantile_cont(value, 0.5) AS median,
+              quantile_cont(value, 0.75) AS q3 FROM long GROUP BY ALL),
+f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM qs)""",
+       """SELECT prediction, column_name, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
+  count(*) AS n,
+  min(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END) AS whisker_lo,
+  max(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END) AS whisker_hi,
+  CAST(sum(CASE WHEN value >= lo_fence AND value <= hi_fence THEN 0 ELSE 1 END) AS BIGINT) AS n_outliers
+FROM long JOIN f USING (prediction, column_name) GROUP BY prediction, column_name, q1, median, q3""")
