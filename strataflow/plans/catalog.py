@@ -257,3 +257,170 @@ def q_box_stats(spark, sf_dir):
     b = EX.box_stats(assigned_trips(spark, sf_dir), "prediction", BOX_COLUMNS, clip_q=0.99)
     return b.select("prediction", "column_name", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")],
                     "n", "whisker_lo", "whisker_hi", "n_outliers")
+
+
+# ---------------------------------------------------------------- features
+from pyspark.ml.feature import StringIndexer  # noqa: E402
+
+from ..functions.hashing import uniform  # noqa: E402
+from ..operators import metrics as ME  # noqa: E402
+from ..operators import models as MO  # noqa: E402
+from ..session import checkpointed  # noqa: E402
+
+
+def indexed(spark, sf_dir):
+    """Prepared trips with the label index (frequency desc, ties alphabetical)."""
+    df = prepared_trips(spark, sf_dir)
+    model = FE.label_indexer("pay_class", "label").fit(df)
+    return model.transform(df), list(model.labels)
+
+
+@query("label_index")
+def q_label_index(spark, sf_dir):
+    df, labels = indexed(spark, sf_dir)
+    counts = df.groupBy("pay_class").agg(F.count(F.lit(1)).alias("n"))
+    lab = F.array(*[F.lit(x) for x in labels])
+    return counts.withColumn("label", (F.array_position(lab, F.col("pay_class")) - 1).cast("double"))
+
+
+@query("one_hot")
+def q_one_hot(spark, sf_dir):
+    df = prepared_trips(spark, sf_dir)
+    cols = []
+    idx, ohe = FE.categorical_stages(C.CATEGORICAL_FEATURES)
+    from pyspark.ml import Pipeline
+    model = Pipeline(stages=idx + ohe).fit(df)
+    out = model.transform(df)
+    for c, im in zip(C.CATEGORICAL_FEATURES, model.stages[:len(idx)]):
+        arr = FE.vector_to_array(F.col(f"{c}_ohe"))
+        cols += [arr[i].alias(f"{c}_ohe_{lab}") for i, lab in enumerate(im.labels)]
+    return out.select("event_id", *cols)
+
+
+@query("feature_matrix")
+def q_feature_matrix(spark, sf_dir):
+    df = prepared_trips(spark, sf_dir)
+    out = FE.fit_features(df).transform(df)
+    return FE.vector_columns(out, "features", FE.feature_names(out), keep=["event_id"])
+
+
+@query("feature_names")
+def q_feature_names(spark, sf_dir):
+    df = prepared_trips(spark, sf_dir)
+    out = FE.fit_features(df).transform(df.limit(0))
+    names = FE.feature_names(out)
+    return spark.createDataFrame([(i, n) for i, n in enumerate(names)], "idx int, name string")
+
+
+def scaled(spark, sf_dir):
+    df = prepared_trips(spark, sf_dir)
+    return FE.fit_scaler(df, C.CLUSTER_FEATURES).transform(df)
+
+
+@query("standard_scale")
+def q_standard_scale(spark, sf_dir):
+    names = [f"{c}_scaled" for c in C.CLUSTER_FEATURES]
+    out = FE.vector_columns(scaled(spark, sf_dir), "features_scaled", names, keep=["event_id"])
+    return out.select("event_id", *[F.round(n, 6).alias(n) for n in names])
+
+
+# ---------------------------------------------------------------- metrics on a fixed score / assignment
+def fixed_scores(spark, sf_dir):
+    """Label index plus a deterministic tie-heavy score for the positive
+    class (card): round(u, 2); prediction = card when score >= 0.5."""
+    df, labels = indexed(spark, sf_dir)
+    pos = float(labels.index(C.CARD))
+    neg = 1.0 - pos
+    sc = F.round(uniform("event_id", "score:42"), 2)
+    return (df.withColumn("score", sc)
+              .withColumn("prediction", F.when(F.col("score") >= 0.5, F.lit(pos)).otherwise(F.lit(neg)))), pos
+
+
+@query("confusion_matrix")
+def q_confusion(spark, sf_dir):
+    df, _ = fixed_scores(spark, sf_dir)
+    return ME.confusion_matrix(df, "label", "prediction", (0.0, 1.0))
+
+
+@query("accuracy")
+def q_accuracy(spark, sf_dir):
+    df, _ = fixed_scores(spark, sf_dir)
+    return ME.classification_metrics(df).select(F.round("accuracy", 10).alias("accuracy"))
+
+
+@query("weighted_f1")
+def q_weighted_f1(spark, sf_dir):
+    df, _ = fixed_scores(spark, sf_dir)
+    return ME.classification_metrics(df).select(F.round("weighted_f1", 6).alias("weighted_f1"))
+
+
+@query("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    df, pos = fixed_scores(spark, sf_dir)
+    return ME.roc_curve(df, "score", "label", pos)
+
+
+@query("auc")
+def q_auc(spark, sf_dir):
+    df, pos = fixed_scores(spark, sf_dir)
+    return ME.auc_from_roc(ME.roc_curve(df, "score", "label", pos)).select(F.round("auc", 10).alias("auc"))
+
+
+def scaled_assigned(spark, sf_dir):
+    names = [f"{c}_scaled" for c in C.CLUSTER_FEATURES]
+    df = scaled(spark, sf_dir).withColumn("prediction", (F.hour("tpep_pickup_datetime") >= 12).cast("int"))
+    return FE.vector_columns(df, "features_scaled", names, keep=["event_id", "prediction"]), names
+
+
+@query("silhouette")
+def q_silhouette(spark, sf_dir):
+    df, names = scaled_assigned(spark, sf_dir)
+    return ME.silhouette(df, names).select(F.round("silhouette", 6).alias("silhouette"))
+
+
+@query("wssse")
+def q_wssse(spark, sf_dir):
+    df, names = scaled_assigned(spark, sf_dir)
+    return ME.wssse(df, names).select(F.round("wssse", 4).alias("wssse"))
+
+
+# ---------------------------------------------------------------- models (rows-only checks)
+def forest_run(spark, sf_dir):
+    from ..operators.sampling import with_split
+    data = checkpointed(with_split(prepared_trips(spark, sf_dir)))
+    train = data.filter(F.col("split") == "train")
+    test = data.filter(F.col("split") == "test")
+    model = MO.fit_forest(train)
+    return model, MO.score(model, test)
+
+
+@query("rf_predictions")
+def q_rf_predictions(spark, sf_dir):
+    _, pred = forest_run(spark, sf_dir)
+    return pred.select("event_id", "label", "prediction", "prob_positive")
+
+
+@query("feature_importance")
+def q_feature_importance(spark, sf_dir):
+    model, pred = forest_run(spark, sf_dir)
+    return MO.feature_importance(model, pred)
+
+
+def sweep(spark, sf_dir):
+    data = checkpointed(scaled(spark, sf_dir).select("event_id", "features_scaled"))
+    return data, MO.kmeans_sweep(data, "features_scaled", range(2, 8), seed=42, dims=len(C.CLUSTER_FEATURES))
+
+
+@query("kmeans_sweep")
+def q_kmeans_sweep(spark, sf_dir):
+    _, (table, _, _) = sweep(spark, sf_dir)
+    return table
+
+
+@query("kmeans_assign")
+def q_kmeans_assign(spark, sf_dir):
+    data, (_, model, _) = sweep(spark, sf_dir)
+    return model.transform(data).select("event_id", "prediction")
+
+
+_ = StringIndexer

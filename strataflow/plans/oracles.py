@@ -205,3 +205,81 @@ f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fen
   max(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END) AS whisker_hi,
   CAST(sum(CASE WHEN value >= lo_fence AND value <= hi_fence THEN 0 ELSE 1 END) AS BIGINT) AS n_outliers
 FROM long JOIN f USING (prediction, column_name) GROUP BY prediction, column_name, q1, median, q3""")
+
+# ---------------------------------------------------------------- features
+INDEXED = PREPARED + """,
+li AS (SELECT pay_class, count(*) AS n, CAST(row_number() OVER (ORDER BY count(*) DESC, pay_class) - 1 AS DOUBLE) AS label
+       FROM prepared GROUP BY pay_class),
+indexed AS (SELECT p.*, li.label FROM prepared p JOIN li USING (pay_class))"""
+oracle("label_index", INDEXED, "SELECT pay_class, n, label FROM li")
+
+_ZONES = ["other", "manhattan", "airport"]
+_DAYS = ["weekday", "weekend"]
+_OHE = ", ".join([f"CASE WHEN pickup_zone = '{z}' THEN 1.0 ELSE 0.0 END::DOUBLE AS pickup_zone_ohe_{z}" for z in _ZONES]
+                 + [f"CASE WHEN day_type = '{d}' THEN 1.0 ELSE 0.0 END::DOUBLE AS day_type_ohe_{d}" for d in _DAYS])
+oracle("one_hot", PREPARED, f"SELECT event_id, {_OHE} FROM prepared")
+_NUMF = ["trip_distance", "fare_amount", "extra", "mta_tax", "tolls_amount", "improvement_surcharge",
+         "congestion_surcharge", "passenger_count", "trip_duration_min", "pickup_hour", "pickup_dow"]
+oracle("feature_matrix", PREPARED,
+       f"SELECT event_id, {', '.join(f'CAST({c} AS DOUBLE) AS {c}' for c in _NUMF)}, {_OHE} FROM prepared")
+oracle("feature_names", PREPARED, "\nUNION ALL\n".join(
+    [f"SELECT {i} AS idx, '{c}' AS name" for i, c in enumerate(_NUMF)]
+    + ["SELECT CAST(10 + row_number() OVER (ORDER BY count(*) DESC, pickup_zone) AS INTEGER) AS idx, "
+       "'pickup_zone_ohe_' || pickup_zone AS name FROM prepared GROUP BY pickup_zone",
+       "SELECT CAST(13 + row_number() OVER (ORDER BY count(*) DESC, day_type) AS INTEGER) AS idx, "
+       "'day_type_ohe_' || day_type AS name FROM prepared GROUP BY day_type"]))
+
+SCALED = PREPARED + f""",
+mom AS (SELECT {", ".join(f"avg({c}::DOUBLE) AS m_{c}, stddev_samp({c}::DOUBLE) AS s_{c}" for c in _CLUS)} FROM prepared),
+scaled AS (SELECT event_id, CAST(hour(tpep_pickup_datetime) >= 12 AS INTEGER) AS prediction,
+  {", ".join(f"CASE WHEN s_{c} > 0 THEN ({c} - m_{c}) / s_{c} ELSE 0.0 END AS {c}_scaled" for c in _CLUS)}
+  FROM prepared, mom)"""
+oracle("standard_scale", SCALED,
+       f"SELECT event_id, {', '.join(f'round({c}_scaled, 6) AS {c}_scaled' for c in _CLUS)} FROM scaled")
+
+# ---------------------------------------------------------------- metrics on a fixed score / assignment
+_U_SCORE = uniform_sql("event_id", "score:42")
+SCORED = INDEXED + f""",
+pos AS (SELECT label AS pos FROM li WHERE pay_class = 'card'),
+scored AS (SELECT i.*, round({_U_SCORE}, 2) AS score,
+  CASE WHEN round({_U_SCORE}, 2) >= 0.5 THEN pos.pos ELSE 1.0 - pos.pos END AS prediction FROM indexed i, pos)"""
+oracle("confusion_matrix", SCORED, """SELECT label,
+  CAST(count(*) FILTER (WHERE prediction = 0.0) AS BIGINT) AS pred_0,
+  CAST(count(*) FILTER (WHERE prediction = 1.0) AS BIGINT) AS pred_1
+FROM scored GROUP BY label ORDER BY label""")
+CLS = SCORED + """,
+cells AS (SELECT label, prediction, count(*) AS n FROM scored GROUP BY ALL),
+pl AS (SELECT label AS c, sum(n) AS n_true, sum(CASE WHEN label = prediction THEN n ELSE 0 END) AS tp FROM cells GROUP BY label),
+pp AS (SELECT prediction AS c, sum(n) AS n_pred FROM cells GROUP BY prediction),
+pr AS (SELECT n_true, tp, CASE WHEN coalesce(n_pred, 0) > 0 THEN tp / n_pred ELSE 0.0 END AS p,
+              CASE WHEN n_true > 0 THEN tp / n_true ELSE 0.0 END AS r FROM pl LEFT JOIN pp USING (c))"""
+oracle("accuracy", CLS, "SELECT round(sum(tp) / sum(n_true), 10) AS accuracy FROM pr")
+oracle("weighted_f1", CLS, """SELECT round(sum(n_true * CASE WHEN p + r > 0 THEN 2.0 * p * r / (p + r) ELSE 0.0 END) / sum(n_true), 6)
+  AS weighted_f1 FROM pr""")
+ROC = SCORED + """,
+ps AS (SELECT score, CAST(sum(CASE WHEN label = (SELECT pos FROM pos) THEN 1 ELSE 0 END) AS BIGINT) AS pos,
+              CAST(sum(CASE WHEN label = (SELECT pos FROM pos) THEN 0 ELSE 1 END) AS BIGINT) AS neg
+       FROM scored GROUP BY score),
+roc AS (SELECT score, pos, neg,
+  CAST(sum(pos) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp,
+  CAST(sum(neg) OVER (ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS fp,
+  sum(pos) OVER () AS P, sum(neg) OVER () AS N FROM ps)"""
+oracle("roc_curve", ROC, "SELECT score, pos, neg, tp, fp, tp / P AS tpr, fp / N AS fpr FROM roc")
+oracle("auc", ROC, "SELECT round(sum(neg * (2.0 * tp - pos)) / (2.0 * sum(pos) * sum(neg)), 10) AS auc FROM roc")
+
+CSTATS = SCALED + f""",
+cs AS (SELECT prediction AS cid, count(*) AS n,
+  sum({" + ".join(f"{c}_scaled * {c}_scaled" for c in _CLUS)}) AS q,
+  {", ".join(f"sum({c}_scaled) AS s_{c}" for c in _CLUS)} FROM scaled GROUP BY prediction),
+d AS (SELECT x.event_id, x.prediction, cs.cid, cs.n,
+  ({" + ".join(f"x.{c}_scaled * x.{c}_scaled" for c in _CLUS)})
+   - 2.0 * ({" + ".join(f"x.{c}_scaled * cs.s_{c}" for c in _CLUS)}) / cs.n + cs.q / cs.n AS dist
+  FROM scaled x, cs),
+pt AS (SELECT event_id,
+  max(CASE WHEN cid = prediction THEN dist * n / (n - 1.0) END) AS a,
+  max(CASE WHEN cid = prediction THEN n END) AS n_own,
+  min(CASE WHEN cid <> prediction THEN dist END) AS b FROM d GROUP BY event_id)"""
+oracle("silhouette", CSTATS, """SELECT round(avg(CASE WHEN n_own <= 1 THEN 0.0 WHEN a < b THEN 1.0 - a / b
+  WHEN a > b THEN b / a - 1.0 ELSE 0.0 END), 6) AS silhouette FROM pt""")
+oracle("wssse", CSTATS, f"""SELECT round(sum({" + ".join(f"({c}_scaled - s_{c} / n) * ({c}_scaled - s_{c} / n)" for c in _CLUS)}), 4) AS wssse
+FROM scaled JOIN cs ON scaled.prediction = cs.cid""")
