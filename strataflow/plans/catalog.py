@@ -385,9 +385,20 @@ def q_wssse(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- models (rows-only checks)
+MODEL_SAMPLE_N = 50_000     # the study's sample M: models fit on M, not on all of D
+
+
+def sample_m(spark, sf_dir):
+    """Sample M: stratified proportional sample of Silver (target 50,000
+    rows, as in the study), then features, null fill and rules F9-F11.
+    Checkpointed so iterative fits never replay the scan and sampling."""
+    m = SA.stratified_sample(silver_strata(spark, sf_dir), n=MODEL_SAMPLE_N, seed=42)
+    return checkpointed(FE.prepared(m))
+
+
 def forest_run(spark, sf_dir):
     from ..operators.sampling import with_split
-    data = checkpointed(with_split(prepared_trips(spark, sf_dir)))
+    data = with_split(sample_m(spark, sf_dir))
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
     model = MO.fit_forest(train)
@@ -407,7 +418,8 @@ def q_feature_importance(spark, sf_dir):
 
 
 def sweep(spark, sf_dir):
-    data = checkpointed(scaled(spark, sf_dir).select("event_id", "features_scaled"))
+    m = sample_m(spark, sf_dir)
+    data = checkpointed(FE.fit_scaler(m, C.CLUSTER_FEATURES).transform(m).select("event_id", "features_scaled"))
     return data, MO.kmeans_sweep(data, "features_scaled", range(2, 8), seed=42, dims=len(C.CLUSTER_FEATURES))
 
 
