@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
@@ -29,10 +29,15 @@ def proportional_fraction(n_target: int, n_total: int) -> float:
     return max(0.0, min(1.0, n_target / n_total))
 
 
+def sample_flag(fraction: float, seed: int = 42, row_key: str = "event_id", purpose: str = "strata") -> Column:
+    """The Bernoulli membership test as a boolean Column (u(row_key) < fraction)."""
+    return uniform(row_key, salt_for(purpose, seed)) < F.lit(float(fraction))
+
+
 def bernoulli(df: DataFrame, fraction: float, seed: int = 42, row_key: str = "event_id",
               purpose: str = "sample") -> DataFrame:
     """Keep rows with u(row_key) < fraction."""
-    return df.filter(uniform(row_key, salt_for(purpose, seed)) < F.lit(float(fraction)))
+    return df.filter(sample_flag(fraction, seed, row_key, purpose))
 
 
 def stratified_sample(df: DataFrame, key: str = STRATUM, n: int | None = None,
@@ -166,19 +171,32 @@ def split_balance(df: DataFrame, split_col: str = "split", cls: str = "pay_class
 
 
 # ---------------------------------------------------------------- validation
-def sample_validation(population: DataFrame, sample: DataFrame, key: str = STRATUM) -> DataFrame:
+def sample_validation(population: DataFrame, sample: DataFrame | None = None, key: str = STRATUM,
+                      in_sample: Column | None = None) -> DataFrame:
     """Population vs sample share per stratum with absolute error.
 
-    Both sides are aggregated first (one row per stratum), so the join is
-    between two tiny tables; AQE broadcasts the sample side at run time.
+    With ``in_sample`` (a membership Column of a hash sample of
+    ``population``) both counts come from ONE scan and one aggregation.
+    With a separate ``sample`` frame both sides are aggregated first (one
+    row per stratum), so the join is between two tiny tables; AQE
+    broadcasts the sample side at run time.
     """
     w = Window.partitionBy()
+    if in_sample is not None:
+        c = population.groupBy(key).agg(F.count(F.lit(1)).alias("n_pop"),
+                                         F.sum(in_sample.cast("long")).alias("n_sample"))
+        v = c.select(key, "n_pop", "n_sample",
+                     (F.col("n_pop") / F.sum("n_pop").over(w)).alias("share_pop"),
+                     F.coalesce(F.try_divide(F.col("n_sample"), F.sum("n_sample").over(w)),
+                                F.lit(0.0)).alias("share_sample"))
+        return v.withColumn("abs_err", F.abs(F.col("share_pop") - F.col("share_sample")))
     pop = population.groupBy(key).agg(F.count(F.lit(1)).alias("n_pop"))
     pop = pop.withColumn("share_pop", F.col("n_pop") / F.sum("n_pop").over(w))
     smp = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n_sample"))
     smp = smp.withColumn("share_sample", F.col("n_sample") / F.sum("n_sample").over(w))
     v = pop.join(smp, key, "left").fillna(0, ["n_sample"]).fillna(0.0, ["share_sample"])
-    return v.withColumn("abs_err", F.abs(F.col("share_pop") - F.col("share_sample")))
+    return v.select(key, "n_pop", "n_sample", "share_pop", "share_sample",
+                    F.abs(F.col("share_pop") - F.col("share_sample")).alias("abs_err"))
 
 
 def sample_validation_long(v: DataFrame, key: str = STRATUM) -> DataFrame:

@@ -143,7 +143,9 @@ def strata_sample(spark, sf_dir):
 
 
 def validation(spark, sf_dir):
-    return SA.sample_validation(silver_strata(spark, sf_dir), strata_sample(spark, sf_dir))
+    """Population vs the registered stratified sample, both counted in one scan."""
+    return SA.sample_validation(silver_strata(spark, sf_dir),
+                                in_sample=SA.sample_flag(SAMPLE_FRACTION, seed=42, purpose="strata"))
 
 
 @query("stratified_sample")

@@ -59,6 +59,13 @@ def test_exact_sample_hits_allocation_and_buckets_agree(spark, sf01):
     assert {r[0] for r in many.select("event_id").collect()} == {r[0] for r in one.select("event_id").collect()}
 
 
+def test_validation_one_scan_equals_two_frames(spark, sf01):
+    base = _silver(spark, sf01)
+    a = SA.sample_validation(base, SA.stratified_sample(base, fraction=0.1)).orderBy("stratum").collect()
+    b = SA.sample_validation(base, in_sample=SA.sample_flag(0.1)).orderBy("stratum").collect()
+    assert a == b
+
+
 def test_validation_missing_stratum_is_zero(spark):
     pop = spark.createDataFrame([("a",), ("a",), ("b",)], "stratum string")
     smp = spark.createDataFrame([("a",)], "stratum string")
