@@ -14,13 +14,15 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def _bucketed(df: DataFrame, order_col: str, rows_per_task: int) -> tuple[DataFrame, int]:
-    n = df.count()
+def _bucketed(df: DataFrame, order_col: str, rows_per_task: int,
+              n_rows: int | None = None) -> tuple[DataFrame, int]:
+    n = df.count() if n_rows is None else n_rows
     buckets = max(1, math.ceil(n / rows_per_task))
     if buckets == 1:
         return df.withColumn("_bkt", F.lit(0.0)), 1
@@ -34,12 +36,14 @@ def _bucketed(df: DataFrame, order_col: str, rows_per_task: int) -> tuple[DataFr
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                  partition_cols: Sequence[str] = (), descending: bool = False,
-                 rows_per_task: int = 1_000_000, prefix: str = "cum_") -> DataFrame:
+                 rows_per_task: int = 1_000_000, prefix: str = "cum_",
+                 n_rows: int | None = None) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
     order within ``partition_cols``. ``order_col`` must be unique within a
-    partition (aggregate by it first)."""
+    partition (aggregate by it first). ``n_rows`` (row count of ``df``, if
+    already known) saves a counting job."""
     part = list(partition_cols)
-    b, nb = _bucketed(df, order_col, rows_per_task)
+    b, nb = _bucketed(df, order_col, rows_per_task, n_rows)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_in = Window.partitionBy(*part, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     out = b.select("*", *[F.sum(c).over(w_in).alias(f"_in_{c}") for c in sum_cols])
@@ -76,10 +80,20 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float], group_cols: Se
     """
     g = list(group_cols)
     counts = long.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
-    totals = {tuple(r[c] for c in g): r["_n"] for r in counts.groupBy(*g).agg(F.sum("_c").alias("_n")).collect()}
+    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)   # read three times below
+    try:
+        return _exact_from_counts(counts, probs, g, value, rows_per_task)
+    finally:
+        counts.unpersist()
+
+
+def _exact_from_counts(counts: DataFrame, probs, g, value, rows_per_task) -> list[dict]:
+    agg = counts.groupBy(*g).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d")).collect()
+    totals = {tuple(r[c] for c in g): r["_n"] for r in agg}
     if not totals:
         return []
-    cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task)
+    cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task,
+                       n_rows=sum(r["_d"] for r in agg))
     wanted: dict[tuple, set] = {}
     plan = []
     for key, n in totals.items():

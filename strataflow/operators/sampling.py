@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
+from ..session import checkpointed
 from .strata import STRATUM
 
 
@@ -98,7 +99,7 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
     2. a map-only oversample ``u < t_i`` with t_i a few sigma above n_i/c_i,
        re-run with a wider margin for any stratum that came up short, so no
        stratum is ever truncated;
-    3. the candidates (about n_i each) are ranked in two levels: counts per
+    3. the candidates (about n_i each, checkpointed) are ranked in two levels: counts per
        (stratum, u-bucket) give bucket offsets, and a window ranks rows only
        inside one bucket, so no task holds more than ~``rows_per_task`` rows
        even when one stratum holds a third of the data.
@@ -113,7 +114,9 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
             m = alloc[k]
             thr[k] = 1.0 if m >= c else min(1.0, (m + margin * math.sqrt(m + 1.0) + 10.0) / c)
         tmap = F.create_map(*[x for k, t in thr.items() for x in (F.lit(k), F.lit(float(t)))])
-        cand = df.withColumn("_u", u).filter(F.col("_u") < tmap[F.col(key)])
+        # candidates are about n rows: checkpoint them so the count, the bucket
+        # table and the ranking read them instead of rescanning the input
+        cand = checkpointed(df.withColumn("_u", u).filter(F.col("_u") < tmap[F.col(key)]))
         got = {r[0]: r[1] for r in cand.groupBy(key).count().collect()}
         short = [k for k in counts if got.get(k, 0) < alloc[k]]
         if not short:

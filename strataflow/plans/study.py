@@ -12,7 +12,7 @@ checkpointed to the shared checkpoint folder before the model fits.
 
 Command line (any Hadoop file-system URI)::
 
-    spark-submit -m strataflow.plans.study gs://bucket/yellow/ --year 2024
+    python -m strataflow.plans.study gs://bucket/yellow/ --year 2024
 """
 
 from __future__ import annotations
