@@ -14,7 +14,7 @@ from collections.abc import Sequence
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StringType, StructField, StructType
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .prefix import exact_quantiles_long, stack
 
@@ -239,6 +239,3 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], clip_q: float | None
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
         F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
 
-
-def _unused():
-    return LongType

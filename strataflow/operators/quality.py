@@ -102,7 +102,6 @@ def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     Numeric columns fill ``min``/``max`` (double); string columns fill
     ``min_text``/``max_text`` and have null mean and stddev, like describe().
     """
-    types = dict(df.dtypes)
     fields = {f.name: f.dataType for f in df.schema.fields}
     aggs, rows = [], []
     for i, c in enumerate(cols):
@@ -125,7 +124,6 @@ def describe_long(df: DataFrame, cols: Sequence[str]) -> DataFrame:
                                  F.lit(None).cast("double").alias("mean"), F.lit(None).cast("double").alias("stddev"),
                                  F.lit(None).cast("double").alias("min"), F.lit(None).cast("double").alias("max"),
                                  F.col(f"lo{i}").alias("min_text"), F.col(f"hi{i}").alias("max_text")))
-    del types
     return df.agg(*aggs).select(F.inline(F.array(*rows)))
 
 

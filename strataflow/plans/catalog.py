@@ -17,9 +17,9 @@ from ..functions import constants as C
 from ..operators import features as FE
 from ..operators import quality as Q
 from ..operators import strata as ST
-from ..sources.events import load_trips, read_table, trips_from_events
+from ..sources.events import load_trips, trips_from_events
 from ..sources.schema import TRIP_COLUMNS
-from ..sources.trips import read_reconciled, union_by_name
+from ..sources.trips import read_reconciled
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Builder] = {}
@@ -49,7 +49,6 @@ def q_scan_trips(spark, sf_dir):
 
 @query("scan_reconciled")
 def q_scan_reconciled(spark, sf_dir):
-    from ..sources.schema import TRIP_SCHEMA  # noqa: F401
     from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
                                    TimestampNTZType)
     events_schema = StructType([
@@ -126,10 +125,6 @@ def q_strata_distinct(spark, sf_dir):
     return ST.strata_distinct(silver_strata(spark, sf_dir))
 
 
-def _unused():  # keep imports referenced for linters
-    return C, read_table, union_by_name
-
-
 # ---------------------------------------------------------------- sampling
 from ..operators import sampling as SA  # noqa: E402
 
@@ -262,8 +257,6 @@ def q_box_stats(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- features
-from pyspark.ml.feature import StringIndexer  # noqa: E402
-
 from ..functions.hashing import uniform  # noqa: E402
 from ..operators import metrics as ME  # noqa: E402
 from ..operators import models as MO  # noqa: E402
@@ -436,5 +429,3 @@ def q_kmeans_assign(spark, sf_dir):
     data, (_, model, _) = sweep(spark, sf_dir)
     return model.transform(data).select("event_id", "prediction")
 
-
-_ = StringIndexer

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -69,3 +71,29 @@ def checkpointed(df: DataFrame) -> DataFrame:
 def persisted(df: DataFrame) -> DataFrame:
     """Persist a pruned frame in memory, spilling to disk."""
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+@contextmanager
+def persisted_cols(df: DataFrame, cols: Sequence[str] | None = None) -> Iterator[DataFrame]:
+    """Persist only the needed columns for a block of actions, then release.
+
+    Project first so the scan is pruned and filters stay pushed down; the
+    cache holds just these columns.
+    """
+    frame = (df.select(*cols) if cols else df).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield frame
+    finally:
+        frame.unpersist()
+
+
+def to_local(df: DataFrame, max_rows: int = 100_000):
+    """Bounded hand-off to pandas at the presentation edge.
+
+    Refuses frames larger than ``max_rows`` instead of silently truncating:
+    sample first (``sampling.sample_to``) or aggregate.
+    """
+    head = df.limit(max_rows + 1).toPandas()
+    if len(head) > max_rows:
+        raise ValueError(f"frame has more than {max_rows} rows; sample or aggregate before to_local")
+    return head
