@@ -21,6 +21,12 @@ def uniform(key: Column | str, salt: str) -> Column:
     return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(TWO_POW_32)
 
 
+def uniform_expr(key_sql: str, salt: str) -> str:
+    """The same uniform as a Spark SQL expression string."""
+    return (f"(cast(conv(substring(md5(concat_ws('|', '{salt}', cast({key_sql} AS STRING))), 1, 8), 16, 10)"
+            f" AS DOUBLE) / {TWO_POW_32!r})")
+
+
 def row_key(*cols: str) -> Column:
     """Key for tables without one: xxhash64 over the given columns.
 

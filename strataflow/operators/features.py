@@ -18,9 +18,8 @@ from .strata import with_strata
 
 def with_trip_features(df: DataFrame) -> DataFrame:
     """trip_duration_min (P5), pickup_hour (P6), pickup_dow."""
-    return (df.withColumn("trip_duration_min", duration_minutes())
-              .withColumn("pickup_hour", F.hour(PICKUP))
-              .withColumn("pickup_dow", F.dayofweek(PICKUP)))
+    return df.select("*", duration_minutes().alias("trip_duration_min"),
+                     F.hour(PICKUP).alias("pickup_hour"), F.dayofweek(PICKUP).alias("pickup_dow"))
 
 
 def impute(df: DataFrame, defaults: Mapping[str, float] = C.IMPUTE_DEFAULTS) -> DataFrame:

@@ -23,10 +23,11 @@ def with_strata(df: DataFrame,
     Pure projections: Catalyst collapses them into the scan's codegen stage
     and turns the id lists into INSET lookups.
     """
-    return (df.withColumn("day_type", day_type(PICKUP, weekend_days))
-              .withColumn("pickup_zone", pickup_zone("PULocationID", airport_ids, manhattan_ids))
-              .withColumn("pay_class", pay_class("payment_type", card_codes))
-              .withColumn(STRATUM, F.concat_ws("|", "day_type", "pickup_zone", "pay_class")))
+    d = day_type(PICKUP, weekend_days)
+    z = pickup_zone("PULocationID", airport_ids, manhattan_ids)
+    p = pay_class("payment_type", card_codes)
+    return df.select("*", d.alias("day_type"), z.alias("pickup_zone"), p.alias("pay_class"),
+                     F.concat_ws("|", d, z, p).alias(STRATUM))
 
 
 def strata_counts(df: DataFrame, key: str = STRATUM) -> DataFrame:

@@ -9,80 +9,82 @@ rules are the ones written down in FIXTURES.md §2.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from ..functions.constants import AIRPORT_ZONE_IDS
-from ..functions.hashing import uniform
+from ..functions.hashing import uniform_expr
+from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
+                               TimestampNTZType)
+
 from .schema import TRIP_SCHEMA
 
 YEAR_SECONDS = 31_536_000
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+# Physical schema of the driver's events table. Reading with it skips the
+# footer-inference job that a schema-less read launches on every call.
+EVENTS_SCHEMA = StructType([
+    StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
+    StructField("user_id", LongType()), StructField("event_type", StringType()),
+    StructField("value", DoubleType()), StructField("props", StringType())])
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str, schema: StructType | None = None) -> DataFrame:
+    reader = spark.read.schema(schema) if schema is not None else spark.read
+    return reader.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def trips_from_events(events: DataFrame) -> DataFrame:
-    """event_id plus the 19 canonical trip columns."""
-    i = F.col("event_id")
-    k = F.regexp_extract(F.col("props"), "[0-9]+", 0).try_cast("long").cast("double")
-    value = F.col("value")
-    ts = F.col("ts")
-    pickup = F.when(i % 67 == 0, F.timestamp_add("SECOND", F.lit(-YEAR_SECONDS), ts)).otherwise(ts)
+    """event_id plus the 19 canonical trip columns.
 
-    base = events.select(i.alias("event_id"), value.alias("_v"), k.alias("_k"),
-                         pickup.alias("tpep_pickup_datetime"))
-    p = F.col("tpep_pickup_datetime")
-    h = F.hour(p)
-    pu = F.when(i % 101 == 0, F.lit(None).cast("long")).otherwise((i * 7) % 265 + 1)
-    pay_p = F.when(F.col("_v") > 60, 0.95).when(h < 8, 0.35).otherwise(0.8)
-    payment = (F.when(i % 59 == 0, F.lit(None).cast("long"))
-                .when(uniform(i, "pay") < pay_p, F.lit(1).cast("long"))
-                .otherwise(F.lit(2).cast("long")))
-    fare = F.when(i % 53 == 0, F.lit(-5.0)).otherwise(F.lit(3.0) + F.lit(0.5) * F.col("_v") + F.lit(0.25) * F.col("_k"))
-    step1 = base.select(
+    Written as three SQL projections (parsed once on the JVM side) rather
+    than hundreds of Python Column calls; Catalyst collapses them into one
+    codegen stage over the scan.
+    """
+    airports = ", ".join(str(i) for i in AIRPORT_ZONE_IDS)
+    u_pay = uniform_expr("event_id", "pay")
+    base = events.selectExpr(
+        "event_id", "value AS _v",
+        "CAST(try_cast(regexp_extract(props, '[0-9]+', 0) AS BIGINT) AS DOUBLE) AS _k",
+        f"CASE WHEN event_id % 67 = 0 THEN timestampadd(SECOND, -{YEAR_SECONDS}, ts) ELSE ts END"
+        " AS tpep_pickup_datetime")
+    step1 = base.selectExpr(
         "event_id", "_v", "_k", "tpep_pickup_datetime",
-        F.when(i % 50 == 0, F.timestamp_add("SECOND", F.lit(-60), p))
-         .otherwise(F.timestamp_add("SECOND", F.floor(F.col("_v") * 60.0), p)).alias("tpep_dropoff_datetime"),
-        pu.alias("PULocationID"),
-        payment.alias("payment_type"),
-        fare.alias("fare_amount"),
-        F.when(i % 31 == 0, F.lit(None).cast("double"))
-         .when(h.between(16, 19), F.lit(2.5))
-         .when((h >= 20) | (h < 6), F.lit(1.0))
-         .otherwise(F.lit(0.0)).alias("extra"),
-    )
-    pu_c = F.col("PULocationID")
-    step2 = step1.select(
-        "*",
-        F.when(i % 37 == 0, F.lit(None).cast("double")).otherwise(F.lit(0.5)).alias("mta_tax"),
-        F.when(i % 41 == 0, F.lit(None).cast("double"))
-         .when(pu_c.isin(list(AIRPORT_ZONE_IDS)), F.lit(6.94))
-         .otherwise(F.lit(0.0)).alias("tolls_amount"),
-        F.when(i % 43 == 0, F.lit(None).cast("double")).otherwise(F.lit(1.0)).alias("improvement_surcharge"),
-        F.when(i % 29 == 0, F.lit(None).cast("double"))
-         .when(pu_c % 2 == 0, F.lit(2.5))
-         .otherwise(F.lit(0.0)).alias("congestion_surcharge"),
-        F.when(F.col("payment_type") == 1, F.lit(0.2) * F.col("fare_amount")).otherwise(F.lit(0.0)).alias("tip_amount"),
-    )
-    z = lambda c: F.coalesce(F.col(c), F.lit(0.0))
-    total = (z("fare_amount") + z("tip_amount") + z("extra") + z("mta_tax") + z("tolls_amount")
-             + z("improvement_surcharge") + z("congestion_surcharge"))
-    out = step2.select(
+        "CASE WHEN event_id % 50 = 0 THEN timestampadd(SECOND, -60, tpep_pickup_datetime)"
+        " ELSE timestampadd(SECOND, floor(_v * 60.0D), tpep_pickup_datetime) END AS tpep_dropoff_datetime",
+        "CASE WHEN event_id % 101 = 0 THEN CAST(NULL AS BIGINT) ELSE (event_id * 7) % 265 + 1 END AS PULocationID",
+        "CASE WHEN event_id % 59 = 0 THEN CAST(NULL AS BIGINT)"
+        f" WHEN {u_pay} < (CASE WHEN _v > 60 THEN 0.95D WHEN hour(tpep_pickup_datetime) < 8 THEN 0.35D ELSE 0.8D END)"
+        " THEN CAST(1 AS BIGINT) ELSE CAST(2 AS BIGINT) END AS payment_type",
+        "CASE WHEN event_id % 53 = 0 THEN -5.0D ELSE 3.0D + 0.5D * _v + 0.25D * _k END AS fare_amount",
+        "CASE WHEN event_id % 31 = 0 THEN CAST(NULL AS DOUBLE)"
+        " WHEN hour(tpep_pickup_datetime) BETWEEN 16 AND 19 THEN 2.5D"
+        " WHEN hour(tpep_pickup_datetime) >= 20 OR hour(tpep_pickup_datetime) < 6 THEN 1.0D ELSE 0.0D END AS extra")
+    step2 = step1.selectExpr(
         "*",
-        total.alias("total_amount"),
-        (i % 2 + 1).alias("VendorID"),
-        F.when(i % 8 == 7, F.lit(None).cast("double")).otherwise((i % 8).cast("double")).alias("passenger_count"),
-        F.when(i % 97 == 0, F.lit(250.0)).otherwise(F.col("_k") / 2.0).alias("trip_distance"),
-        F.when(i % 40 == 0, F.lit(99.0)).when(i % 40 == 1, F.lit(None).cast("double"))
-         .otherwise(F.lit(1.0)).alias("RatecodeID"),
-        F.lit("N").alias("store_and_fwd_flag"),
-        ((i * 11) % 265 + 1).alias("DOLocationID"),
-        F.lit(None).cast("double").alias("airport_fee"),
-    )
-    return out.select("event_id", *[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRIP_SCHEMA.fields])
+        "CASE WHEN event_id % 37 = 0 THEN CAST(NULL AS DOUBLE) ELSE 0.5D END AS mta_tax",
+        f"CASE WHEN event_id % 41 = 0 THEN CAST(NULL AS DOUBLE) WHEN PULocationID IN ({airports}) THEN 6.94D"
+        " ELSE 0.0D END AS tolls_amount",
+        "CASE WHEN event_id % 43 = 0 THEN CAST(NULL AS DOUBLE) ELSE 1.0D END AS improvement_surcharge",
+        "CASE WHEN event_id % 29 = 0 THEN CAST(NULL AS DOUBLE) WHEN PULocationID % 2 = 0 THEN 2.5D"
+        " ELSE 0.0D END AS congestion_surcharge",
+        "CASE WHEN payment_type = 1 THEN 0.2D * fare_amount ELSE 0.0D END AS tip_amount")
+    total = " + ".join(f"coalesce({c}, 0.0D)" for c in (
+        "fare_amount", "tip_amount", "extra", "mta_tax", "tolls_amount", "improvement_surcharge",
+        "congestion_surcharge"))
+    out = step2.selectExpr(
+        "*", f"{total} AS total_amount",
+        "event_id % 2 + 1 AS VendorID",
+        "CASE WHEN event_id % 8 = 7 THEN CAST(NULL AS DOUBLE) ELSE CAST(event_id % 8 AS DOUBLE) END AS passenger_count",
+        "CASE WHEN event_id % 97 = 0 THEN 250.0D ELSE _k / 2.0D END AS trip_distance",
+        "CASE WHEN event_id % 40 = 0 THEN 99.0D WHEN event_id % 40 = 1 THEN CAST(NULL AS DOUBLE)"
+        " ELSE 1.0D END AS RatecodeID",
+        "'N' AS store_and_fwd_flag",
+        "(event_id * 11) % 265 + 1 AS DOLocationID",
+        "CAST(NULL AS DOUBLE) AS airport_fee")
+    return out.selectExpr("event_id", *[f"CAST({f.name} AS {f.dataType.simpleString()}) AS {f.name}"
+                                        for f in TRIP_SCHEMA.fields])
 
 
 def load_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Trips of one scale-factor folder, keyed by ``event_id``."""
-    return trips_from_events(read_table(spark, sf_dir, "events"))
+    return trips_from_events(read_table(spark, sf_dir, "events", EVENTS_SCHEMA))
