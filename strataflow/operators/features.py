@@ -57,9 +57,11 @@ def label_indexer(label_col: str = "pay_class", output: str = "label") -> String
 
 def categorical_stages(cols: Sequence[str] = C.CATEGORICAL_FEATURES):
     """Index (unseen → extra bucket) and one-hot (dropLast drops it) (E-F2, E-F3)."""
-    idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep",
-                         stringOrderType="frequencyDesc") for c in cols]
-    ohe = [OneHotEncoder(inputCol=f"{c}_idx", outputCol=f"{c}_ohe", dropLast=True) for c in cols]
+    cols = list(cols)
+    idx = [StringIndexer(inputCols=cols, outputCols=[f"{c}_idx" for c in cols], handleInvalid="keep",
+                         stringOrderType="frequencyDesc")]      # one pass for all columns
+    ohe = [OneHotEncoder(inputCols=[f"{c}_idx" for c in cols], outputCols=[f"{c}_ohe" for c in cols],
+                         dropLast=True)]
     return idx, ohe
 
 

@@ -9,6 +9,7 @@ instead of replaying the scan → filter → sample lineage.
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
@@ -65,7 +66,8 @@ def vector_cols(df: DataFrame, vec_col: str, n: int, prefix: str = "_x") -> tupl
 
 
 def kmeans_sweep(df: DataFrame, features: str = "features_scaled", ks: Iterable[int] = range(2, 8),
-                 seed: int = 42, dims: int | None = None) -> tuple[DataFrame, KMeansModel | None, int | None]:
+                 seed: int = 42, dims: int | None = None,
+                 parallelism: int = 8) -> tuple[DataFrame, KMeansModel | None, int | None]:
     """Fit k-means for each k; report cost and silhouette; keep the best
     model by silhouette (first k wins ties) without refitting (L4-L6, J5).
 
@@ -73,13 +75,22 @@ def kmeans_sweep(df: DataFrame, features: str = "features_scaled", ks: Iterable[
     """
     if dims is None:
         dims = len(df.select(features).first()[0])
-    rows, best = [], (None, None, None)
-    for k in ks:
+    ks = list(ks)
+
+    def fit_one(k):
         model = KMeans(featuresCol=features, k=k, seed=seed).fit(df)
         assigned, names = vector_cols(model.transform(df), features, dims)
         sil = silhouette(assigned, names, "prediction").first()["silhouette"]
-        cost = float(model.summary.trainingCost)
-        rows.append((int(k), cost, sil))
+        return int(k), float(model.summary.trainingCost), sil, model
+
+    # The fits are independent: submit them as concurrent Spark jobs so the
+    # scheduler fills idle executor slots (each fit alone is a chain of small
+    # per-iteration jobs). Same seeds, same results as a sequential loop.
+    with ThreadPoolExecutor(max_workers=max(1, min(len(ks), parallelism))) as pool:
+        fitted = list(pool.map(fit_one, ks))
+    rows, best = [], (None, None, None)
+    for k, cost, sil, model in fitted:                       # in k order: first k wins ties
+        rows.append((k, cost, sil))
         if sil is not None and (best[0] is None or sil > best[0]):
             best = (sil, model, k)
     schema = StructType([StructField("k", IntegerType()), StructField("wssse", DoubleType()),

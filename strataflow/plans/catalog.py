@@ -260,7 +260,7 @@ def q_box_stats(spark, sf_dir):
 from ..functions.hashing import uniform  # noqa: E402
 from ..operators import metrics as ME  # noqa: E402
 from ..operators import models as MO  # noqa: E402
-from ..session import checkpointed  # noqa: E402
+from ..session import checkpointed, fit_partitions  # noqa: E402
 
 
 def indexed(spark, sf_dir):
@@ -286,9 +286,9 @@ def q_one_hot(spark, sf_dir):
     from pyspark.ml import Pipeline
     model = Pipeline(stages=idx + ohe).fit(df)
     out = model.transform(df)
-    for c, im in zip(C.CATEGORICAL_FEATURES, model.stages[:len(idx)]):
+    for c, labels in zip(C.CATEGORICAL_FEATURES, model.stages[0].labelsArray):
         arr = FE.vector_to_array(F.col(f"{c}_ohe"))
-        cols += [arr[i].alias(f"{c}_ohe_{lab}") for i, lab in enumerate(im.labels)]
+        cols += [arr[i].alias(f"{c}_ohe_{lab}") for i, lab in enumerate(labels)]
     return out.select("event_id", *cols)
 
 
@@ -388,7 +388,10 @@ def sample_m(spark, sf_dir):
     rows, as in the study), then features, null fill and rules F9-F11.
     Checkpointed so iterative fits never replay the scan and sampling."""
     m = SA.stratified_sample(silver_strata(spark, sf_dir), n=MODEL_SAMPLE_N, seed=42)
-    return checkpointed(FE.prepared(m))
+    parts = fit_partitions(spark, MODEL_SAMPLE_N)
+    # checkpoint with the scan's parallelism, then merge the (tiny) checkpoint
+    # partitions: coalescing before the checkpoint would shrink the scan itself
+    return checkpointed(FE.prepared(m)).coalesce(parts)
 
 
 def forest_run(spark, sf_dir):

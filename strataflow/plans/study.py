@@ -32,7 +32,7 @@ from ..operators import models as MO
 from ..operators import quality as Q
 from ..operators import sampling as SA
 from ..operators import strata as ST
-from ..session import checkpointed, get_spark
+from ..session import checkpointed, fit_partitions, get_spark
 from ..sources.trips import month_paths, read_reconciled
 
 
@@ -66,7 +66,7 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     r.tables["sample_validation"] = v
     r.scalars["max_abs_err"] = SA.max_deviation(v).first()[0]
 
-    prep = checkpointed(FE.prepared(m))
+    prep = checkpointed(FE.prepared(m)).coalesce(fit_partitions(trips.sparkSession, n_sample))
     r.scalars["n_prepared"] = prep.count()
     r.tables["describe"] = Q.describe_long(prep, ["trip_distance", "fare_amount", "trip_duration_min",
                                                   "pickup_hour", "passenger_count", "pickup_zone",
