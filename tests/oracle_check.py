@@ -67,7 +67,7 @@ def _key(row):
     return tuple(out)
 
 
-def frames_equal(a: pd.DataFrame, b: pd.DataFrame, rel: float = 1e-9) -> tuple[bool, str]:
+def frames_equal(a: pd.DataFrame, b: pd.DataFrame, rel: float = float(os.environ.get("ORACLE_REL_TOL", "1e-9"))) -> tuple[bool, str]:
     ca, cb = sorted(a.columns), sorted(b.columns)
     if ca != cb:
         return False, f"columns differ: {ca} vs {cb}"
@@ -78,7 +78,7 @@ def frames_equal(a: pd.DataFrame, b: pd.DataFrame, rel: float = 1e-9) -> tuple[b
     for x, y in zip(ra, rb):
         for c, u, v in zip(ca, x, y):
             if isinstance(u, float) and isinstance(v, (float, int)) or isinstance(v, float) and isinstance(u, (float, int)):
-                if u is None or v is None or not math.isclose(float(u), float(v), rel_tol=rel, abs_tol=1e-12):
+                if u is None or v is None or not math.isclose(float(u), float(v), rel_tol=rel, abs_tol=0.0 if rel == 0 else 1e-12):
                     return False, f"value differs in {c}: {u!r} vs {v!r}\n{x}\n{y}"
             elif u != v:
                 return False, f"value differs in {c}: {u!r} vs {v!r}\n{x}\n{y}"
