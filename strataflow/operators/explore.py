@@ -57,8 +57,8 @@ def quantile_clip(df: DataFrame, cols: Sequence[str], q: float = 0.99, exact: bo
     (pushed into a Parquet scan when the columns are stored)."""
     cut = quantile_values(df, cols, q, exact)
     cond = None
-    for c in cols:
-        t = F.col(c) < F.lit(cut[c])
+    for c in cols:   # a column without values has no quantile: nothing is below it
+        t = F.col(c) < F.lit(cut.get(c)).cast("double")
         cond = t if cond is None else cond & t
     return df.filter(cond)
 
@@ -92,6 +92,9 @@ def histogram(df: DataFrame, cols: Sequence[str], bins: int = 40) -> DataFrame:
         width = (hi - lo) / bins
         parts.append(F.struct(F.lit(c).alias("column_name"), _bin(c, lo, hi, bins).alias("bin"),
                               F.lit(lo).alias("_lo"), F.lit(width).alias("_w")))
+    if not parts:   # every column empty or all-null
+        return df.sparkSession.createDataFrame(
+            [], "column_name string, bin int, bin_lo double, bin_hi double, n long")
     long = df.select(F.inline(F.array(*parts))).filter(F.col("bin").isNotNull())
     return long.groupBy("column_name", "bin", "_lo", "_w").agg(F.count(F.lit(1)).alias("n")).select(
         "column_name", "bin",
@@ -212,7 +215,8 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], clip_q: float | None
     if clip_q is not None:
         cut = quantile_values(df, cols, clip_q, exact)
         long = long.filter(F.col("value") < F.element_at(
-            F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut[c]))]), F.col("column_name")))
+            F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut.get(c)).cast("double"))]),
+            F.col("column_name")))
     if exact:
         rows = exact_quantiles_long(long, (0.25, 0.5, 0.75), [by, "column_name"])
     else:

@@ -105,6 +105,8 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
        even when one stratum holds a third of the data.
     """
     counts = {r[0]: r[1] for r in df.groupBy(key).count().collect()}
+    if not counts:
+        return df.filter(F.lit(False))
     alloc = allocate(counts, n)
     u = uniform(row_key, salt_for("exact", seed))
     margin = z
