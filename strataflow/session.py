@@ -52,7 +52,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = tempfile.mkdtemp(prefix="strataflow-ckpt-")
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: name a shared folder (HDFS / object store) "
+                               "so checkpoints survive executor loss")
+        conf_dir = tempfile.mkdtemp(prefix="strataflow-ckpt-")   # local runs and tests only
     sc.setCheckpointDir(conf_dir)
     return sc.getCheckpointDir() or conf_dir
 
