@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -13,20 +13,22 @@ from .schema import TRIP_SCHEMA
 
 
 def read_trips(spark: SparkSession, path: str | Sequence[str],
-               schema: StructType = TRIP_SCHEMA) -> DataFrame:
+               schema: StructType = TRIP_SCHEMA, key_col: str | None = None) -> DataFrame:
     """Parquet scan with an explicit schema.
 
     Columns absent from a file read as null. A schema type that disagrees
     with a file's physical type (long over DOUBLE, double over INT64) fails
-    at run time; use :func:`read_reconciled` for mixed inputs.
+    at run time; use :func:`read_reconciled` for mixed inputs. ``key_col``
+    adds :func:`file_row_key`.
     """
     paths = [path] if isinstance(path, str) else list(path)
-    return spark.read.schema(schema).parquet(*paths)
+    df = spark.read.schema(schema).parquet(*paths)
+    return df.select("*", file_row_key().alias(key_col)) if key_col else df
 
 
-def conform(df: DataFrame, schema: StructType = TRIP_SCHEMA) -> DataFrame:
-    """Project ``df`` onto ``schema``: case-insensitive match, cast, typed
-    nulls for missing columns, extra columns dropped."""
+def conform_columns(df: DataFrame, schema: StructType = TRIP_SCHEMA) -> list[Column]:
+    """Columns projecting ``df`` onto ``schema``: case-insensitive match,
+    cast, typed nulls for missing columns (extra columns are dropped)."""
     by_lower = {c.lower(): c for c in df.columns}
     cols = []
     for f in schema.fields:
@@ -35,7 +37,24 @@ def conform(df: DataFrame, schema: StructType = TRIP_SCHEMA) -> DataFrame:
             cols.append(F.lit(None).cast(f.dataType).alias(f.name))
         else:
             cols.append(F.col(f"`{src}`").cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    return cols
+
+
+def conform(df: DataFrame, schema: StructType = TRIP_SCHEMA) -> DataFrame:
+    """Project ``df`` onto ``schema``."""
+    return df.select(*conform_columns(df, schema))
+
+
+def file_row_key() -> Column:
+    """Stable unique row key of a Parquet row: '<file name>:<row index>'.
+
+    Trip files carry no key; the file-source metadata gives one that is the
+    same on every run and for any partitioning, unique by construction
+    (unlike a hash of the row's values, which identical rows share), and
+    cheap: no per-row hashing of all columns, and a small expression for the
+    optimizer to push through unions and filters.
+    """
+    return F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string"))
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
@@ -51,7 +70,7 @@ def _file_schema_key(spark: SparkSession, path: str) -> str:
 
 
 def read_reconciled(spark: SparkSession, paths: Sequence[str],
-                    schema: StructType = TRIP_SCHEMA) -> DataFrame:
+                    schema: StructType = TRIP_SCHEMA, key_col: str | None = None) -> DataFrame:
     """Schema-reconciling load.
 
     Files are grouped by their own footer schema; each group is ONE scan of
@@ -59,6 +78,7 @@ def read_reconciled(spark: SparkSession, paths: Sequence[str],
     and the groups are unioned by name. So twelve months that agree on their
     types are one scan, and months that disagree on INT64 vs DOUBLE are two.
     Filters and projections applied later still push into every scan.
+    ``key_col`` adds a stable unique row key (:func:`file_row_key`).
     """
     files: list[str] = []
     for p in paths:
@@ -66,7 +86,13 @@ def read_reconciled(spark: SparkSession, paths: Sequence[str],
     groups: dict[str, list[str]] = {}
     for f in sorted(set(files)):
         groups.setdefault(_file_schema_key(spark, f), []).append(f)
-    frames = [conform(spark.read.parquet(*fs), schema) for _, fs in sorted(groups.items())]
+    frames = []
+    for _, fs in sorted(groups.items()):
+        raw = spark.read.parquet(*fs)
+        cols = conform_columns(raw, schema)
+        if key_col:
+            cols.append(file_row_key().alias(key_col))
+        frames.append(raw.select(*cols))
     return union_by_name(frames)
 
 

@@ -72,3 +72,12 @@ def test_filters_reach_the_scan(spark, tmp_path):
     plan = silver(read_trips(spark, path)).select("fare_amount")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [" in plan and "GreaterThan(fare_amount,0.0)" in plan
     assert "tpep_pickup_datetime" in plan.split("PushedFilters")[1]
+
+
+def test_file_row_key_unique_and_stable(spark, mixed_dir):
+    a = read_reconciled(spark, [mixed_dir], key_col="k")
+    keys = [r[0] for r in a.select("k").collect()]
+    assert len(keys) == len(set(keys)) == 7
+    b = read_reconciled(spark, [mixed_dir], key_col="k").repartition(3)
+    assert sorted(keys) == sorted(r[0] for r in b.select("k").collect())
+    assert all(k.startswith("yellow_tripdata_2024-0") for k in keys)

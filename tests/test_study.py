@@ -11,3 +11,24 @@ def test_study_end_to_end(spark, sf001):
     assert res.tables["feature_importance"].count() == 16
     assert res.tables["kmeans_sweep"].count() == 2
     assert res.tables["box_stats"].count() > 0
+
+
+def test_study_cli_on_mixed_monthly_files(spark, sf001, capsys):
+    import tempfile
+
+    from pyspark.sql import functions as F
+
+    from strataflow.plans.study import main
+    from strataflow.sources.schema import TRIP_COLUMNS
+
+    trips = load_trips(spark, sf001).select(*TRIP_COLUMNS)
+    base = tempfile.mkdtemp(prefix="strataflow-months-")
+    jan, feb = trips.randomSplit([0.5, 0.5], 3)
+    # January stores the counts as INT64, February as DOUBLE, like the real monthly files
+    jan.withColumn("passenger_count", F.col("passenger_count").cast("long")) \
+       .withColumn("RatecodeID", F.col("RatecodeID").cast("long")) \
+       .coalesce(1).write.parquet(f"{base}/yellow_tripdata_2024-01.parquet")
+    feb.coalesce(1).write.parquet(f"{base}/yellow_tripdata_2024-02.parquet")
+    main([base, "--months", "1-2", "--sample", "400"])
+    out = capsys.readouterr().out
+    assert "== silver_funnel" in out and "== kmeans_sweep" in out and '"auc"' in out
