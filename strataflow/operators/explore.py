@@ -30,18 +30,19 @@ def quantiles(df: DataFrame, cols: Sequence[str], probs: Sequence[float] = (0.25
     ``exact=True`` uses distributed running sums (exact at any size);
     ``exact=False`` uses ``percentile_approx`` sketches (one pass)."""
     by = list(by)
-    spark = df.sparkSession
-    long = stack(df, cols, keep=by)
-    schema = StructType([*[df.schema[c] for c in by], StructField("column_name", StringType()),
-                         StructField("q", DoubleType()), StructField("value", DoubleType())])
+    return long_quantiles(stack(df, cols, keep=by), probs, [*by, "column_name"], exact, rows_per_task)
+
+
+def long_quantiles(long: DataFrame, probs: Sequence[float], groups: Sequence[str], exact: bool = True,
+                   rows_per_task: int = 1_000_000) -> DataFrame:
+    """Quantiles of ``value`` per group of a long table: (groups..., q, value)."""
+    groups = list(groups)
     if exact:
-        rows = exact_quantiles_long(long, probs, [*by, "column_name"], rows_per_task=rows_per_task)
-        return spark.createDataFrame([tuple(r[f.name] for f in schema.fields) for r in rows], schema)
-    agg = long.groupBy(*by, "column_name").agg(
-        F.percentile_approx("value", list(probs), APPROX_ACCURACY).alias("_qs"))
-    return agg.select(*by, "column_name", F.posexplode("_qs").alias("_i", "value")) \
-        .select(*by, "column_name", F.element_at(F.array(*[F.lit(float(q)) for q in probs]),
-                                                 F.col("_i") + 1).alias("q"), "value")
+        return exact_quantiles_long(long, probs, groups, rows_per_task=rows_per_task)
+    agg = long.groupBy(*groups).agg(F.percentile_approx("value", list(probs), APPROX_ACCURACY).alias("_qs"))
+    return agg.select(*groups, F.posexplode("_qs").alias("_i", "value")) \
+        .select(*groups, F.element_at(F.array(*[F.lit(float(q)) for q in probs]),
+                                      F.col("_i") + 1).alias("q"), "value")
 
 
 def quantile_values(df: DataFrame, cols: Sequence[str], q: float = 0.99, exact: bool = True) -> dict[str, float]:
@@ -209,37 +210,26 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], clip_q: float | None
     Each column is first cut at its own global ``clip_q`` quantile (strictly
     below), then per group: quartiles (linear), 1.5·IQR fences, whiskers at
     the last data point inside the fences, and the count outside them.
+    Quartiles stay a DataFrame (one row per group and column) joined back on
+    the group keys, so no group is gathered anywhere.
     """
-    spark = df.sparkSession
     long = stack(df, cols, keep=[by])
     if clip_q is not None:
         cut = quantile_values(df, cols, clip_q, exact)
         long = long.filter(F.col("value") < F.element_at(
             F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut.get(c)).cast("double"))]),
             F.col("column_name")))
-    if exact:
-        rows = exact_quantiles_long(long, (0.25, 0.5, 0.75), [by, "column_name"])
-    else:
-        rows = [{by: r[by], "column_name": r["column_name"], "q": q, "value": v}
-                for r in long.groupBy(by, "column_name").agg(
-                    F.percentile_approx("value", [0.25, 0.5, 0.75], APPROX_ACCURACY).alias("qs")).collect()
-                for q, v in zip((0.25, 0.5, 0.75), r["qs"])]
-    qt: dict[tuple, dict] = {}
-    for r in rows:
-        qt.setdefault((r[by], r["column_name"]), {})[r["q"]] = r["value"]
-    by_type = df.schema[by].dataType
-    schema = StructType([StructField(by, by_type), StructField("column_name", StringType()),
-                         StructField("q1", DoubleType()), StructField("median", DoubleType()),
-                         StructField("q3", DoubleType()), StructField("lo_fence", DoubleType()),
-                         StructField("hi_fence", DoubleType())])
-    fences = spark.createDataFrame([
-        (k[0], k[1], v[0.25], v[0.5], v[0.75], v[0.25] - whisker * (v[0.75] - v[0.25]),
-         v[0.75] + whisker * (v[0.75] - v[0.25])) for k, v in qt.items()], schema)
-    j = long.join(F.broadcast(fences), [by, "column_name"])
+    qs = long_quantiles(long, (0.25, 0.5, 0.75), [by, "column_name"], exact)
+    quart = qs.groupBy(by, "column_name").agg(
+        *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
+          for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
+    fences = quart.select(by, "column_name", "q1", "median", "q3",
+                          (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
+                          (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
+    j = long.join(fences, [by, "column_name"])
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return j.groupBy(by, "column_name", "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
-
+        F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
\ No newline at end of file

@@ -14,7 +14,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -69,63 +68,44 @@ def stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
 
 
 def exact_quantiles_long(long: DataFrame, probs: Sequence[float], group_cols: Sequence[str],
-                         value: str = "value", rows_per_task: int = 1_000_000) -> list[dict]:
-    """Exact linear-interpolation quantiles of ``value`` per group.
+                         value: str = "value", rows_per_task: int = 1_000_000) -> DataFrame:
+    """Exact linear-interpolation quantiles of ``value`` per group, as a
+    DataFrame (group..., q, value).
 
     Position h = (N-1)·q; result = v[floor h] + (v[ceil h] - v[floor h])·(h - floor h),
     the definition shared by pandas, numpy, Spark ``percentile`` and DuckDB
-    ``quantile_cont``. Work: one count per distinct (group, value), running
-    sums in buckets, then a map-only filter that keeps the ≤ 2·|probs| rows
-    per group that hold the needed ranks. Returns small Python rows.
+    ``quantile_cont``. Work: one count per distinct (group, value), bucketed
+    running sums, then each distinct-value row checks whether its rank
+    interval [cum - c, cum) holds one of the wanted ranks of its group and
+    emits only those hits (≤ 2·|probs| per group); a final aggregation per
+    (group, q) interpolates. No group's values are ever gathered in one task
+    and nothing but the result reaches the driver.
     """
     g = list(group_cols)
     counts = long.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
-    counts = counts.persist(StorageLevel.MEMORY_AND_DISK)   # read three times below
-    try:
-        return _exact_from_counts(counts, probs, g, value, rows_per_task)
-    finally:
-        counts.unpersist()
-
-
-def _exact_from_counts(counts: DataFrame, probs, g, value, rows_per_task) -> list[dict]:
-    agg = counts.groupBy(*g).agg(F.sum("_c").alias("_n"), F.count(F.lit(1)).alias("_d")).collect()
-    totals = {tuple(r[c] for c in g): r["_n"] for r in agg}
-    if not totals:
-        return []
-    cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task,
-                       n_rows=sum(r["_d"] for r in agg))
-    wanted: dict[tuple, set] = {}
-    plan = []
-    for key, n in totals.items():
-        for q in probs:
-            h = (n - 1) * q
-            lo, hi = math.floor(h), math.ceil(h)
-            wanted.setdefault(key, set()).update({lo, hi})
-            plan.append((key, q, h, lo, hi))
-    cond = None
-    for key, ranks in wanted.items():
-        kc = None
-        for c, v in zip(g, key):
-            t = F.col(c) == F.lit(v)
-            kc = t if kc is None else kc & t
-        for r in ranks:
-            t = (F.col("cum__c") - F.col("_c") <= r) & (F.col("cum__c") > r)
-            t = t if kc is None else (kc & t)
-            cond = t if cond is None else cond | t
-    hits = cum.filter(cond).select(*g, value, "_c", "cum__c").collect()
-    by_key: dict[tuple, list] = {}
-    for r in hits:
-        by_key.setdefault(tuple(r[c] for c in g), []).append((r["cum__c"] - r["_c"], r["cum__c"], r[value]))
-
-    def at(key, rank):
-        for start, end, v in by_key[key]:
-            if start <= rank < end:
-                return v
-        raise RuntimeError("rank not found")
-
-    out = []
-    for key, q, h, lo, hi in plan:
-        vlo, vhi = at(key, lo), at(key, hi)
-        val = vlo if lo == hi else vlo + (vhi - vlo) * (h - lo)
-        out.append({**dict(zip(g, key)), "q": float(q), "value": float(val)})
-    return out
+    cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task)
+    if g:
+        totals = counts.groupBy(*g).agg(F.sum("_c").alias("_n"))
+        cum = cum.join(totals, g)            # one row per group on the right
+        n = F.col("_n")
+    else:
+        total = counts.agg(F.sum("_c")).first()[0]
+        if not total:
+            return long.sparkSession.createDataFrame([], "q double, value double")
+        n = F.lit(int(total))
+    start = F.col("cum__c") - F.col("_c")
+    hits = []
+    for q in probs:
+        h = (n - F.lit(1)).cast("double") * F.lit(float(q))
+        for kind, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
+            hits.append(F.when((start <= rank) & (F.col("cum__c") > rank),
+                               F.struct(F.lit(float(q)).alias("q"), F.lit(kind).alias("kind"),
+                                        h.alias("h"), F.col(value).cast("double").alias("v"))))
+    found = cum.select(*g, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("_hit"))
+    per_q = found.groupBy(*g, F.col("_hit.q").alias("q")).agg(
+        F.max(F.when(F.col("_hit.kind") == "lo", F.col("_hit.v"))).alias("_vlo"),
+        F.max(F.when(F.col("_hit.kind") == "hi", F.col("_hit.v"))).alias("_vhi"),
+        F.max("_hit.h").alias("_h"))
+    frac = F.col("_h") - F.floor("_h")
+    val = F.when(frac == 0, F.col("_vlo")).otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac)
+    return per_q.select(*g, "q", val.alias("value"))
