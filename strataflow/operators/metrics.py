@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
@@ -27,15 +26,12 @@ def roc_curve(pred: DataFrame, score: str = "score", label: str = "label", posit
     """
     is_pos = (F.col(label) == F.lit(positive)).cast("long")
     per_score = pred.groupBy(score).agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
-    per_score = per_score.persist(StorageLevel.MEMORY_AND_DISK)
-    tot = per_score.agg(F.sum("pos").alias("P"), F.sum("neg").alias("N"), F.count(F.lit(1)).alias("D")).first()
-    p_tot, n_tot = (tot["P"] or 0), (tot["N"] or 0)
     cum = running_sums(per_score, score, ["pos", "neg"], descending=True, rows_per_task=rows_per_task,
-                       n_rows=tot["D"])
+                       totals=True)
     return cum.select(
         score, "pos", "neg", F.col("cum_pos").alias("tp"), F.col("cum_neg").alias("fp"),
-        (F.col("cum_pos") / F.lit(p_tot) if p_tot else F.lit(None).cast("double")).alias("tpr"),
-        (F.col("cum_neg") / F.lit(n_tot) if n_tot else F.lit(None).cast("double")).alias("fpr"))
+        F.try_divide(F.col("cum_pos"), F.col("tot_pos")).alias("tpr"),
+        F.try_divide(F.col("cum_neg"), F.col("tot_neg")).alias("fpr"))
 
 
 def auc_from_roc(roc: DataFrame) -> DataFrame:

@@ -36,28 +36,34 @@ def _bucketed(df: DataFrame, order_col: str, rows_per_task: int,
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
                  partition_cols: Sequence[str] = (), descending: bool = False,
                  rows_per_task: int = 1_000_000, prefix: str = "cum_",
-                 n_rows: int | None = None) -> DataFrame:
+                 n_rows: int | None = None, totals: bool = False) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` of ``sum_cols`` in ``order_col``
     order within ``partition_cols``. ``order_col`` must be unique within a
     partition (aggregate by it first). ``n_rows`` (row count of ``df``, if
-    already known) saves a counting job."""
+    already known) saves a counting job. ``totals`` also adds the partition
+    totals ``tot_<c>``, from the same windows / bucket table (no extra scan)."""
     part = list(partition_cols)
     b, nb = _bucketed(df, order_col, rows_per_task, n_rows)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
-    w_in = Window.partitionBy(*part, "_bkt").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    out = b.select("*", *[F.sum(c).over(w_in).alias(f"_in_{c}") for c in sum_cols])
+    w_bkt = Window.partitionBy(*part, "_bkt")
+    w_in = w_bkt.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    extra = [F.sum(c).over(w_bkt).alias(f"_b_{c}") for c in sum_cols] if totals and nb == 1 else []
+    out = b.select("*", *[F.sum(c).over(w_in).alias(f"_in_{c}") for c in sum_cols], *extra)
     if nb > 1:
         tot = b.groupBy(*part, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
         border = F.col("_bkt").desc() if descending else F.col("_bkt").asc()
         w_off = Window.partitionBy(*part).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
-        offs = tot.select(*part, "_bkt", *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}")
-                                           for c in sum_cols])
+        w_all = Window.partitionBy(*part)
+        offs = tot.select(*part, "_bkt",
+                          *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
+                          *[F.sum(f"_t_{c}").over(w_all).alias(f"_b_{c}") for c in sum_cols])
         out = out.join(offs, [*part, "_bkt"])
-        out = out.select(*b.columns, *[(F.col(f"_in_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}")
-                                        for c in sum_cols])
+        cols = [(F.col(f"_in_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols]
     else:
-        out = out.select(*b.columns, *[F.col(f"_in_{c}").alias(f"{prefix}{c}") for c in sum_cols])
-    return out.drop("_bkt")
+        cols = [F.col(f"_in_{c}").alias(f"{prefix}{c}") for c in sum_cols]
+    if totals:
+        cols += [F.col(f"_b_{c}").alias(f"tot_{c}") for c in sum_cols]
+    return out.select(*b.columns, *cols).drop("_bkt")
 
 
 def stack(df: DataFrame, cols: Sequence[str], keep: Sequence[str] = (),
@@ -83,16 +89,9 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float], group_cols: Se
     """
     g = list(group_cols)
     counts = long.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
-    cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task)
-    if g:
-        totals = counts.groupBy(*g).agg(F.sum("_c").alias("_n"))
-        cum = cum.join(totals, g)            # one row per group on the right
-        n = F.col("_n")
-    else:
-        total = counts.agg(F.sum("_c")).first()[0]
-        if not total:
-            return long.sparkSession.createDataFrame([], "q double, value double")
-        n = F.lit(int(total))
+    # group sizes N come with the running sums (bucket windows / bucket table)
+    cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task, totals=True)
+    n = F.col("tot__c")
     start = F.col("cum__c") - F.col("_c")
     hits = []
     for q in probs:
