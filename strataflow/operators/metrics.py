@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
+from ..session import checkpointed
 from .prefix import running_sums
 
 
@@ -25,7 +26,8 @@ def roc_curve(pred: DataFrame, score: str = "score", label: str = "label", posit
     (0, 0) is implied.
     """
     is_pos = (F.col(label) == F.lit(positive)).cast("long")
-    per_score = pred.groupBy(score).agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg"))
+    per_score = checkpointed(   # one row per distinct score; scanned once, read twice
+        pred.groupBy(score).agg(F.sum(is_pos).alias("pos"), F.sum(1 - is_pos).alias("neg")))
     cum = running_sums(per_score, score, ["pos", "neg"], descending=True, rows_per_task=rows_per_task,
                        totals=True)
     return cum.select(

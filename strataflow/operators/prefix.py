@@ -18,6 +18,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import checkpointed
+
 
 def _bucketed(df: DataFrame, order_col: str, rows_per_task: int,
               n_rows: int | None = None) -> tuple[DataFrame, int]:
@@ -89,6 +91,9 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float], group_cols: Se
     """
     g = list(group_cols)
     counts = long.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
+    # the distinct-value table is read by the bucket sizing and by the final
+    # plan: checkpoint it (shared folder) so the input is scanned once
+    counts = checkpointed(counts)
     # group sizes N come with the running sums (bucket windows / bucket table)
     cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task, totals=True)
     n = F.col("tot__c")
