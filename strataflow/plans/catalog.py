@@ -19,7 +19,7 @@ from ..operators import quality as Q
 from ..operators import strata as ST
 from ..sources.events import load_trips, trips_from_events
 from ..sources.schema import TRIP_COLUMNS
-from ..sources.trips import read_reconciled
+from ..sources.trips import read_months, read_reconciled
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Builder] = {}
@@ -58,6 +58,15 @@ def q_scan_reconciled(spark, sf_dir):
     return trips_from_events(events)
 
 
+@query("union_months")
+def q_union_months(spark, sf_dir):
+    """Per-path read + cast + union by name over the folder's event files
+    (the driver data has one file per table, so one 'month')."""
+    from ..sources.events import EVENTS_SCHEMA
+    events = read_months(spark, [f"{sf_dir.rstrip('/')}/events.parquet"], EVENTS_SCHEMA)
+    return trips_from_events(events)
+
+
 # ---------------------------------------------------------------- quality
 @query("null_profile_top8")
 def q_null_profile(spark, sf_dir):

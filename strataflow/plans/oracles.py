@@ -14,6 +14,7 @@ def oracle(name: str, ctes: str, body: str) -> None:
 # ---------------------------------------------------------------- sources
 oracle("scan_trips", TRIPS, f"SELECT event_id, {TRIP_COLS} FROM trips")
 oracle("scan_reconciled", TRIPS, f"SELECT event_id, {TRIP_COLS} FROM trips")
+oracle("union_months", TRIPS, f"SELECT event_id, {TRIP_COLS} FROM trips")
 
 # ---------------------------------------------------------------- quality
 _null_cols = [c.strip() for c in TRIP_COLS.split(",")]

@@ -96,6 +96,23 @@ def read_reconciled(spark: SparkSession, paths: Sequence[str],
     return union_by_name(frames)
 
 
+def read_months(spark: SparkSession, paths: Sequence[str], schema: StructType = TRIP_SCHEMA,
+                key_col: str | None = None) -> DataFrame:
+    """Per-path load, cast to ``schema``, then union by name keeping
+    duplicates (S3, U1): one frame per monthly path, as the study's cluster
+    job does. :func:`read_reconciled` is the same result with one scan per
+    distinct footer schema; this form keeps one scan per path, which lets a
+    caller add per-month columns or filters before the union."""
+    frames = []
+    for p in paths:
+        raw = spark.read.parquet(p)
+        cols = conform_columns(raw, schema)
+        if key_col:
+            cols.append(file_row_key().alias(key_col))
+        frames.append(raw.select(*cols))
+    return union_by_name(frames)
+
+
 def month_paths(base: str, year: int, months: Iterable[int] = range(1, 13),
                 pattern: str = "yellow_tripdata_{year}-{month:02d}.parquet") -> list[str]:
     """Monthly file paths under any Hadoop file-system base URI."""

@@ -81,3 +81,13 @@ def test_file_row_key_unique_and_stable(spark, mixed_dir):
     b = read_reconciled(spark, [mixed_dir], key_col="k").repartition(3)
     assert sorted(keys) == sorted(r[0] for r in b.select("k").collect())
     assert all(k.startswith("yellow_tripdata_2024-0") for k in keys)
+
+
+def test_read_months_equals_reconciled(spark, mixed_dir):
+    from strataflow.sources.trips import read_months
+    paths = month_paths(mixed_dir, 2024, [1, 2, 3])
+    a = read_months(spark, paths, key_col="k")
+    b = read_reconciled(spark, paths, key_col="k")
+    assert sorted(map(tuple, a.collect()), key=repr) == sorted(map(tuple, b.collect()), key=repr)
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 3   # one scan per month path
