@@ -226,7 +226,8 @@ def q_histogram(spark, sf_dir):
 
 @query("kde")
 def q_kde(spark, sf_dir):
-    return EX.kde(prepared_trips(spark, sf_dir), "trip_distance", grid_points=200)
+    k = EX.kde(prepared_trips(spark, sf_dir), "trip_distance", grid_points=200)
+    return k.select("x", F.round("density", 12).alias("density"))
 
 
 @query("density_grid")

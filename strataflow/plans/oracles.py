@@ -284,3 +284,16 @@ oracle("silhouette", CSTATS, """SELECT round(avg(CASE WHEN n_own <= 1 THEN 0.0 W
   WHEN a > b THEN b / a - 1.0 ELSE 0.0 END), 6) AS silhouette FROM pt""")
 oracle("wssse", CSTATS, f"""SELECT round(sum({" + ".join(f"({c}_scaled - s_{c} / n) * ({c}_scaled - s_{c} / n)" for c in _CLUS)}), 4) AS wssse
 FROM scaled JOIN cs ON scaled.prediction = cs.cid""")
+
+oracle("kde", PREPARED + """,
+st AS (SELECT count(trip_distance) AS n, stddev_samp(trip_distance) AS sd, min(trip_distance) AS lo,
+              max(trip_distance) AS hi FROM prepared),
+par AS (SELECT n, lo, hi, sd * pow(n, -0.2) AS h, (hi - lo) / 4096.0 AS width, (hi - lo) / 199.0 AS step FROM st),
+bins AS (SELECT CAST(least(floor((trip_distance - lo) / (hi - lo) * 4096.0), 4095) AS INTEGER) AS b, count(*) AS c
+         FROM prepared, par WHERE trip_distance IS NOT NULL GROUP BY 1),
+terms AS (SELECT g.i, bins.c * exp(-0.5 * ((par.lo + g.i * par.step - (par.lo + (bins.b + 0.5) * par.width)) / par.h)
+                                       * ((par.lo + g.i * par.step - (par.lo + (bins.b + 0.5) * par.width)) / par.h)) AS t
+          FROM bins, par, (SELECT unnest(range(0, 200)) AS i) g)""",
+       f"""SELECT par.lo + i * par.step AS x,
+  round(sum(t) / (par.n * par.h * {__import__('math').sqrt(2.0 * __import__('math').pi)!r}), 12) AS density
+FROM terms, par GROUP BY i, par.lo, par.step, par.n, par.h""")
