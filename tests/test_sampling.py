@@ -88,3 +88,12 @@ def test_fractions_map_missing_key_is_zero(spark, sf01):
     s = SA.stratified_sample(base, fractions={keys[0]: 1.0})
     assert s.select("stratum").distinct().count() == 1
     assert s.count() == base.filter(F.col("stratum") == keys[0]).count()
+
+
+def test_xxhash_uniform_is_uniform_and_stable(spark):
+    from strataflow.functions.hashing import uniform
+    df = spark.range(0, 20000).select(uniform("id", "s", "xxhash").alias("u"))
+    r = df.agg(F.min("u"), F.max("u"), F.avg("u")).first()
+    assert 0 <= r[0] and r[1] < 1 and abs(r[2] - 0.5) < 0.01
+    again = spark.range(0, 20000).repartition(5).select(uniform("id", "s", "xxhash").alias("u"))
+    assert sorted(x[0] for x in df.collect()) == sorted(x[0] for x in again.collect())
