@@ -12,9 +12,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 TWO_POW_32 = 4294967296.0
+_DEFAULT_METHOD = "md5"
 
 
-def uniform(key: Column | str, salt: str, method: str = "md5") -> Column:
+def set_default_method(method: str) -> None:
+    """Choose the hash behind every sample / split flag: ``md5`` or ``xxhash``."""
+    global _DEFAULT_METHOD
+    if method not in ("md5", "xxhash"):
+        raise ValueError(f"unknown hash method {method!r}")
+    _DEFAULT_METHOD = method
+
+
+def uniform(key: Column | str, salt: str, method: str | None = None) -> Column:
     """u(salt, key) in [0, 1); JVM-side, codegen friendly.
 
     ``md5`` (default) is reproducible by any SQL engine (the oracles use
@@ -23,6 +32,7 @@ def uniform(key: Column | str, salt: str, method: str = "md5") -> Column:
     Spark-specific.
     """
     key = F.col(key) if isinstance(key, str) else key
+    method = method or _DEFAULT_METHOD
     if method == "xxhash":
         low = F.pmod(F.xxhash64(F.lit(salt), key), F.lit(4294967296))
         return low.cast("double") / F.lit(TWO_POW_32)
