@@ -13,11 +13,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.ml import Pipeline
+from pyspark.sql.types import StructType
+
 from ..functions import constants as C
+from ..functions.hashing import uniform
+from ..operators import explore as EX
 from ..operators import features as FE
+from ..operators import metrics as ME
+from ..operators import models as MO
 from ..operators import quality as Q
+from ..operators import sampling as SA
 from ..operators import strata as ST
-from ..sources.events import load_trips, trips_from_events
+from ..session import checkpointed, fit_partitions
+from ..sources.events import EVENTS_SCHEMA, load_trips, trips_from_events
 from ..sources.schema import TRIP_COLUMNS
 from ..sources.trips import read_months, read_reconciled
 
@@ -49,12 +58,10 @@ def q_scan_trips(spark, sf_dir):
 
 @query("scan_reconciled")
 def q_scan_reconciled(spark, sf_dir):
-    from pyspark.sql.types import (DoubleType, LongType, StringType, StructField, StructType,
-                                   TimestampNTZType)
-    events_schema = StructType([
-        StructField("event_id", LongType()), StructField("ts", TimestampNTZType()),
-        StructField("value", DoubleType()), StructField("props", StringType())])
-    events = read_reconciled(spark, [f"{sf_dir.rstrip('/')}/events.parquet"], events_schema)
+    """Footer-schema-grouped read, conformed to the event columns the trip
+    derivation needs."""
+    needed = StructType([f for f in EVENTS_SCHEMA.fields if f.name in ("event_id", "ts", "value", "props")])
+    events = read_reconciled(spark, [f"{sf_dir.rstrip('/')}/events.parquet"], needed)
     return trips_from_events(events)
 
 
@@ -62,7 +69,6 @@ def q_scan_reconciled(spark, sf_dir):
 def q_union_months(spark, sf_dir):
     """Per-path read + cast + union by name over the folder's event files
     (the driver data has one file per table, so one 'month')."""
-    from ..sources.events import EVENTS_SCHEMA
     events = read_months(spark, [f"{sf_dir.rstrip('/')}/events.parquet"], EVENTS_SCHEMA)
     return trips_from_events(events)
 
@@ -135,7 +141,6 @@ def q_strata_distinct(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- sampling
-from ..operators import sampling as SA  # noqa: E402
 
 SAMPLE_FRACTION = 0.1       # stratified Bernoulli rate of the registered sample
 EXACT_SAMPLE_N = 1000       # total size of the exact proportional sample
@@ -193,7 +198,6 @@ def q_max_deviation(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- exploration
-from ..operators import explore as EX  # noqa: E402
 
 QUANTILE_PROBS = (0.25, 0.5, 0.75, 0.99)
 BOX_COLUMNS = ("trip_distance", "fare_amount", "trip_duration_min")
@@ -267,10 +271,6 @@ def q_box_stats(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- features
-from ..functions.hashing import uniform  # noqa: E402
-from ..operators import metrics as ME  # noqa: E402
-from ..operators import models as MO  # noqa: E402
-from ..session import checkpointed, fit_partitions  # noqa: E402
 
 
 def indexed(spark, sf_dir):
@@ -293,7 +293,6 @@ def q_one_hot(spark, sf_dir):
     df = prepared_trips(spark, sf_dir)
     cols = []
     idx, ohe = FE.categorical_stages(C.CATEGORICAL_FEATURES)
-    from pyspark.ml import Pipeline
     model = Pipeline(stages=idx + ohe).fit(df)
     out = model.transform(df)
     for c, labels in zip(C.CATEGORICAL_FEATURES, model.stages[0].labelsArray):
@@ -405,8 +404,7 @@ def sample_m(spark, sf_dir):
 
 
 def forest_run(spark, sf_dir):
-    from ..operators.sampling import with_split
-    data = with_split(sample_m(spark, sf_dir))
+    data = SA.with_split(sample_m(spark, sf_dir))
     train = data.filter(F.col("split") == "train")
     test = data.filter(F.col("split") == "test")
     model = MO.fit_forest(train)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import math
+
+from ..functions.hashing import uniform_sql
 from .oracle import PREPARED, STRATA, TRIP_COLS, TRIPS, with_ctes
 
 ORACLES: dict[str, str] = {}
@@ -81,7 +84,6 @@ oracle("strata_shares", STRATA,
 oracle("strata_distinct", STRATA, "SELECT count(DISTINCT stratum) AS n_strata FROM strata")
 
 # ---------------------------------------------------------------- sampling
-from ..functions.hashing import uniform_sql  # noqa: E402
 
 _U_STRATA = uniform_sql("event_id", "strata:42")
 _U_EXACT = uniform_sql("event_id", "exact:42")
@@ -295,5 +297,5 @@ terms AS (SELECT g.i, bins.c * exp(-0.5 * ((par.lo + g.i * par.step - (par.lo +
                                        * ((par.lo + g.i * par.step - (par.lo + (bins.b + 0.5) * par.width)) / par.h)) AS t
           FROM bins, par, (SELECT unnest(range(0, 200)) AS i) g)""",
        f"""SELECT par.lo + i * par.step AS x,
-  round(sum(t) / (par.n * par.h * {__import__('math').sqrt(2.0 * __import__('math').pi)!r}), 12) AS density
+  round(sum(t) / (par.n * par.h * {math.sqrt(2.0 * math.pi)!r}), 12) AS density
 FROM terms, par GROUP BY i, par.lo, par.step, par.n, par.h""")
