@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from .joins import join_summary
 from .prefix import exact_quantiles_long, stack
 
 APPROX_ACCURACY = 10_000
@@ -229,7 +230,7 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], clip_q: float | None
     fences = quart.select(by, "column_name", "q1", "median", "q3",
                           (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
                           (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
-    j = long.join(fences, [by, "column_name"])
+    j = join_summary(long, fences, [by, "column_name"])
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return j.groupBy(by, "column_name", "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"),

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import checkpointed
+from .joins import join_summary
 
 
 def _bucketed(df: DataFrame, order_col: str, rows_per_task: int,
@@ -59,7 +60,7 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
         offs = tot.select(*part, "_bkt",
                           *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],
                           *[F.sum(f"_t_{c}").over(w_all).alias(f"_b_{c}") for c in sum_cols])
-        out = out.join(offs, [*part, "_bkt"])
+        out = join_summary(out, offs, [*part, "_bkt"])
         cols = [(F.col(f"_in_{c}") + F.col(f"_o_{c}")).alias(f"{prefix}{c}") for c in sum_cols]
     else:
         cols = [F.col(f"_in_{c}").alias(f"{prefix}{c}") for c in sum_cols]

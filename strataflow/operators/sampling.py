@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.hashing import uniform
 from ..session import checkpointed
+from .joins import join_summary
 from .strata import STRATUM
 
 
@@ -134,7 +135,7 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
         bc = cand.groupBy(key, "_b").agg(F.count(F.lit(1)).alias("_n"))
         offs = bc.withColumn("_off", F.sum("_n").over(
             Window.partitionBy(key).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1))).fillna(0, ["_off"])
-        cand = cand.join(offs.select(key, "_b", "_off"), [key, "_b"])
+        cand = join_summary(cand, offs.select(key, "_b", "_off"), [key, "_b"])
     amap = F.create_map(*[x for k, a in alloc.items() for x in (F.lit(k), F.lit(int(a)))])
     rank = F.row_number().over(Window.partitionBy(key, "_b").orderBy("_u", row_key))
     if offs is not None:
