@@ -28,6 +28,8 @@ def get_spark(app: str = "strataflow", master: str | None = None,
           .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
           .config("spark.sql.adaptive.skewJoin.enabled", "true")
           .config("spark.sql.parquet.mergeSchema", "false")
+          # remove checkpoint files once their DataFrame is garbage collected
+          .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
           .config("spark.sql.execution.arrow.pyspark.enabled", "true")
           .config("spark.ui.enabled", "false"))
     if shuffle_partitions:
