@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -80,12 +81,14 @@ def read_reconciled(spark: SparkSession, paths: Sequence[str],
     Filters and projections applied later still push into every scan.
     ``key_col`` adds a stable unique row key (:func:`file_row_key`).
     """
-    files: list[str] = []
-    for p in paths:
-        files.extend(spark.read.parquet(p).inputFiles())
+    # footer reads are small independent jobs: run them concurrently
+    with ThreadPoolExecutor(max_workers=16) as pool:
+        listed = list(pool.map(lambda p: spark.read.parquet(p).inputFiles(), paths))
+        files = sorted({f for fs in listed for f in fs})
+        keys = list(pool.map(lambda f: _file_schema_key(spark, f), files))
     groups: dict[str, list[str]] = {}
-    for f in sorted(set(files)):
-        groups.setdefault(_file_schema_key(spark, f), []).append(f)
+    for f, key in zip(files, keys):
+        groups.setdefault(key, []).append(f)
     frames = []
     for _, fs in sorted(groups.items()):
         raw = spark.read.parquet(*fs)
