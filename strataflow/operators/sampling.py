@@ -110,12 +110,11 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
         return df.filter(F.lit(False))
     alloc = allocate(counts, n)
     u = uniform(row_key, salt_for("exact", seed))
-    margin = z
+    thr = {}
+    for k, c in counts.items():
+        m = alloc[k]
+        thr[k] = 1.0 if m >= c else min(1.0, (m + max(z, 0.0) * math.sqrt(m + 1.0) + 10.0) / c)
     while True:
-        thr = {}
-        for k, c in counts.items():
-            m = alloc[k]
-            thr[k] = 1.0 if m >= c else min(1.0, (m + margin * math.sqrt(m + 1.0) + 10.0) / c)
         tmap = F.create_map(*[x for k, t in thr.items() for x in (F.lit(k), F.lit(float(t)))])
         # candidates are about n rows: checkpoint them so the count, the bucket
         # table and the ranking read them instead of rescanning the input
@@ -124,7 +123,8 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
         short = [k for k in counts if got.get(k, 0) < alloc[k]]
         if not short:
             break
-        margin *= 4.0
+        for k in short:   # widen only the short strata; at 1.0 a stratum is complete
+            thr[k] = min(1.0, thr[k] * 2.0)
     n_max = max(got.values()) if got else 0
     buckets = max(1, math.ceil(n_max / rows_per_task))
     cand = cand.withColumn("_b", F.least(F.floor(F.col("_u") / tmap[F.col(key)] * buckets),

@@ -97,3 +97,10 @@ def test_xxhash_uniform_is_uniform_and_stable(spark):
     assert 0 <= r[0] and r[1] < 1 and abs(r[2] - 0.5) < 0.01
     again = spark.range(0, 20000).repartition(5).select(uniform("id", "s", "xxhash").alias("u"))
     assert sorted(x[0] for x in df.collect()) == sorted(x[0] for x in again.collect())
+
+
+def test_exact_sample_retries_short_strata(spark, sf01):
+    base = _silver(spark, sf01)
+    a = SA.stratified_exact(base, 700, z=-50.0)   # first oversample too tight on purpose
+    b = SA.stratified_exact(base, 700)
+    assert {r[0] for r in a.select("event_id").collect()} == {r[0] for r in b.select("event_id").collect()}
