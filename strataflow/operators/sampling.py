@@ -93,7 +93,8 @@ def allocate(counts: Mapping[str, int], n: int) -> dict[str, int]:
 
 def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
                      row_key: str = "event_id", z: float = 6.0,
-                     rows_per_task: int = 1_000_000) -> DataFrame:
+                     rows_per_task: int = 1_000_000,
+                     counts: Mapping[str, int] | None = None) -> DataFrame:
     """Exactly n_i rows per stratum: the n_i smallest (u, row_key) (M3).
 
     1. per-stratum counts (partial aggregation; one row per stratum);
@@ -105,7 +106,9 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
        inside one bucket, so no task holds more than ~``rows_per_task`` rows
        even when one stratum holds a third of the data.
     """
-    counts = {r[0]: r[1] for r in df.groupBy(key).count().collect()}
+    if counts is None:   # per-stratum sizes; pass them when already known to save a scan
+        counts = {r[0]: r[1] for r in df.groupBy(key).count().collect()}
+    counts = dict(counts)
     if not counts:
         return df.filter(F.lit(False))
     alloc = allocate(counts, n)
@@ -196,10 +199,16 @@ def sample_validation(population: DataFrame, sample: DataFrame | None = None, ke
                      F.coalesce(F.try_divide(F.col("n_sample"), F.sum("n_sample").over(w)),
                                 F.lit(0.0)).alias("share_sample"))
         return v.withColumn("abs_err", F.abs(F.col("share_pop") - F.col("share_sample")))
-    pop = population.groupBy(key).agg(F.count(F.lit(1)).alias("n_pop"))
-    pop = pop.withColumn("share_pop", F.col("n_pop") / F.sum("n_pop").over(w))
-    smp = sample.groupBy(key).agg(F.count(F.lit(1)).alias("n_sample"))
-    smp = smp.withColumn("share_sample", F.col("n_sample") / F.sum("n_sample").over(w))
+    return validation_from_counts(population.groupBy(key).agg(F.count(F.lit(1)).alias("n_pop")),
+                                  sample.groupBy(key).agg(F.count(F.lit(1)).alias("n_sample")), key)
+
+
+def validation_from_counts(pop_counts: DataFrame, sample_counts: DataFrame, key: str = STRATUM) -> DataFrame:
+    """J1 from per-stratum counts (key, n_pop) and (key, n_sample): lets a
+    caller reuse population counts it already has instead of rescanning."""
+    w = Window.partitionBy()
+    pop = pop_counts.withColumn("share_pop", F.col("n_pop") / F.sum("n_pop").over(w))
+    smp = sample_counts.withColumn("share_sample", F.col("n_sample") / F.sum("n_sample").over(w))
     v = pop.join(smp, key, "left").fillna(0, ["n_sample"]).fillna(0.0, ["share_sample"])
     return v.select(key, "n_pop", "n_sample", "share_pop", "share_sample",
                     F.abs(F.col("share_pop") - F.col("share_sample")).alias("abs_err"))

@@ -21,7 +21,7 @@ import argparse
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
@@ -57,17 +57,19 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     r.tables["silver_funnel"] = Q.rule_funnel(trips, Q.silver_rules(year))
     r.tables["silver_rejects"] = Q.rule_rejects(trips, Q.silver_rules(year))
     d = ST.with_strata(Q.silver(trips, year=year))
-    r.tables["strata"] = ST.strata_counts(d)
-
+    # pass 1 over D: per-stratum counts (tiny, checkpointed) give N and the population side
+    pop = checkpointed(d.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_pop")))
+    r.tables["strata"] = pop.select("stratum", F.col("n_pop").alias("n"),
+                                    (F.col("n_pop") / F.sum("n_pop").over(Window.partitionBy())).alias("share"))
+    n_silver = pop.agg(F.sum("n_pop")).first()[0] or 0
+    # pass 2 over D: the sample itself; its counts come from the checkpoint
     if exact_sample:
-        m = checkpointed(SA.stratified_exact(d, n_sample, seed=seed, row_key=row_key))
-        v = SA.sample_validation(d, m)
+        sizes = {r["stratum"]: r["n_pop"] for r in pop.collect()}   # one row per stratum
+        m = checkpointed(SA.stratified_exact(d, n_sample, seed=seed, row_key=row_key, counts=sizes))
     else:
-        n_silver = d.count()
         fraction = SA.proportional_fraction(n_sample, n_silver)
         m = checkpointed(SA.stratified_sample(d, fraction=fraction, seed=seed, row_key=row_key))
-        # population and sample counts in one scan of D
-        v = SA.sample_validation(d, in_sample=SA.sample_flag(fraction, seed, row_key, "strata"))
+    v = SA.validation_from_counts(pop, m.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_sample")))
     r.tables["sample_validation"] = v
     r.scalars["max_abs_err"] = SA.max_deviation(v).first()[0]
 

@@ -32,3 +32,10 @@ def test_study_cli_on_mixed_monthly_files(spark, sf001, capsys):
     main([base, "--months", "1-2", "--sample", "400"])
     out = capsys.readouterr().out
     assert "== silver_funnel" in out and "== kmeans_sweep" in out and '"auc"' in out
+
+
+def test_study_exact_sample(spark, sf001):
+    res = run_study(load_trips(spark, sf001), n_sample=300, exact_sample=True, ks=range(2, 3), trees=5, depth=3)
+    v = res.tables["sample_validation"].collect()
+    assert sum(r["n_sample"] for r in v) == 300
+    assert res.scalars["max_abs_err"] < 0.01
