@@ -47,15 +47,18 @@ def conform(df: DataFrame, schema: StructType = TRIP_SCHEMA) -> DataFrame:
 
 
 def file_row_key() -> Column:
-    """Stable unique row key of a Parquet row: '<file name>:<row index>'.
+    """Stable unique row key of a Parquet row: '<folder>/<file name>:<row index>'.
 
     Trip files carry no key; the file-source metadata gives one that is the
     same on every run and for any partitioning, unique by construction
     (unlike a hash of the row's values, which identical rows share), and
     cheap: no per-row hashing of all columns, and a small expression for the
-    optimizer to push through unions and filters.
+    optimizer to push through unions and filters. The parent folder is kept
+    so partitioned layouts (``month=01/part-0.parquet``) stay unique, while
+    moving the whole dataset to another bucket keeps the keys.
     """
-    return F.concat_ws(":", F.col("_metadata.file_name"), F.col("_metadata.row_index").cast("string"))
+    where = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    return F.concat_ws(":", where, F.col("_metadata.row_index").cast("string"))
 
 
 def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:

@@ -80,7 +80,17 @@ def test_file_row_key_unique_and_stable(spark, mixed_dir):
     assert len(keys) == len(set(keys)) == 7
     b = read_reconciled(spark, [mixed_dir], key_col="k").repartition(3)
     assert sorted(keys) == sorted(r[0] for r in b.select("k").collect())
-    assert all(k.startswith("yellow_tripdata_2024-0") for k in keys)
+    assert all(k.split("/")[1].startswith("yellow_tripdata_2024-0") for k in keys)
+
+
+def test_file_row_key_unique_across_partition_folders(spark, tmp_path):
+    from strataflow.sources.trips import read_trips
+    for m in ("01", "02"):   # same file name in two partition folders
+        spark.range(3).selectExpr("CAST(id AS DOUBLE) AS fare_amount").coalesce(1) \
+            .write.parquet(str(tmp_path / f"month={m}"))
+    df = read_trips(spark, str(tmp_path), key_col="k")
+    keys = [r[0] for r in df.select("k").collect()]
+    assert len(keys) == len(set(keys)) == 6
 
 
 def test_read_months_equals_reconciled(spark, mixed_dir):
