@@ -119,6 +119,11 @@ def q_describe(spark, sf_dir):
                     "min_text", "max_text")
 
 
+@query("class_filter")
+def q_class_filter(spark, sf_dir):
+    return Q.class_filter(prepared_trips(spark, sf_dir), "pay_class", C.CARD).select("event_id", "pay_class")
+
+
 @query("class_balance")
 def q_class_balance(spark, sf_dir):
     return Q.class_balance(prepared_trips(spark, sf_dir), "pay_class")
@@ -256,6 +261,12 @@ def q_cluster_profile(spark, sf_dir):
     return EX.cluster_profile(assigned_trips(spark, sf_dir))
 
 
+@query("cluster_means")
+def q_cluster_means(spark, sf_dir):
+    m = EX.cluster_means(assigned_trips(spark, sf_dir), C.CLUSTER_FEATURES)
+    return m.select("prediction", "n", *[F.round(c, 6).alias(c) for c in C.CLUSTER_FEATURES])
+
+
 @query("cluster_zscores")
 def q_cluster_zscores(spark, sf_dir):
     means = EX.cluster_means(assigned_trips(spark, sf_dir), C.CLUSTER_FEATURES)

@@ -299,3 +299,7 @@ terms AS (SELECT g.i, bins.c * exp(-0.5 * ((par.lo + g.i * par.step - (par.lo +
        f"""SELECT par.lo + i * par.step AS x,
   round(sum(t) / (par.n * par.h * {math.sqrt(2.0 * math.pi)!r}), 12) AS density
 FROM terms, par GROUP BY i, par.lo, par.step, par.n, par.h""")
+
+oracle("class_filter", PREPARED, "SELECT event_id, pay_class FROM prepared WHERE pay_class = 'card'")
+oracle("cluster_means", ASSIGNED, f"""SELECT prediction, count(*) AS n,
+  {", ".join(f"round(avg({c}::DOUBLE), 6) AS {c}" for c in _CLUS)} FROM assigned GROUP BY prediction""")
