@@ -142,3 +142,56 @@ def class_balance(df: DataFrame, col: str, by: Sequence[str] = (), digits: int |
 def class_filter(df: DataFrame, col: str, value) -> DataFrame:
     """Keep one class."""
     return df.filter(F.col(col) == F.lit(value))
+
+
+# ---------------------------------------------------------------- one-pass population summary
+def population_summary(df: DataFrame, rules: Mapping[str, Column], key: Column,
+                       cols: Sequence[str] | None = None) -> tuple[DataFrame, list[str], list[str]]:
+    """One scan of D → a table of at most (#strata + 1) rows holding, per
+    stratum of the kept rows (and one null-stratum row for rejected rows):
+    the row count, every column's null count and every rule's failure count.
+
+    The null profile (Q1-Q2), the funnel (Q5), per-rule rejections (Q6) and
+    the stratum counts (A2) all derive from it, so a study reads D once for
+    all four instead of once each.
+    """
+    cols = list(cols) if cols is not None else df.columns
+    kept = F.coalesce(_all(rules), F.lit(False))
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"null_{i}") for i, c in enumerate(cols)]
+    aggs += [F.sum(F.when(c, 0).otherwise(1)).alias(f"fail_{i}") for i, c in enumerate(rules.values())]
+    summary = df.groupBy(F.when(kept, key).alias("stratum")).agg(*aggs)
+    return summary, cols, list(rules)
+
+
+def null_profile_from_summary(summary: DataFrame, cols: Sequence[str], top: int | None = 8,
+                              digits: int = 4) -> DataFrame:
+    tot = summary.agg(F.sum("n").alias("n"), *[F.sum(f"null_{i}").alias(f"null_{i}") for i in range(len(cols))])
+    long = tot.select(F.inline(F.array(*[
+        F.struct(F.lit(c).alias("column_name"),
+                 F.round(F.col(f"null_{i}") / F.col("n"), digits).alias("null_rate"))
+        for i, c in enumerate(cols)])))
+    ordered = long.orderBy(F.col("null_rate").desc(), F.col("column_name"))
+    return ordered.limit(top) if top else ordered
+
+
+def funnel_from_summary(summary: DataFrame) -> DataFrame:
+    agg = summary.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias("rows_in"),
+                      F.coalesce(F.sum(F.when(F.col("stratum").isNotNull(), F.col("n"))), F.lit(0))
+                      .cast("long").alias("rows_kept"))
+    return agg.select("rows_in", "rows_kept",
+                      F.when(F.col("rows_in") > 0, (F.lit(1.0) - F.col("rows_kept") / F.col("rows_in"))
+                             * F.lit(100.0)).alias("discarded_pct"))
+
+
+def rejects_from_summary(summary: DataFrame, rule_names: Sequence[str]) -> DataFrame:
+    agg = summary.agg(*[F.coalesce(F.sum(f"fail_{i}"), F.lit(0)).cast("long").alias(f"r{i}")
+                        for i in range(len(rule_names))])
+    return agg.select(F.inline(F.array(*[
+        F.struct(F.lit(i + 1).alias("rule_no"), F.lit(n).alias("rule"), F.col(f"r{i}").alias("rejected"))
+        for i, n in enumerate(rule_names)])))
+
+
+def strata_from_summary(summary: DataFrame) -> DataFrame:
+    kept = summary.filter(F.col("stratum").isNotNull()).select("stratum", "n")
+    return kept.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy()))

@@ -21,10 +21,11 @@ import argparse
 import json
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import constants as C
+from ..functions import trip_columns as TC
 from ..operators import explore as EX
 from ..operators import features as FE
 from ..operators import metrics as ME
@@ -53,18 +54,22 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     reproducible.
     """
     r = StudyResult()
-    r.tables["null_profile"] = Q.null_profile(trips.drop(row_key), top=8)
-    r.tables["silver_funnel"] = Q.rule_funnel(trips, Q.silver_rules(year))
-    r.tables["silver_rejects"] = Q.rule_rejects(trips, Q.silver_rules(year))
-    d = ST.with_strata(Q.silver(trips, year=year))
-    # pass 1 over D: per-stratum counts (tiny, checkpointed) give N and the population side
-    pop = checkpointed(d.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_pop")))
-    r.tables["strata"] = pop.select("stratum", F.col("n_pop").alias("n"),
-                                    (F.col("n_pop") / F.sum("n_pop").over(Window.partitionBy())).alias("share"))
+    rules = Q.silver_rules(year)
+    # pass 1 over D: one aggregation (≤ strata + 1 rows, checkpointed) feeds the
+    # null profile, the funnel, the per-rule rejections and the stratum counts
+    key = F.concat_ws("|", TC.day_type(), TC.pickup_zone(), TC.pay_class())
+    summary, cols, names = Q.population_summary(trips, rules, key, [c for c in trips.columns if c != row_key])
+    summary = checkpointed(summary)
+    r.tables["null_profile"] = Q.null_profile_from_summary(summary, cols, top=8)
+    r.tables["silver_funnel"] = Q.funnel_from_summary(summary)
+    r.tables["silver_rejects"] = Q.rejects_from_summary(summary, names)
+    r.tables["strata"] = Q.strata_from_summary(summary)
+    pop = summary.filter(F.col("stratum").isNotNull()).select("stratum", F.col("n").alias("n_pop"))
     n_silver = pop.agg(F.sum("n_pop")).first()[0] or 0
+    d = ST.with_strata(Q.silver(trips, rules))
     # pass 2 over D: the sample itself; its counts come from the checkpoint
     if exact_sample:
-        sizes = {r["stratum"]: r["n_pop"] for r in pop.collect()}   # one row per stratum
+        sizes = {row["stratum"]: row["n_pop"] for row in pop.collect()}   # one row per stratum
         m = checkpointed(SA.stratified_exact(d, n_sample, seed=seed, row_key=row_key, counts=sizes))
     else:
         fraction = SA.proportional_fraction(n_sample, n_silver)

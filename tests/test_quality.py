@@ -56,3 +56,21 @@ def test_leakage_guard():
     with pytest.raises(ValueError):
         check_no_leakage(["fare_amount", "tip_amount"])
     check_no_leakage(["fare_amount"])
+
+
+def test_population_summary_matches_direct_reports(spark, sf01):
+    from pyspark.sql import functions as F
+
+    from strataflow.functions.trip_columns import day_type, pay_class, pickup_zone
+    from strataflow.sources.schema import TRIP_COLUMNS
+    trips = load_trips(spark, sf01)
+    key = F.concat_ws("|", day_type(), pickup_zone(), pay_class())
+    summary, cols, names = Q.population_summary(trips, Q.silver_rules(), key, TRIP_COLUMNS)
+    summary = summary.cache()
+    assert summary.count() <= 13
+    assert Q.null_profile_from_summary(summary, cols).collect() == \
+        Q.null_profile(trips.select(*TRIP_COLUMNS)).collect()
+    assert Q.funnel_from_summary(summary).collect() == Q.rule_funnel(trips).collect()
+    assert Q.rejects_from_summary(summary, names).collect() == Q.rule_rejects(trips).collect()
+    direct = {r["stratum"]: r["n"] for r in strata_counts(with_strata(Q.silver(trips))).collect()}
+    assert {r["stratum"]: r["n"] for r in Q.strata_from_summary(summary).collect()} == direct
