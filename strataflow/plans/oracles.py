@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 
 from ..functions.hashing import uniform_sql
-from .oracle import PREPARED, STRATA, TRIP_COLS, TRIPS, with_ctes
+from .sql_ctes import PREPARED, STRATA, TRIP_COLS, TRIPS, with_ctes
 
 ORACLES: dict[str, str] = {}
 
