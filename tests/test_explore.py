@@ -91,3 +91,23 @@ def test_group_share_and_zscores(spark):
     m = spark.createDataFrame([(0, 1.0), (1, 3.0)], "prediction int, v double")
     z = {r["prediction"]: r["z"] for r in EX.cluster_zscores(m, ["v"]).collect()}
     assert z == {0: -1.0, 1: 1.0}
+
+
+def test_join_summary_both_paths(spark):
+    from strataflow.operators.joins import join_summary
+    big = spark.range(0, 1000).select((F.col("id") % 3).alias("g"), F.col("id"))
+    small = big.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
+    a = join_summary(big, small, ["g"])                          # broadcast path
+    b = join_summary(big, small, ["g"], max_broadcast_rows=0)    # shuffle-join fallback
+    assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
+    assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
+
+
+def test_box_stats_approx_and_grouped_approx_quantiles(spark):
+    df, pdf = _frame(spark)
+    ex = {(r["g"], r["column_name"]): r["median"] for r in EX.box_stats(df, "g", ["y"], clip_q=None).collect()}
+    ap = {(r["g"], r["column_name"]): r["median"] for r in
+          EX.box_stats(df, "g", ["y"], clip_q=None, exact=False).collect()}
+    assert ex.keys() == ap.keys() and all(abs(ex[k] - ap[k]) < 0.05 for k in ex)
+    q = EX.quantiles(df, ["y"], [0.5], by=["g"], exact=False).collect()
+    assert len(q) == 3
