@@ -134,12 +134,15 @@ def main(argv=None) -> None:
     ap.add_argument("--months", default="1-12")
     ap.add_argument("--sample", type=int, default=50_000)
     ap.add_argument("--exact-sample", action="store_true")
+    ap.add_argument("--out", help="folder (any Hadoop FS URI) to write every result table to as Parquet")
     a = ap.parse_args(argv)
     lo, hi = (int(x) for x in a.months.split("-"))
     spark: SparkSession = get_spark("strataflow-study")
     trips = read_reconciled(spark, month_paths(a.base, a.year, range(lo, hi + 1)), key_col="trip_key")
     res = run_study(trips, a.sample, year=a.year, exact_sample=a.exact_sample, row_key="trip_key")
     for name, t in res.tables.items():
+        if a.out:
+            t.write.mode("overwrite").parquet(f"{a.out.rstrip('/')}/{name}")
         print(f"== {name}")
         t.show(50, truncate=False)
     print(json.dumps({k: v for k, v in res.scalars.items()}, default=str))

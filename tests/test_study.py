@@ -29,9 +29,11 @@ def test_study_cli_on_mixed_monthly_files(spark, sf001, capsys):
        .withColumn("RatecodeID", F.col("RatecodeID").cast("long")) \
        .coalesce(1).write.parquet(f"{base}/yellow_tripdata_2024-01.parquet")
     feb.coalesce(1).write.parquet(f"{base}/yellow_tripdata_2024-02.parquet")
-    main([base, "--months", "1-2", "--sample", "400"])
+    out_dir = tempfile.mkdtemp(prefix="strataflow-out-")
+    main([base, "--months", "1-2", "--sample", "400", "--out", out_dir])
     out = capsys.readouterr().out
     assert "== silver_funnel" in out and "== kmeans_sweep" in out and '"auc"' in out
+    assert spark.read.parquet(f"{out_dir}/strata").count() == 11
 
 
 def test_study_exact_sample(spark, sf001):
