@@ -15,8 +15,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from ..session import checkpointed
 from .joins import join_summary
-from .prefix import exact_quantiles_long, stack
+from .prefix import exact_quantiles_long, quantiles_from_counts, stack
 
 APPROX_ACCURACY = 10_000
 
@@ -214,26 +215,58 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], clip_q: float | None
     Each column is first cut at its own global ``clip_q`` quantile (strictly
     below), then per group: quartiles (linear), 1.5·IQR fences, whiskers at
     the last data point inside the fences, and the count outside them.
-    Quartiles stay a DataFrame (one row per group and column) joined back on
-    the group keys, so no group is gathered anywhere.
+
+    Exact mode reads the input ONCE: it builds the checkpointed table of
+    distinct (group, column, value) with multiplicities, and the cut points,
+    quartiles, fences, whiskers and outlier counts all come from that table
+    (bounded by the number of distinct values, not rows). No group is
+    gathered anywhere; the fences join back through a size-checked summary
+    join.
     """
     long = stack(df, cols, keep=[by])
+    if not exact:
+        return _box_stats_approx(df, long, by, cols, clip_q, whisker)
+    counts = checkpointed(long.filter(F.col("value").isNotNull())
+                          .groupBy(by, "column_name", "value").agg(F.count(F.lit(1)).alias("_c")))
     if clip_q is not None:
-        cut = quantile_values(df, cols, clip_q, exact)
-        long = long.filter(F.col("value") < F.element_at(
+        per_col = counts.groupBy("column_name", "value").agg(F.sum("_c").alias("_c"))
+        cut = {r["column_name"]: r["value"] for r in
+               quantiles_from_counts(per_col, [clip_q], ["column_name"]).collect()}
+        counts = counts.filter(F.col("value") < F.element_at(
             F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut.get(c)).cast("double"))]),
             F.col("column_name")))
-    qs = long_quantiles(long, (0.25, 0.5, 0.75), [by, "column_name"], exact)
+    qs = quantiles_from_counts(counts, (0.25, 0.5, 0.75), [by, "column_name"])
+    j = join_summary(counts, _fences(qs, by, whisker), [by, "column_name"])
+    inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
+    return j.groupBy(by, "column_name", "q1", "median", "q3").agg(
+        F.sum("_c").alias("n"),
+        F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
+        F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
+        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).cast("long").alias("n_outliers"))
+
+
+def _fences(qs: DataFrame, by: str, whisker: float) -> DataFrame:
     quart = qs.groupBy(by, "column_name").agg(
         *[F.max(F.when(F.col("q") == q, F.col("value"))).alias(n)
           for q, n in ((0.25, "q1"), (0.5, "median"), (0.75, "q3"))])
-    fences = quart.select(by, "column_name", "q1", "median", "q3",
-                          (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
-                          (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
-    j = join_summary(long, fences, [by, "column_name"])
+    return quart.select(by, "column_name", "q1", "median", "q3",
+                        (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
+                        (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
+
+
+def _box_stats_approx(df: DataFrame, long: DataFrame, by: str, cols: Sequence[str],
+                      clip_q: float | None, whisker: float) -> DataFrame:
+    """Sketch-based box statistics: one pass per quantile step."""
+    if clip_q is not None:
+        cut = quantile_values(df, cols, clip_q, exact=False)
+        long = long.filter(F.col("value") < F.element_at(
+            F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut.get(c)).cast("double"))]),
+            F.col("column_name")))
+    qs = long_quantiles(long, (0.25, 0.5, 0.75), [by, "column_name"], exact=False)
+    j = join_summary(long, _fences(qs, by, whisker), [by, "column_name"])
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return j.groupBy(by, "column_name", "q1", "median", "q3").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.when(inside, F.col("value"))).alias("whisker_lo"),
         F.max(F.when(inside, F.col("value"))).alias("whisker_hi"),
-        F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
\ No newline at end of file
+        F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))

@@ -94,7 +94,17 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float], group_cols: Se
     counts = long.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
     # the distinct-value table is read by the bucket sizing and by the final
     # plan: checkpoint it (shared folder) so the input is scanned once
-    counts = checkpointed(counts)
+    return quantiles_from_counts(checkpointed(counts), probs, g, value, "_c", rows_per_task)
+
+
+def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group_cols: Sequence[str],
+                          value: str = "value", count: str = "_c",
+                          rows_per_task: int = 1_000_000) -> DataFrame:
+    """:func:`exact_quantiles_long` on a table that already holds one row per
+    distinct (group, value) with its multiplicity ``count``."""
+    g = list(group_cols)
+    if count != "_c":
+        counts = counts.withColumnRenamed(count, "_c")
     # group sizes N come with the running sums (bucket windows / bucket table)
     cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task, totals=True)
     n = F.col("tot__c")
