@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import os
 import uuid
+import zipfile
 from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +13,8 @@ from pyspark.sql import functions as F
 
 from strataflow.session import ensure_checkpoint_dir
 
+_SHIPPED: set[str] = set()
+
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -41,3 +46,30 @@ def utf8(col: Column) -> Column:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Give the Python workers this package, once per application.
+
+    Operators with Python tasks call it first, so they also run where only
+    the driver has the package on its path. The archive lies in the shared
+    folder; Spark hands it to the executors.
+    """
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    package = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as z:
+        for folder, _, names in os.walk(package):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    z.write(path, os.path.relpath(path, os.path.dirname(package)))
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{ensure_checkpoint_dir(spark)}/code-{uuid.uuid4().hex}/strataflow.zip")
+    out = path.getFileSystem(sc._jsc.hadoopConfiguration()).create(path)
+    out.write(data.getvalue())
+    out.close()
+    sc.addPyFile(path.toString())
+    _SHIPPED.add(sc.applicationId)
