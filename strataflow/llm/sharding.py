@@ -142,9 +142,8 @@ def shard(docs: DataFrame, shards: int = 40, id_col: str = "doc_id", text_col: s
     bounds = splitters(keys, shards, tolerance)
     number = _shard_of(bounds).cast("int")
     rows_in = {r["shard"]: r["n"] for r in keys.groupBy(number.alias("shard")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    buckets = F.lit(1)
-    for s, n in rows_in.items():
-        buckets = F.when(F.col("shard") == s, -(-n // ROWS_PER_BUCKET)).otherwise(buckets)
+    # looked up in a list, not branch by branch: each branch would repeat the whole shard expression in the plan
+    buckets = F.element_at(F.array(*[F.lit(max(1, -(-rows_in.get(s, 0) // ROWS_PER_BUCKET))) for s in range(shards)]), F.col("shard") + 1)
     # slots follow h2, a random order: bucket by its residue, then row number in the bucket plus the rows of earlier buckets
     placed = lambda df: df.withColumn("shard", number).withColumn("__bucket", F.pmod(F.col("h2"), buckets).cast("int"))
     counts = placed(keys).groupBy("shard", "__bucket").agg(F.count(F.lit(1)).alias("n"))
