@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, sharding
+from . import exact_dedup, packing, quality, sharding, toxicity
 from .tables import read_table
 
 
@@ -21,6 +21,23 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def _fold(divisor: int, held_out: int):
+    """True for the rows that no model may learn from."""
+    return F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(divisor)) == held_out, F.lit(False))
+
+
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = toxicity.fit(docs, labels.where(~_fold(4, 2)))
+    return toxicity.score(docs, model, ["doc_id"]).select("doc_id", _fold(4, 2).alias("held_out"), "score", "predicted")
+
+
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
+    model = quality.fit(docs, labels.where(~_fold(5, 0)))
+    return quality.score(docs, model, ["doc_id"]).select("doc_id", _fold(5, 0).alias("held_out"), "score", "predicted")
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"))
 
@@ -31,6 +48,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op3_toxicity": op3_toxicity,
+    "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
 }
