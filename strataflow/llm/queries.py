@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, packing, quality, sharding, suffix_dedup, toxicity
+from . import exact_dedup, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
 from .tables import read_table
 
 
@@ -32,6 +32,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, model, ["doc_id"]).select("doc_id", _fold(4, 2).alias("held_out"), "score", "predicted")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -53,6 +57,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_toxicity": op3_toxicity,
+    "op4_ngram_join": op4_ngram_join,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,

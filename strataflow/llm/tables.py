@@ -48,6 +48,29 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Keys with more than 1/HOT_SHARE of the rows are joined by broadcast: there are at most HOT_SHARE of them.
+HOT_SHARE = 1024
+
+
+def join_small_or_hot(rows: DataFrame, answers: DataFrame, key: str, count: str) -> DataFrame:
+    """Left join of ``rows`` with one answer per key, whatever share of the rows a key has.
+
+    ``answers`` holds in ``count`` how many rows have the key. Keys with a
+    large share are few and are broadcast; their rows take no part in the
+    shuffled join (they are spread by a key of their own).
+    """
+    answers = written(answers, "answers")
+    n = answers.agg(F.sum(count)).first()[0] or 0
+    hot = answers.where(F.col(count) * HOT_SHARE > n)
+    columns = [c for c in answers.columns if c != key]
+    first = rows.join(F.broadcast(hot.select(key, *[F.col(c).alias(f"hot_{c}") for c in columns])), key, "left")
+    spread = F.concat(F.lit("hot"), F.xxhash64(*rows.columns).cast("string"))
+    first = first.withColumn("__at", F.when(F.col(f"hot_{count}").isNull(), F.col(key).cast("string")).otherwise(spread))
+    cold = answers.where(F.col(count) * HOT_SHARE <= n).withColumn("__at", F.col(key).cast("string")).drop(key)
+    both = first.join(cold, "__at", "left")
+    return both.select(*rows.columns, *[F.when(F.col(f"hot_{count}").isNotNull(), F.col(f"hot_{c}")).otherwise(F.col(c)).alias(c) for c in columns])
+
+
 def ship_code(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application.
 
