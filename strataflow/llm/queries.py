@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, ngram_join, packing, quality, sharding, suffix_dedup, toxicity
+from . import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, suffix_dedup, toxicity
 from .tables import read_table
 
 
@@ -36,6 +36,16 @@ def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.jaccard_groups(read_table(spark, sf_dir, "documents"))
 
 
+def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = secret_scan.BASE + secret_scan.MORE
+    found = secret_scan.scan(read_table(spark, sf_dir, "documents").select("doc_id", "text"), rules).drop("text")
+    of_kind = lambda i: F.size(F.filter("spans", lambda s: s["kind"] == i)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < len(secret_scan.BASE))
+    return found.select("doc_id", of_kind(0).alias("n_assign"), of_kind(1).alias("n_access"), of_kind(2).alias("n_hex"),
+                        F.sha2(F.encode(secret_scan.span_list(base, rules), "UTF-8"), 256).alias("base_sha256"),
+                        secret_scan.span_list(F.col("spans"), rules).alias("spans"))
+
+
 def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
 
@@ -58,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_join": op4_ngram_join,
+    "op5_secret_scan": op5_secret_scan,
     "op6_suffix_dedup": op6_suffix_dedup,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
