@@ -1,6 +1,15 @@
 """DuckDB SQL of the registered queries that SQL can express."""
 
 ORACLES: dict[str, str] = {
+    "op2_topk_search": """
+        WITH v AS (SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) for x in embedding] AS e FROM embeddings
+                   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+                     AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+             s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+                   FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+             r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+                          vec_id, score FROM s)
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
              g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)

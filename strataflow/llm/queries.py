@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, suffix_dedup, toxicity
+from . import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, suffix_dedup, topk_search, toxicity
 from .tables import read_table
 
 
@@ -21,6 +21,10 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                       F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
+
+
 def _fold(divisor: int, held_out: int):
     """True for the rows that no model may learn from."""
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(divisor)) == held_out, F.lit(False))
@@ -66,6 +70,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
+    "op2_topk_search": op2_topk_search,
     "op3_toxicity": op3_toxicity,
     "op4_ngram_join": op4_ngram_join,
     "op5_secret_scan": op5_secret_scan,
