@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, ngram_join, packing, quality, secret_scan, sharding, suffix_dedup, topk_search, toxicity
+from . import exact_dedup, ngram_join, packing, piece_transducer, quality, secret_scan, sharding, suffix_dedup, topk_search, toxicity
 from .tables import read_table
 
 
@@ -25,15 +25,15 @@ def op2_topk_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk_search.top_k(read_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, 5)
 
 
-def _fold(divisor: int, held_out: int):
+def fold(divisor: int, held_out: int) -> Column:
     """True for the rows that no model may learn from."""
     return F.coalesce(F.pmod(F.crc32(F.encode(F.col("doc_id").cast("string"), "UTF-8")), F.lit(divisor)) == held_out, F.lit(False))
 
 
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    model = toxicity.fit(docs, labels.where(~_fold(4, 2)))
-    return toxicity.score(docs, model, ["doc_id"]).select("doc_id", _fold(4, 2).alias("held_out"), "score", "predicted")
+    model = toxicity.fit(docs, labels.where(~fold(4, 2)))
+    return toxicity.score(docs, model, ["doc_id"]).select("doc_id", fold(4, 2).alias("held_out"), "score", "predicted")
 
 
 def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -54,10 +54,14 @@ def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.suffix_dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op7_piece_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return piece_transducer.encode(read_table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs, labels = read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels")
-    model = quality.fit(docs, labels.where(~_fold(5, 0)))
-    return quality.score(docs, model, ["doc_id"]).select("doc_id", _fold(5, 0).alias("held_out"), "score", "predicted")
+    model = quality.fit(docs, labels.where(~fold(5, 0)))
+    return quality.score(docs, model, ["doc_id"]).select("doc_id", fold(5, 0).alias("held_out"), "score", "predicted")
 
 
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_ngram_join": op4_ngram_join,
     "op5_secret_scan": op5_secret_scan,
     "op6_suffix_dedup": op6_suffix_dedup,
+    "op7_piece_transducer": op7_piece_transducer,
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
