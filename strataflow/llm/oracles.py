@@ -10,6 +10,55 @@ ORACLES: dict[str, str] = {
              r AS (SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
                           vec_id, score FROM s)
         SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""",
+    "op4_ngram_join": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                                                  ELSE [array_to_string(w[i:i + 4], ' ') for i in range(1, len(w) - 3)] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both_ >= 80 * (na.n + nb.n - both_)),
+        r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.low AS component_id
+        FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN (SELECT node, min(seen) AS low FROM r GROUP BY node) m ON m.node = w.doc_id""",
+    "op5_secret_scan": r"""
+        WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+        rules(kind, name, pattern, grp, least) AS (VALUES
+            (0, 'assign', '([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)', 2, 6),
+            (1, 'access', 'AKIA[A-Z0-9]+', 0, 20),
+            (2, 'hex', '[0-9a-f]{24,}', 0, 24),
+            (3, 'pem', '-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----', 0, 1),
+            (4, 'github', 'gh[pousr]_[A-Za-z0-9]{36,}', 0, 1)),
+        m AS (SELECT doc_id, 0 AS kind, 'assign' AS name, 6 AS least, string_split_regex(t, p) AS gaps, regexp_extract_all(t, p) AS hits, regexp_extract_all(t, p, 2) AS judged
+                FROM d, (SELECT pattern AS p FROM rules WHERE kind = 0)
+              UNION ALL SELECT doc_id, 1, 'access', 20, string_split_regex(t, p), regexp_extract_all(t, p), regexp_extract_all(t, p) FROM d, (SELECT pattern AS p FROM rules WHERE kind = 1)
+              UNION ALL SELECT doc_id, 2, 'hex', 24, string_split_regex(t, p), regexp_extract_all(t, p), regexp_extract_all(t, p) FROM d, (SELECT pattern AS p FROM rules WHERE kind = 2)
+              UNION ALL SELECT doc_id, 3, 'pem', 1, string_split_regex(t, p), regexp_extract_all(t, p), regexp_extract_all(t, p) FROM d, (SELECT pattern AS p FROM rules WHERE kind = 3)
+              UNION ALL SELECT doc_id, 4, 'github', 1, string_split_regex(t, p), regexp_extract_all(t, p), regexp_extract_all(t, p) FROM d, (SELECT pattern AS p FROM rules WHERE kind = 4)),
+        h AS (SELECT doc_id, kind, name, least, gaps, hits, judged, unnest(range(1, len(hits) + 1)) AS i FROM m WHERE len(hits) > 0),
+        s AS (SELECT doc_id, kind, name, length(judged[i]) >= least AS ok, length(hits[i]) AS size,
+                     CAST(list_sum([length(x) for x in gaps[1:i]]) + coalesce(list_sum([length(x) for x in hits[1:i - 1]]), 0) AS BIGINT) AS start FROM h),
+        o AS (SELECT doc_id, kind, start, name || ':' || start || ':' || (start + size) AS span FROM s WHERE ok),
+        g AS (SELECT doc_id, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+                     string_agg(span, ',' ORDER BY start, kind) FILTER (kind < 3) AS base, string_agg(span, ',' ORDER BY start, kind) AS spans FROM o GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+               sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+        FROM d LEFT JOIN g ON g.doc_id = d.doc_id""",
+    "op6_suffix_dedup": """
+        WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+        p AS (SELECT doc_id, h, unnest(range(0, len(h) // 2)) AS pos FROM d),
+        w AS (SELECT doc_id, pos, CASE WHEN 2 * pos + 100 <= len(h) THEN substr(h, CAST(2 * pos + 1 AS BIGINT), 100) END AS win, substr(h, CAST(2 * pos + 1 AS BIGINT), 2) AS byte FROM p),
+        f AS (SELECT win, min(doc_id) AS low FROM w WHERE win IS NOT NULL GROUP BY win),
+        b AS (SELECT w.doc_id, w.pos, byte, max(CASE WHEN f.low < w.doc_id THEN w.pos END) OVER (PARTITION BY w.doc_id ORDER BY w.pos) AS prev
+              FROM w LEFT JOIN f ON f.win = w.win),
+        c AS (SELECT doc_id, pos, byte, coalesce(pos - prev < 50, false) AS gone FROM b),
+        e AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM c),
+        g AS (SELECT doc_id, count(*) AS n_bytes, count(*) FILTER (gone) AS n_removed, count(*) FILTER (opens) AS n_spans,
+                     string_agg(byte, '' ORDER BY pos) FILTER (NOT gone) AS kept FROM e GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_bytes, 0) AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+               sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+        FROM d LEFT JOIN g ON g.doc_id = d.doc_id""",
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
              g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
