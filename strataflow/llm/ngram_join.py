@@ -253,7 +253,7 @@ def _signature_batches(batches: Iterable[pa.RecordBatch], buckets: int, common:
         sig, doc, bucket = sig[order], doc[order], bucket[order].astype(np.int64)
         names, first = np.unique(bucket, return_index=True)
         rows = []
-        for a, b in zip(first, np.append(first[1:], len(bucket)), strict=True):
+        for a, b in zip(first, np.append(first, len(bucket))[1:], strict=True):
             rows.append(press(b"".join((np.int64(b - a).tobytes(), sig[a:b].tobytes(), ids[doc[a:b]].tobytes()))))
         yield pa.RecordBatch.from_arrays([pa.array(names), pa.array(rows, pa.binary())], names=["bucket", "signatures"])
 

@@ -22,6 +22,7 @@ between such a pair; the stretches between are composed one at a time.
 
 from __future__ import annotations
 
+import codecs
 import re
 import zlib
 from collections.abc import Iterable, Iterator
@@ -35,6 +36,9 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from .tables import ship_code
 
+#: Every byte that is no UTF-8 becomes U+FFFD.
+codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
+
 MARK = "▁"
 #: Stretches, and pairs, whose results a task keeps at most; beyond that they are worked out again.
 KEPT = 400_000
@@ -186,11 +190,11 @@ class Machine:
                 run.append(value)
                 continue
             if run:
-                parts.append(run.decode("utf-8", "replace"))
+                parts.append(run.decode("utf-8", "each_byte"))
                 run = bytearray()
             parts.append("" if i in self.hidden else self.text[i])
         if run:
-            parts.append(run.decode("utf-8", "replace"))
+            parts.append(run.decode("utf-8", "each_byte"))
         text = "".join(parts)
         if self.prefix and text.startswith(MARK):
             text = text[1:]

@@ -110,7 +110,7 @@ def _map_batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int) ->
         text_end = np.cumsum(windows + depth - 1)
         names, first = np.unique(bucket, return_index=True)
         rows = []
-        for a, b in zip(first, np.append(first[1:], len(bucket)), strict=True):
+        for a, b in zip(first, np.append(first, len(bucket))[1:], strict=True):
             step = np.diff(key[a:b], prepend=0)
             body = text[text_end[a - 1] if a else 0:text_end[b - 1]]
             rows.append(press(b"".join((np.int64(b - a).tobytes(), step.tobytes(), place[a:b].tobytes(), windows[a:b].astype(np.int64).tobytes(), body.tobytes()))))
@@ -231,7 +231,7 @@ def _reduce_batches(batches: Iterable[pa.RecordBatch], depth: int, parts: int, t
         ids, low, high, part = ids[order], low[order], high[order], part[order]
         names, first = np.unique(part, return_index=True)
         rows = [press(b"".join((np.diff(ids[a:b], prepend=0).tobytes(), low[a:b].tobytes(), (high[a:b] - low[a:b]).tobytes())))
-                for a, b in zip(first, np.append(first[1:], len(part)), strict=True)]
+                for a, b in zip(first, np.append(first, len(part))[1:], strict=True)]
         return _parcels(names, 0, rows)
 
     now, blobs = None, []
