@@ -1,7 +1,7 @@
 """Deterministic per-row uniforms used for sampling and splitting.
 
-``uniform(key, salt)`` is the first 32 bits of ``md5(salt|key)`` divided by
-2^32, a value in [0, 1). It is a pure function of the row key, so a sample
+``uniform(key, salt)`` is the first 52 bits of ``md5(salt|key)`` divided by
+2^52, a value in [0, 1). It is a pure function of the row key, so a sample
 or split is the same for any number of partitions, any executor loss and
 any engine that has md5 (the DuckDB oracles use the same formula).
 """
@@ -11,53 +11,28 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-TWO_POW_32 = 4294967296.0
-_DEFAULT_METHOD = "md5"
+TWO_POW_52 = 4503599627370496.0
 
 
-def set_default_method(method: str) -> None:
-    """Choose the hash behind every sample / split flag: ``md5`` or ``xxhash``."""
-    global _DEFAULT_METHOD
-    if method not in ("md5", "xxhash"):
-        raise ValueError(f"unknown hash method {method!r}")
-    _DEFAULT_METHOD = method
-
-
-def uniform(key: Column | str, salt: str, method: str | None = None) -> Column:
+def uniform(key: Column | str, salt: str, method: str = "md5") -> Column:
     """u(salt, key) in [0, 1); JVM-side, codegen friendly.
 
     ``md5`` (default) is reproducible by any SQL engine (the oracles use
-    it). ``xxhash`` takes the low 32 bits of Spark's ``xxhash64(salt, key)``:
+    it). ``xxhash`` takes the low 52 bits of Spark's ``xxhash64(salt, key)``:
     several times cheaper per row on a full-table sample flag, but
     Spark-specific.
     """
     key = F.col(key) if isinstance(key, str) else key
-    method = method or _DEFAULT_METHOD
     if method == "xxhash":
-        low = F.pmod(F.xxhash64(F.lit(salt), key), F.lit(4294967296))
-        return low.cast("double") / F.lit(TWO_POW_32)
+        low = F.pmod(F.xxhash64(F.lit(salt), key), F.lit(1 << 52))
+        return low.cast("double") / F.lit(TWO_POW_52)
     if method != "md5":
         raise ValueError(f"unknown hash method {method!r}")
     digest = F.md5(F.concat_ws("|", F.lit(salt), key.cast("string")))
-    return F.conv(F.substring(digest, 1, 8), 16, 10).cast("double") / F.lit(TWO_POW_32)
+    return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(TWO_POW_52)
 
 
 def uniform_expr(key_sql: str, salt: str) -> str:
     """The same uniform as a Spark SQL expression string."""
-    return (f"(cast(conv(substring(md5(concat_ws('|', '{salt}', cast({key_sql} AS STRING))), 1, 8), 16, 10)"
-            f" AS DOUBLE) / {TWO_POW_32!r})")
-
-
-def row_key(*cols: str) -> Column:
-    """Key for tables without one: xxhash64 over the given columns.
-
-    Identical rows get the same key and therefore go in or out of a sample
-    together.
-    """
-    return F.xxhash64(*[F.col(c) for c in cols])
-
-
-def uniform_sql(key_sql: str, salt: str) -> str:
-    """The same uniform as DuckDB SQL text (for oracles)."""
-    return (f"(cast(('0x' || substr(md5('{salt}' || '|' || cast({key_sql} as varchar)), 1, 8))"
-            f"::bigint as double) / 4294967296.0)")
+    return (f"(cast(conv(substring(md5(concat_ws('|', '{salt}', cast({key_sql} AS STRING))), 1, 13), 16, 10)"
+            f" AS DOUBLE) / {TWO_POW_52!r})")

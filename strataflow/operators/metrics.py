@@ -56,12 +56,19 @@ def auc(pred: DataFrame, score: str = "score", label: str = "label", positive: f
 def confusion_matrix(pred: DataFrame, label: str = "label", prediction: str = "prediction",
                      classes: Sequence[float] = (0.0, 1.0), prefix: str = "pred_") -> DataFrame:
     """Rows = true label, one column per predicted class (given explicitly,
-    so a never-predicted class still gets its column), zeros filled (A5)."""
-    piv = pred.groupBy(label).pivot(prediction, list(classes)).count()
-    cols = [c for c in piv.columns if c != label]
-    out = piv.select(label, *[F.coalesce(F.col(f"`{c}`"), F.lit(0)).cast("long")
-                              .alias(f"{prefix}{int(float(c))}") for c in cols])
-    return out.orderBy(label)
+    so a never-predicted class still gets its column), zeros filled (A5).
+
+    Predictions outside ``classes`` get columns of their own, null ones
+    ``<prefix>null``, so the cells always sum to the rows."""
+    cells = checkpointed(pred.groupBy(label, prediction).agg(F.count(F.lit(1)).alias("n")))   # one row per cell
+    seen = [r[0] for r in cells.select(prediction).distinct().collect()]
+    more = sorted(float(x) for x in seen if x is not None and float(x) not in {float(c) for c in classes})
+    name = lambda c: f"{prefix}{int(c)}" if float(c).is_integer() else f"{prefix}{c}"
+    of = [F.sum(F.when(F.col(prediction) == F.lit(float(c)), F.col("n")).otherwise(0)).cast("long").alias(name(c))
+          for c in [*classes, *more]]
+    if None in seen:
+        of.append(F.sum(F.when(F.col(prediction).isNull(), F.col("n")).otherwise(0)).cast("long").alias(f"{prefix}null"))
+    return cells.groupBy(label).agg(*of).orderBy(label)
 
 
 def classification_metrics(pred: DataFrame, label: str = "label", prediction: str = "prediction") -> DataFrame:
@@ -137,15 +144,6 @@ def silhouette(assigned: DataFrame, cols: Sequence[str], cluster: str = "predict
 
 
 def wssse(assigned: DataFrame, cols: Sequence[str], cluster: str = "prediction") -> DataFrame:
-    """Within-cluster sum of squared distances to each cluster's mean."""
-    stats = _cluster_stats(assigned, cols, cluster)
-    cid = F.col(cluster)
-    total = F.lit(0.0)
-    for j, c in enumerate(cols):
-        mu = None
-        for st in stats:
-            m = F.lit(float(st["s"][j]) / st["n"])
-            mu = F.when(cid == F.lit(st["id"]), m) if mu is None else mu.when(cid == F.lit(st["id"]), m)
-        dcol = F.col(c).cast("double") - (mu if mu is not None else F.lit(0.0))
-        total = total + dcol * dcol
-    return assigned.agg(F.sum(total).alias("wssse"))
+    """Within-cluster sum of squared distances to each cluster's mean (E8): sum of n * var_pop, one aggregation."""
+    per = assigned.groupBy(cluster).agg(*[(F.count(F.col(c)) * F.var_pop(F.col(c).cast("double"))).alias(f"_v{j}") for j, c in enumerate(cols)])
+    return per.agg(F.sum(sum((F.col(f"_v{j}") for j in range(len(cols))), F.lit(0.0))).alias("wssse"))

@@ -1,10 +1,10 @@
 """Distributed running sums over a global order, and exact quantiles on top.
 
 A plain ``Window.orderBy`` without partition keys moves every row into one
-task. Here the ordered table is cut into value-range buckets of about
-``rows_per_task`` rows (bucket edges from ``approxQuantile``); each bucket's
-totals (a table of B rows) give its offset, and a window runs only inside
-one bucket. The result is exact; no task holds more than about
+task. Here the ordered table is range-partitioned into buckets of about
+``rows_per_task`` rows; each bucket's totals (a table of B rows) give its
+offset, and a window runs only inside one bucket. Null order values and null
+partition keys are values like others, whatever the number of buckets. The result is exact; no task holds more than about
 ``rows_per_task`` rows whatever the data size or skew of the input, because
 the callers aggregate to one row per distinct order value first.
 """
@@ -14,7 +14,6 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,18 +21,19 @@ from ..session import checkpointed
 from .joins import join_summary
 
 
-def _bucketed(df: DataFrame, order_col: str, rows_per_task: int,
+def _bucketed(df: DataFrame, order_col: str, descending: bool, rows_per_task: int,
               n_rows: int | None = None) -> tuple[DataFrame, int]:
+    """``df`` with ``_bkt``: numbers of value ranges, in the order of the sort.
+
+    One bucket needs no shuffle. Otherwise the rows are range-partitioned, so
+    nulls and NaN lie where the same sort puts them, and written once: the
+    partition number is then a stable column."""
     n = df.count() if n_rows is None else n_rows
     buckets = max(1, math.ceil(n / rows_per_task))
     if buckets == 1:
-        return df.withColumn("_bkt", F.lit(0.0)), 1
-    probs = [i / buckets for i in range(1, buckets)]
-    edges = sorted(set(df.approxQuantile(order_col, probs, 0.25 / buckets)))
-    splits = [-math.inf] + edges + [math.inf]
-    tmp = df.withColumn("_ord_d", F.col(order_col).cast("double"))
-    out = Bucketizer(splits=splits, inputCol="_ord_d", outputCol="_bkt", handleInvalid="keep").transform(tmp)
-    return out.drop("_ord_d"), len(splits) - 1
+        return df.withColumn("_bkt", F.lit(0)), 1
+    order = F.col(order_col).desc() if descending else F.col(order_col).asc()
+    return checkpointed(df.repartitionByRange(buckets, order).withColumn("_bkt", F.spark_partition_id())), buckets
 
 
 def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
@@ -46,7 +46,7 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     already known) saves a counting job. ``totals`` also adds the partition
     totals ``tot_<c>``, from the same windows / bucket table (no extra scan)."""
     part = list(partition_cols)
-    b, nb = _bucketed(df, order_col, rows_per_task, n_rows)
+    b, nb = _bucketed(df, order_col, descending, rows_per_task, n_rows)
     order = F.col(order_col).desc() if descending else F.col(order_col).asc()
     w_bkt = Window.partitionBy(*part, "_bkt")
     w_in = w_bkt.orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
@@ -54,8 +54,7 @@ def running_sums(df: DataFrame, order_col: str, sum_cols: Sequence[str],
     out = b.select("*", *[F.sum(c).over(w_in).alias(f"_in_{c}") for c in sum_cols], *extra)
     if nb > 1:
         tot = b.groupBy(*part, "_bkt").agg(*[F.sum(c).alias(f"_t_{c}") for c in sum_cols])
-        border = F.col("_bkt").desc() if descending else F.col("_bkt").asc()
-        w_off = Window.partitionBy(*part).orderBy(border).rowsBetween(Window.unboundedPreceding, -1)
+        w_off = Window.partitionBy(*part).orderBy("_bkt").rowsBetween(Window.unboundedPreceding, -1)
         w_all = Window.partitionBy(*part)
         offs = tot.select(*part, "_bkt",
                           *[F.coalesce(F.sum(f"_t_{c}").over(w_off), F.lit(0)).alias(f"_o_{c}") for c in sum_cols],

@@ -91,12 +91,19 @@ def allocate(counts: Mapping[str, int], n: int) -> dict[str, int]:
     return base
 
 
+#: Name of the null stratum in lookups.
+_NULL = "\x00null"
+
+
 def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
                      row_key: str = "event_id", z: float = 6.0,
                      rows_per_task: int = 1_000_000,
                      counts: Mapping[str, int] | None = None) -> DataFrame:
     """Exactly n_i rows per stratum: the n_i smallest (u, row_key) (M3).
 
+    A null stratum is one like others. Given ``counts`` may be stale: a
+    stratum that has fewer rows than its share gives all it has.
+
     1. per-stratum counts (partial aggregation; one row per stratum);
     2. a map-only oversample ``u < t_i`` with t_i a few sigma above n_i/c_i,
        re-run with a wider margin for any stratum that came up short, so no
@@ -108,7 +115,10 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
     """
     if counts is None:   # per-stratum sizes; pass them when already known to save a scan
         counts = {r[0]: r[1] for r in df.groupBy(key).count().collect()}
-    counts = dict(counts)
+    # strata are looked up by name; the null stratum has one of its own
+    named = lambda k: _NULL if k is None else str(k)
+    counts = {named(k): c for k, c in counts.items()}
+    stratum = F.coalesce(F.col(key).cast("string"), F.lit(_NULL))
     if not counts:
         return df.filter(F.lit(False))
     alloc = allocate(counts, n)
@@ -121,8 +131,11 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
         tmap = F.create_map(*[x for k, t in thr.items() for x in (F.lit(k), F.lit(float(t)))])
         # candidates are about n rows: checkpoint them so the count, the bucket
         # table and the ranking read them instead of rescanning the input
-        cand = checkpointed(df.withColumn("_u", u).filter(F.col("_u") < tmap[F.col(key)]))
-        got = {r[0]: r[1] for r in cand.groupBy(key).count().collect()}
+        cand = checkpointed(df.withColumn("_u", u).filter(F.col("_u") < tmap[stratum]))
+        got = {named(r[0]): r[1] for r in cand.groupBy(key).count().collect()}
+        for k in counts:   # a complete stratum has no more rows, whatever the given counts say
+            if thr[k] >= 1.0:
+                alloc[k] = min(alloc[k], got.get(k, 0))
         short = [k for k in counts if got.get(k, 0) < alloc[k]]
         if not short:
             break
@@ -130,7 +143,7 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
             thr[k] = min(1.0, thr[k] * 2.0)
     n_max = max(got.values()) if got else 0
     buckets = max(1, math.ceil(n_max / rows_per_task))
-    cand = cand.withColumn("_b", F.least(F.floor(F.col("_u") / tmap[F.col(key)] * buckets),
+    cand = cand.withColumn("_b", F.least(F.floor(F.col("_u") / tmap[stratum] * buckets),
                                          F.lit(buckets - 1)).cast("int"))
     if buckets == 1:
         offs = None
@@ -144,7 +157,7 @@ def stratified_exact(df: DataFrame, n: int, key: str = STRATUM, seed: int = 42,
     if offs is not None:
         rank = rank + F.col("_off")
     return cand.withColumn("_rank", rank) \
-        .filter(F.col("_rank") <= amap[F.col(key)]).drop("_u", "_b", "_off", "_rank")
+        .filter(F.col("_rank") <= amap[stratum]).drop("_u", "_b", "_off", "_rank")
 
 
 # ---------------------------------------------------------------- splitting (M5)

@@ -8,12 +8,14 @@ k-row centroid table) come from bounded aggregates.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pyspark.ml import Pipeline
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql.types import StructType
 
 from ..functions import constants as C
@@ -25,10 +27,10 @@ from ..operators import models as MO
 from ..operators import quality as Q
 from ..operators import sampling as SA
 from ..operators import strata as ST
-from ..session import checkpointed, fit_partitions
-from ..sources.events import EVENTS_SCHEMA, load_trips, trips_from_events
-from ..sources.schema import TRIP_COLUMNS
-from ..sources.trips import read_months, read_reconciled
+from ..session import checkpointed, ensure_checkpoint_dir
+from ..sources.events import EVENTS_SCHEMA, load_trips
+from ..sources.schema import TRIP_COLUMNS, TRIP_SCHEMA
+from ..sources.trips import read_months, read_reconciled, read_trips
 
 Builder = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Builder] = {}
@@ -51,26 +53,47 @@ def prepared_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 # ---------------------------------------------------------------- sources
+MONTHS = 3
+
+
+def monthly_files(spark: SparkSession, sf_dir: str) -> list[str]:
+    """The derived trips as monthly files that disagree, as the study's do: written below the checkpoint folder.
+
+    By the week of pickup; the second file has whole-number passenger counts, the third no airport fee."""
+    trips = load_trips(spark, sf_dir).withColumn("_file", F.weekofyear("tpep_pickup_datetime") % MONTHS)
+    base = f"{ensure_checkpoint_dir(spark)}/trips-{uuid.uuid4().hex}"
+    paths = [f"{base}/trips-{m}.parquet" for m in range(MONTHS)]
+    for m, path in enumerate(paths):
+        month = trips.where(F.col("_file") == m).drop("_file")
+        if m == 1:
+            month = month.withColumn("passenger_count", F.col("passenger_count").cast("long"))
+        if m == 2:
+            month = month.drop("airport_fee")
+        month.write.parquet(path)
+    return paths
+
+
+KEYED_TRIPS = StructType([EVENTS_SCHEMA["event_id"], *TRIP_SCHEMA.fields])
+
+
 @query("scan_trips")
 def q_scan_trips(spark, sf_dir):
-    return load_trips(spark, sf_dir)
+    """Fixed-schema scan of written trip files."""
+    path = f"{ensure_checkpoint_dir(spark)}/trips-{uuid.uuid4().hex}"
+    load_trips(spark, sf_dir).write.parquet(path)
+    return read_trips(spark, path, KEYED_TRIPS)
 
 
 @query("scan_reconciled")
 def q_scan_reconciled(spark, sf_dir):
-    """Footer-schema-grouped read, conformed to the event columns the trip
-    derivation needs."""
-    needed = StructType([f for f in EVENTS_SCHEMA.fields if f.name in ("event_id", "ts", "value", "props")])
-    events = read_reconciled(spark, [f"{sf_dir.rstrip('/')}/events.parquet"], needed)
-    return trips_from_events(events)
+    """Files grouped by footers that agree, conformed to one schema."""
+    return read_reconciled(spark, monthly_files(spark, sf_dir), KEYED_TRIPS)
 
 
 @query("union_months")
 def q_union_months(spark, sf_dir):
-    """Per-path read + cast + union by name over the folder's event files
-    (the driver data has one file per table, so one 'month')."""
-    events = read_months(spark, [f"{sf_dir.rstrip('/')}/events.parquet"], EVENTS_SCHEMA)
-    return trips_from_events(events)
+    """Per-path read + cast + union by name over monthly files whose types and columns differ."""
+    return read_months(spark, monthly_files(spark, sf_dir), KEYED_TRIPS)
 
 
 # ---------------------------------------------------------------- quality
@@ -205,6 +228,7 @@ def q_max_deviation(spark, sf_dir):
 # ---------------------------------------------------------------- exploration
 
 QUANTILE_PROBS = (0.25, 0.5, 0.75, 0.99)
+KDE_POINTS = 100
 BOX_COLUMNS = ("trip_distance", "fare_amount", "trip_duration_min")
 
 
@@ -235,8 +259,15 @@ def q_histogram(spark, sf_dir):
 
 @query("kde")
 def q_kde(spark, sf_dir):
-    k = EX.kde(prepared_trips(spark, sf_dir), "trip_distance", grid_points=200)
-    return k.select("x", F.round("density", 12).alias("density"))
+    """The density curve of every charted column."""
+    k = EX.kde(prepared_trips(spark, sf_dir), C.HISTOGRAM_COLUMNS, grid_points=KDE_POINTS)
+    return k.select("column_name", F.round("x", 6).alias("x"), F.round("density", 4).alias("density"))
+
+
+@query("density_by_cluster")
+def q_density_by_cluster(spark, sf_dir):
+    clipped = EX.quantile_clip(assigned_trips(spark, sf_dir), ["trip_distance", "fare_amount"], 0.99)
+    return EX.density_grid(clipped, "trip_distance", "fare_amount", by=["prediction"], bins=50)
 
 
 @query("density_grid")
@@ -277,8 +308,8 @@ def q_cluster_zscores(spark, sf_dir):
 @query("box_stats")
 def q_box_stats(spark, sf_dir):
     b = EX.box_stats(assigned_trips(spark, sf_dir), "prediction", BOX_COLUMNS, clip_q=0.99)
-    return b.select("prediction", "column_name", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3")],
-                    "n", "whisker_lo", "whisker_hi", "n_outliers")
+    return b.select("prediction", "column_name", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")],
+                    "n", "n_outliers")
 
 
 # ---------------------------------------------------------------- features
@@ -399,55 +430,76 @@ def q_wssse(spark, sf_dir):
     return ME.wssse(df, names).select(F.round("wssse", 4).alias("wssse"))
 
 
-# ---------------------------------------------------------------- models (rows-only checks)
-MODEL_SAMPLE_N = 50_000     # the study's sample M: models fit on M, not on all of D
-
-
-def sample_m(spark, sf_dir):
-    """Sample M: stratified proportional sample of Silver (target 50,000
-    rows, as in the study), then features, null fill and rules F9-F11.
-    Checkpointed so iterative fits never replay the scan and sampling."""
-    m = SA.stratified_sample(silver_strata(spark, sf_dir), n=MODEL_SAMPLE_N, seed=42)
-    parts = fit_partitions(spark, MODEL_SAMPLE_N)
-    # checkpoint with the scan's parallelism, then merge the (tiny) checkpoint
-    # partitions: coalescing before the checkpoint would shrink the scan itself
-    return checkpointed(FE.prepared(m)).coalesce(parts)
+# ---------------------------------------------------------------- models
+#: Rows of Silver that the forest is fitted from (the study's sample M); everything is scored and clustered.
+FOREST_ROWS = 50_000
+#: Partitions of the forest's training frame: fixed, as the bagging depends on them.
+FIT_PARTITIONS = 8
 
 
 def forest_run(spark, sf_dir):
-    data = SA.with_split(sample_m(spark, sf_dir))
-    train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") == "test")
-    model = MO.fit_forest(train)
+    """A forest fitted on the training part of sample M, and the scored test part of ALL prepared trips."""
+    silver = silver_strata(spark, sf_dir)
+    fraction = SA.proportional_fraction(FOREST_ROWS, silver.count())
+    train = SA.with_split(FE.prepared(SA.stratified_sample(silver, fraction=fraction, seed=42))).filter(F.col("split") == "train")
+    model = MO.fit_forest(checkpointed(train.repartition(FIT_PARTITIONS, "event_id")))
+    test = SA.with_split(FE.prepared(silver)).filter(F.col("split") == "test")
     return model, MO.score(model, test)
 
 
 @query("rf_predictions")
 def q_rf_predictions(spark, sf_dir):
+    """Per test row its label, and whether the class probabilities and the prediction fit together."""
     _, pred = forest_run(spark, sf_dir)
-    return pred.select("event_id", "label", "prediction", "prob_positive")
+    p = F.transform(vector_to_array("probability"), lambda x: x)
+    total = F.aggregate(p, F.lit(0.0), lambda a, x: a + x)
+    chosen = F.element_at(p, F.col("prediction").cast("int") + 1)
+    return pred.select("event_id", "label", (F.abs(total - 1) < 1e-9).alias("sums_to_one"),
+                       (chosen == F.array_max(p)).alias("is_argmax"),
+                       F.col("prob_positive").between(0, 1).alias("is_probability"))
 
 
 @query("feature_importance")
 def q_feature_importance(spark, sf_dir):
+    """The features by name, and whether their importances add up and the forest found the planted signal."""
     model, pred = forest_run(spark, sf_dir)
-    return MO.feature_importance(model, pred)
+    imp = MO.feature_importance(model, pred)
+    auc = ME.auc(pred, "prob_positive", "label", float(MO.positive_index(model)))
+    total = imp.agg(F.sum("importance")).first()[0]
+    return imp.select(F.col("feature").alias("name"), F.col("importance").between(0, 1).alias("in_range"),
+                      F.lit(abs(total - 1) < 1e-9).alias("sums_to_one"), F.lit(auc is not None and auc > 0.7).alias("auc_over_70"))
 
 
 def sweep(spark, sf_dir):
-    m = sample_m(spark, sf_dir)
-    data = checkpointed(FE.fit_scaler(m, C.CLUSTER_FEATURES).transform(m).select("event_id", "features_scaled"))
+    """k-means for k = 2..7 over all prepared trips."""
+    prep = prepared_trips(spark, sf_dir)
+    data = checkpointed(FE.fit_scaler(prep, C.CLUSTER_FEATURES).transform(prep).select("event_id", "features_scaled"))
     return data, MO.kmeans_sweep(data, "features_scaled", range(2, 8), seed=42, dims=len(C.CLUSTER_FEATURES))
 
 
+def squared_distances(model, features: str = "features_scaled"):
+    """Squared distance to each centre."""
+    x = vector_to_array(features)
+    return F.array(*[sum(((x[j] - F.lit(float(v))) * (x[j] - F.lit(float(v))) for j, v in enumerate(c)), F.lit(0.0)) for c in model.clusterCenters()])
+
+
 @query("kmeans_sweep")
 def q_kmeans_sweep(spark, sf_dir):
-    _, (table, _, _) = sweep(spark, sf_dir)
-    return table
+    """Per k whether cost and silhouette are sound; whether the chosen k has the best silhouette and its cost is that of its rows."""
+    data, (table, model, best) = sweep(spark, sf_dir)
+    rows = table.collect()   # one row per k
+    cost = data.agg(F.sum(F.array_min(squared_distances(model)))).first()[0]
+    chosen = next(r for r in rows if r["k"] == best)
+    sound = chosen["silhouette"] == max(r["silhouette"] for r in rows) and abs(cost - chosen["wssse"]) <= 1e-6 * cost
+    return table.select("k", (F.col("wssse") > 0).alias("cost_is_positive"), F.col("silhouette").between(-1, 1).alias("silhouette_in_range"),
+                        F.lit(sound).alias("choice_is_sound"))
 
 
 @query("kmeans_assign")
 def q_kmeans_assign(spark, sf_dir):
-    data, (_, model, _) = sweep(spark, sf_dir)
-    return model.transform(data).select("event_id", "prediction")
-
+    """Per prepared trip whether its cluster is that of the nearest centre."""
+    data, (_, model, best) = sweep(spark, sf_dir)
+    d = squared_distances(model)
+    own = F.element_at(d, F.col("prediction") + 1)
+    return model.transform(data).select("event_id", (own <= F.array_min(d) * (1 + 1e-9) + 1e-12).alias("is_nearest"),
+                                        F.col("prediction").between(0, best - 1).alias("is_cluster"))

@@ -4,8 +4,7 @@ from __future__ import annotations
 
 import math
 
-from ..functions.hashing import uniform_sql
-from .sql_ctes import PREPARED, STRATA, TRIP_COLS, TRIPS, with_ctes
+from .sql_ctes import PREPARED, STRATA, TRIP_COLS, TRIPS, uniform_sql, with_ctes
 
 ORACLES: dict[str, str] = {}
 
@@ -16,8 +15,11 @@ def oracle(name: str, ctes: str, body: str) -> None:
 
 # ---------------------------------------------------------------- sources
 oracle("scan_trips", TRIPS, f"SELECT event_id, {TRIP_COLS} FROM trips")
-oracle("scan_reconciled", TRIPS, f"SELECT event_id, {TRIP_COLS} FROM trips")
-oracle("union_months", TRIPS, f"SELECT event_id, {TRIP_COLS} FROM trips")
+# every third week's file has no airport fee
+_MONTHLY = (f"SELECT event_id, {TRIP_COLS.replace('airport_fee', '')} "
+            "CASE WHEN week(tpep_pickup_datetime) % 3 <> 2 THEN airport_fee END AS airport_fee FROM trips")
+oracle("scan_reconciled", TRIPS, _MONTHLY)
+oracle("union_months", TRIPS, _MONTHLY)
 
 # ---------------------------------------------------------------- quality
 _null_cols = [c.strip() for c in TRIP_COLS.split(",")]
@@ -169,6 +171,14 @@ mm AS (SELECT min(trip_distance) AS xl, max(trip_distance) AS xh, min(fare_amoun
   count(*) AS n
 FROM clipped, mm GROUP BY ALL""")
 
+oracle("density_by_cluster", CLIPPED + """,
+mm AS (SELECT min(trip_distance) AS xl, max(trip_distance) AS xh, min(fare_amount) AS yl, max(fare_amount) AS yh FROM clipped)""",
+       """SELECT CAST(hour(tpep_pickup_datetime) >= 12 AS INTEGER) AS prediction,
+  CAST(CASE WHEN xh = xl THEN 0 ELSE least(floor((trip_distance - xl) / (xh - xl) * 50.0::DOUBLE), 49) END AS INTEGER) AS x_bin,
+  CAST(CASE WHEN yh = yl THEN 0 ELSE least(floor((fare_amount - yl) / (yh - yl) * 50.0::DOUBLE), 49) END AS INTEGER) AS y_bin,
+  count(*) AS n
+FROM clipped, mm GROUP BY ALL""")
+
 _pairs = []
 for _a in _EDA:
     for _b in _EDA:
@@ -204,8 +214,8 @@ qs AS (SELECT prediction, column_name, quantile_cont(value, 0.25) AS q1, quantil
 f AS (SELECT *, q1 - 1.5 * (q3 - q1) AS lo_fence, q3 + 1.5 * (q3 - q1) AS hi_fence FROM qs)""",
        """SELECT prediction, column_name, round(q1, 4) AS q1, round(median, 4) AS median, round(q3, 4) AS q3,
   count(*) AS n,
-  min(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END) AS whisker_lo,
-  max(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END) AS whisker_hi,
+  round(least(min(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END), q1), 4) AS whisker_lo,
+  round(greatest(max(CASE WHEN value >= lo_fence AND value <= hi_fence THEN value END), q3), 4) AS whisker_hi,
   CAST(sum(CASE WHEN value >= lo_fence AND value <= hi_fence THEN 0 ELSE 1 END) AS BIGINT) AS n_outliers
 FROM long JOIN f USING (prediction, column_name) GROUP BY prediction, column_name, q1, median, q3""")
 
@@ -287,18 +297,27 @@ oracle("silhouette", CSTATS, """SELECT round(avg(CASE WHEN n_own <= 1 THEN 0.0 W
 oracle("wssse", CSTATS, f"""SELECT round(sum({" + ".join(f"({c}_scaled - s_{c} / n) * ({c}_scaled - s_{c} / n)" for c in _CLUS)}), 4) AS wssse
 FROM scaled JOIN cs ON scaled.prediction = cs.cid""")
 
-oracle("kde", PREPARED + """,
-st AS (SELECT count(trip_distance) AS n, stddev_samp(trip_distance) AS sd, min(trip_distance) AS lo,
-              max(trip_distance) AS hi FROM prepared),
-par AS (SELECT n, lo, hi, sd * pow(n, -0.2) AS h, (hi - lo) / 4096.0 AS width, (hi - lo) / 199.0 AS step FROM st),
-bins AS (SELECT CAST(least(floor((trip_distance - lo) / (hi - lo) * 4096.0), 4095) AS INTEGER) AS b, count(*) AS c
-         FROM prepared, par WHERE trip_distance IS NOT NULL GROUP BY 1),
-terms AS (SELECT g.i, bins.c * exp(-0.5 * ((par.lo + g.i * par.step - (par.lo + (bins.b + 0.5) * par.width)) / par.h)
-                                       * ((par.lo + g.i * par.step - (par.lo + (bins.b + 0.5) * par.width)) / par.h)) AS t
-          FROM bins, par, (SELECT unnest(range(0, 200)) AS i) g)""",
-       f"""SELECT par.lo + i * par.step AS x,
-  round(sum(t) / (par.n * par.h * {math.sqrt(2.0 * math.pi)!r}), 12) AS density
-FROM terms, par GROUP BY i, par.lo, par.step, par.n, par.h""")
+# the direct sum over all values
+oracle("kde", PREPARED + f""",
+long AS ({chr(10).join(("UNION ALL " if i else "") + f"SELECT '{c}' AS column_name, CAST({c} AS DOUBLE) AS v FROM prepared WHERE {c} IS NOT NULL" for i, c in enumerate(_HIST))}),
+st AS (SELECT column_name, count(*) AS n, stddev_samp(v) * pow(count(*), -0.2) AS h, min(v) AS lo, (max(v) - min(v)) / 99.0 AS step
+       FROM long GROUP BY column_name),
+vals AS (SELECT column_name, v, count(*) AS c FROM long GROUP BY ALL),
+terms AS (SELECT column_name, i, lo + i * step AS x, n, h, c * exp(-0.5 * ((lo + i * step - v) / h) * ((lo + i * step - v) / h)) AS t
+          FROM vals JOIN st USING (column_name), (SELECT unnest(range(0, 100)) AS i) g)""",
+       f"""SELECT column_name, round(x, 6) AS x, round(sum(t) / (n * h * {math.sqrt(2.0 * math.pi)!r}), 4) AS density
+FROM terms GROUP BY column_name, i, x, n, h""")
+
+# models: what must hold for every row, whatever the fit
+oracle("rf_predictions", SPLIT + """,
+li AS (SELECT pay_class, CAST(row_number() OVER (ORDER BY count(*) DESC, pay_class) - 1 AS DOUBLE) AS label FROM prepared GROUP BY pay_class)""",
+       "SELECT event_id, label, true AS sums_to_one, true AS is_argmax, true AS is_probability FROM labelled JOIN li USING (pay_class) WHERE split = 'test'")
+oracle("kmeans_assign", PREPARED, "SELECT event_id, true AS is_nearest, true AS is_cluster FROM prepared")
+oracle("kmeans_sweep", PREPARED, """SELECT CAST(k AS INTEGER) AS k, true AS cost_is_positive, true AS silhouette_in_range, true AS choice_is_sound
+FROM (SELECT unnest(range(2, 8)) AS k) WHERE EXISTS (SELECT 1 FROM prepared)""")
+oracle("feature_importance", PREPARED, "SELECT name, true AS in_range, true AS sums_to_one, true AS auc_over_70 FROM (" + "\nUNION ALL\n".join(
+    [f"SELECT '{c}' AS name" for c in _NUMF]
+    + ["SELECT DISTINCT 'pickup_zone_ohe_' || pickup_zone FROM prepared", "SELECT DISTINCT 'day_type_ohe_' || day_type FROM prepared"]) + ")")
 
 oracle("class_filter", PREPARED, "SELECT event_id, pay_class FROM prepared WHERE pay_class = 'card'")
 oracle("cluster_means", ASSIGNED, f"""SELECT prediction, count(*) AS n,

@@ -8,12 +8,18 @@ DataFrame code, this side is plain SQL.
 
 from __future__ import annotations
 
-from ..functions.constants import AIRPORT_ZONE_IDS, MANHATTAN_ZONE_IDS
-from ..functions.hashing import uniform_sql
 
+def uniform_sql(key_sql: str, salt: str) -> str:
+    """u(salt, key): the first 52 bits of md5(salt|key), in [0, 1)."""
+    return (f"(cast(('0x' || substr(md5('{salt}' || '|' || cast({key_sql} as varchar)), 1, 13))"
+            f"::bigint as double) / 4503599627370496.0)")
 
-def _ids(ids) -> str:
-    return ", ".join(str(i) for i in ids)
+
+# Fixed values, spelled out again so that a wrong id in the library fails its oracle.
+_AIRPORTS = "1, 132, 138"
+_MANHATTAN = ("4, 12, 13, 24, 41, 42, 43, 45, 48, 50, 68, 74, 75, 79, 87, 88, 90, 100, 103, 104, 105, 107, 113, 114, 116, "
+              "120, 125, 127, 128, 137, 140, 141, 142, 143, 144, 148, 151, 152, 153, 158, 161, 162, 163, 164, 166, 170, "
+              "186, 194, 202, 209, 211, 224, 229, 230, 231, 232, 233, 234, 236, 237, 238, 239, 243, 244, 246, 249, 261, 262, 263")
 
 
 TRIP_COLS = ("VendorID, tpep_pickup_datetime, tpep_dropoff_datetime, passenger_count, trip_distance, "
@@ -42,7 +48,7 @@ ev3 AS (
     CASE WHEN id % 31 = 0 THEN NULL WHEN h BETWEEN 16 AND 19 THEN 2.5::DOUBLE
          WHEN h >= 20 OR h < 6 THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS extra_,
     CASE WHEN id % 37 = 0 THEN NULL ELSE 0.5::DOUBLE END AS mta_,
-    CASE WHEN id % 41 = 0 THEN NULL WHEN pu IN ({_ids(AIRPORT_ZONE_IDS)}) THEN 6.94::DOUBLE ELSE 0.0::DOUBLE END AS tolls_,
+    CASE WHEN id % 41 = 0 THEN NULL WHEN pu IN ({_AIRPORTS}) THEN 6.94::DOUBLE ELSE 0.0::DOUBLE END AS tolls_,
     CASE WHEN id % 43 = 0 THEN NULL ELSE 1.0::DOUBLE END AS impr_,
     CASE WHEN id % 29 = 0 THEN NULL WHEN pu % 2 = 0 THEN 2.5::DOUBLE ELSE 0.0::DOUBLE END AS cong_,
     CASE WHEN pay = 1 THEN 0.2::DOUBLE * fare ELSE 0.0::DOUBLE END AS tip_
@@ -83,8 +89,8 @@ strata AS (
   SELECT *, day_type || '|' || pickup_zone || '|' || pay_class AS stratum FROM (
     SELECT *,
       CASE WHEN dayofweek(tpep_pickup_datetime) + 1 IN (1, 7) THEN 'weekend' ELSE 'weekday' END AS day_type,
-      CASE WHEN PULocationID IN ({_ids(AIRPORT_ZONE_IDS)}) THEN 'airport'
-           WHEN PULocationID IN ({_ids(MANHATTAN_ZONE_IDS)}) THEN 'manhattan'
+      CASE WHEN PULocationID IN ({_AIRPORTS}) THEN 'airport'
+           WHEN PULocationID IN ({_MANHATTAN}) THEN 'manhattan'
            ELSE 'other' END AS pickup_zone,
       CASE WHEN payment_type IN (1) THEN 'card' ELSE 'noncard' END AS pay_class
     FROM silver))"""

@@ -33,10 +33,14 @@ from ..operators import models as MO
 from ..operators import quality as Q
 from ..operators import sampling as SA
 from ..operators import strata as ST
-from ..session import checkpointed, fit_partitions, get_spark
+from ..session import checkpointed, get_spark
 from ..sources.trips import month_paths, read_reconciled
 
 
+#: Partitions of sample M: fixed, as the forest's bagging depends on them.
+FIT_PARTITIONS = 8
+
+
 @dataclass
 class StudyResult:
     tables: dict[str, DataFrame] = field(default_factory=dict)
@@ -49,8 +53,7 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     """Run every step of the study on a trip DataFrame with a row key column.
 
     Trip files have no key: read them with ``key_col`` (file name + row
-    index, see ``sources.trips.file_row_key``) or, for other sources, add a
-    content hash with :func:`with_row_key`, so sampling and splitting are
+    index, see ``sources.trips.file_row_key``), so sampling and splitting are
     reproducible.
     """
     r = StudyResult()
@@ -70,20 +73,24 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     # pass 2 over D: the sample itself; its counts come from the checkpoint
     if exact_sample:
         sizes = {row["stratum"]: row["n_pop"] for row in pop.collect()}   # one row per stratum
-        m = checkpointed(SA.stratified_exact(d, n_sample, seed=seed, row_key=row_key, counts=sizes))
+        m = SA.stratified_exact(d, n_sample, seed=seed, row_key=row_key, counts=sizes)
     else:
         fraction = SA.proportional_fraction(n_sample, n_silver)
-        m = checkpointed(SA.stratified_sample(d, fraction=fraction, seed=seed, row_key=row_key))
+        m = SA.stratified_sample(d, fraction=fraction, seed=seed, row_key=row_key)
+    # the one checkpoint of M: a sample of many scan partitions in a few
+    m = checkpointed(m.repartition(FIT_PARTITIONS, row_key))
     v = SA.validation_from_counts(pop, m.groupBy("stratum").agg(F.count(F.lit(1)).alias("n_sample")))
     r.tables["sample_validation"] = v
     r.scalars["max_abs_err"] = SA.max_deviation(v).first()[0]
 
-    prep = checkpointed(FE.prepared(m)).coalesce(fit_partitions(trips.sparkSession, n_sample))
+    prep = FE.prepared(m)
     r.scalars["n_prepared"] = prep.count()
     r.tables["describe"] = Q.describe_long(prep, ["trip_distance", "fare_amount", "trip_duration_min",
                                                   "pickup_hour", "passenger_count", "pickup_zone",
                                                   "day_type", "pay_class"])
     r.tables["histogram"] = EX.histogram(prep, C.HISTOGRAM_COLUMNS)
+    r.tables["quantiles"] = EX.quantiles(prep, C.HISTOGRAM_COLUMNS)
+    r.tables["kde"] = EX.kde(prep, C.HISTOGRAM_COLUMNS)
     r.tables["correlation"] = EX.correlation_matrix(prep, C.EDA_COLUMNS)
     r.tables["zone_pay_share"] = EX.group_share(prep, "pickup_zone", "pay_class")
     clipped = EX.quantile_clip(prep, ["trip_distance", "fare_amount"], 0.99)
@@ -113,20 +120,13 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
         r.tables["cluster_profile"] = EX.cluster_profile(clusters)
         r.tables["cluster_zscores"] = EX.cluster_zscores(EX.cluster_means(clusters, C.CLUSTER_FEATURES),
                                                          C.CLUSTER_FEATURES)
+        r.tables["density_by_cluster"] = EX.density_grid(EX.quantile_clip(clusters, ["trip_distance", "fare_amount"], 0.99),
+                                                         "trip_distance", "fare_amount", ["prediction"])
         r.tables["box_stats"] = EX.box_stats(clusters, "prediction",
                                              ["trip_distance", "fare_amount", "trip_duration_min"])
     return r
 
 
-def with_row_key(df: DataFrame, name: str = "event_id") -> DataFrame:
-    """Content-hash key for sources without file metadata. For Parquet trip
-    files prefer ``read_reconciled(..., key_col=...)``: a hash over all
-    columns inlined into a union of casts makes Catalyst's constraint
-    inference explode (measured: minutes and an OOM on a 2-file plan)."""
-    from ..functions.hashing import row_key
-    return df.withColumn(name, row_key(*df.columns))
-
-
 def main(argv=None) -> None:
     ap = argparse.ArgumentParser(description="Run the trip study on monthly Parquet files.")
     ap.add_argument("base", help="folder (any Hadoop FS URI) holding yellow_tripdata_<year>-<mm>.parquet")

@@ -78,24 +78,6 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def fit_partitions(spark: SparkSession, expected_rows: int, rows_per_partition: int = 50_000) -> int:
-    """Partitions for a bounded model-fitting frame (the sample M).
-
-    Iterative fits run one small job per iteration or tree level, so task
-    overhead dominates on small frames (measured: k-means on 43k rows takes
-    4x longer in 9 partitions than in 1). A sample drawn from a 100 TB scan
-    would otherwise keep the scan's ~10^5 partitions of a few rows each:
-    ceil(rows / rows_per_partition), capped by default parallelism.
-    """
-    want = max(1, -(-int(expected_rows) // rows_per_partition))
-    return max(1, min(spark.sparkContext.defaultParallelism, want))
-
-
-def persisted(df: DataFrame) -> DataFrame:
-    """Persist a pruned frame in memory, spilling to disk."""
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
-
-
 @contextmanager
 def persisted_cols(df: DataFrame, cols: Sequence[str] | None = None) -> Iterator[DataFrame]:
     """Persist only the needed columns for a block of actions, then release.

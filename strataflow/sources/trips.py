@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import posixpath
+import re
 from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,7 +25,7 @@ def read_trips(spark: SparkSession, path: str | Sequence[str],
     """
     paths = [path] if isinstance(path, str) else list(path)
     df = spark.read.schema(schema).parquet(*paths)
-    return df.select("*", file_row_key().alias(key_col)) if key_col else df
+    return df.select("*", file_row_key(paths).alias(key_col)) if key_col else df
 
 
 def conform_columns(df: DataFrame, schema: StructType = TRIP_SCHEMA) -> list[Column]:
@@ -46,18 +47,27 @@ def conform(df: DataFrame, schema: StructType = TRIP_SCHEMA) -> DataFrame:
     return df.select(*conform_columns(df, schema))
 
 
-def file_row_key() -> Column:
-    """Stable unique row key of a Parquet row: '<folder>/<file name>:<row index>'.
+def _root(paths: Sequence[str]) -> str:
+    """The folder that all paths share, without scheme and host."""
+    plain = [re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "", p).rstrip("/") for p in paths]
+    folders = [p.rsplit("/", 1)[0] if p.endswith(".parquet") else p for p in plain]
+    return posixpath.commonpath(folders) if len({f.startswith("/") for f in folders}) == 1 else ""
+
+
+def file_row_key(paths: Sequence[str]) -> Column:
+    """Stable unique row key of a Parquet row: '<path below the read root>:<row index>'.
 
     Trip files carry no key; the file-source metadata gives one that is the
     same on every run and for any partitioning, unique by construction
     (unlike a hash of the row's values, which identical rows share), and
     cheap: no per-row hashing of all columns, and a small expression for the
-    optimizer to push through unions and filters. The parent folder is kept
-    so partitioned layouts (``month=01/part-0.parquet``) stay unique, while
-    moving the whole dataset to another bucket keeps the keys.
+    optimizer to push through unions and filters. The whole path below the
+    folder that ``paths`` share is kept (``year=2023/month=01/part-0``), while
+    moving the dataset to another place keeps the keys.
     """
-    where = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    root = _root(paths)
+    path = F.col("_metadata.file_path")
+    where = F.substring_index(path, root + "/", -1) if root not in ("", "/") else path
     return F.concat_ws(":", where, F.col("_metadata.row_index").cast("string"))
 
 
@@ -69,35 +79,42 @@ def union_by_name(frames: Iterable[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
-def _file_schema_key(spark: SparkSession, path: str) -> str:
-    return spark.read.parquet(path).schema.json()
+def _agreeing(spark: SparkSession, files: list[str]) -> list[tuple[StructType, list[str]]]:
+    """Files in groups whose footers can be merged into one schema.
+
+    Spark reads the footers of a whole group in one distributed job; a group
+    whose types conflict is halved, so jobs follow the number of conflicts,
+    not of files."""
+    try:
+        return [(spark.read.option("mergeSchema", "true").parquet(*files).schema, files)]
+    except Exception as e:  # noqa: BLE001  Spark's own error for schemas that do not merge
+        if len(files) == 1 or "MERGE" not in str(e).upper():
+            raise
+    half = len(files) // 2
+    return _agreeing(spark, files[:half]) + _agreeing(spark, files[half:])
 
 
 def read_reconciled(spark: SparkSession, paths: Sequence[str],
                     schema: StructType = TRIP_SCHEMA, key_col: str | None = None) -> DataFrame:
     """Schema-reconciling load.
 
-    Files are grouped by their own footer schema; each group is ONE scan of
+    Files are grouped by footer schemas that merge; each group is ONE scan of
     all its files (not one scan per file), conformed to ``schema`` with casts,
     and the groups are unioned by name. So twelve months that agree on their
     types are one scan, and months that disagree on INT64 vs DOUBLE are two.
     Filters and projections applied later still push into every scan.
     ``key_col`` adds a stable unique row key (:func:`file_row_key`).
     """
-    # footer reads are small independent jobs: run them concurrently
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        listed = list(pool.map(lambda p: spark.read.parquet(p).inputFiles(), paths))
-        files = sorted({f for fs in listed for f in fs})
-        keys = list(pool.map(lambda f: _file_schema_key(spark, f), files))
-    groups: dict[str, list[str]] = {}
-    for f, key in zip(files, keys):
-        groups.setdefault(key, []).append(f)
+    files = sorted(spark.read.parquet(*paths).inputFiles())
+    groups: dict[str, tuple[StructType, list[str]]] = {}
+    for found, fs in _agreeing(spark, files):
+        groups.setdefault(found.json(), (found, []))[1].extend(fs)
     frames = []
-    for _, fs in sorted(groups.items()):
-        raw = spark.read.parquet(*fs)
+    for _, (found, fs) in sorted(groups.items()):
+        raw = spark.read.schema(found).parquet(*fs)
         cols = conform_columns(raw, schema)
         if key_col:
-            cols.append(file_row_key().alias(key_col))
+            cols.append(file_row_key(paths).alias(key_col))
         frames.append(raw.select(*cols))
     return union_by_name(frames)
 
@@ -114,7 +131,7 @@ def read_months(spark: SparkSession, paths: Sequence[str], schema: StructType =
         raw = spark.read.parquet(p)
         cols = conform_columns(raw, schema)
         if key_col:
-            cols.append(file_row_key().alias(key_col))
+            cols.append(file_row_key(paths).alias(key_col))
         frames.append(raw.select(*cols))
     return union_by_name(frames)
 

@@ -3,16 +3,16 @@ no Python UDF evaluation, and the scan reads only the needed event columns."""
 
 import pytest
 
-import __spark_entry__ as E
+from strataflow.plans.catalog import REGISTRY
 
-KEYS = sorted(E.queries())
+KEYS = sorted(REGISTRY)
 BANNED = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
           "FlatMapGroupsInPandas", "MapInPandas")
 
 
 @pytest.mark.parametrize("key", KEYS)
 def test_plan_is_scalable(spark, sf001, key):
-    df = E.queries()[key](spark, sf001)
+    df = REGISTRY[key](spark, sf001)
     plan = df._jdf.queryExecution().executedPlan().toString()
     for node in BANNED:
         assert node not in plan, f"{key}: {node} in plan"
