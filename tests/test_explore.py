@@ -98,7 +98,7 @@ def test_join_summary_both_paths(spark):
     big = spark.range(0, 1000).select((F.col("id") % 3).alias("g"), F.col("id"))
     small = big.groupBy("g").agg(F.count(F.lit(1)).alias("n"))
     a = join_summary(big, small, ["g"])                          # broadcast path
-    b = join_summary(big, small, ["g"], max_broadcast_rows=0)    # shuffle-join fallback
+    b = join_summary(big, small, ["g"], max_broadcast_bytes=0)    # shuffle-join fallback
     assert "BroadcastHashJoin" in a._jdf.queryExecution().executedPlan().toString()
     assert sorted(map(tuple, a.collect())) == sorted(map(tuple, b.collect()))
 

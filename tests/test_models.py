@@ -45,6 +45,7 @@ def test_kmeans_sweep(spark, data):
 
 def test_kmeans_sweep_picks_two_on_fixture(spark, sf01):
     """The study's own self-check: the silhouette sweep picks k = 2."""
-    import __spark_entry__ as E
-    rows = {r["k"]: r["silhouette"] for r in E.queries()["kmeans_sweep"](spark, sf01).collect()}
-    assert max(rows, key=rows.get) == 2 and 0.4 < rows[2] < 0.5
+    from strataflow.plans.catalog import sweep
+    _, (table, _, best) = sweep(spark, sf01)
+    rows = {r["k"]: r["silhouette"] for r in table.collect()}
+    assert best == max(rows, key=rows.get) == 2 and 0.4 < rows[2] < 0.5
