@@ -46,7 +46,7 @@ SPARE = 1.5
 #: Ratio of the sizes in a band.
 BAND = 2.4414
 #: Bytes of text that a map task works on at a time, and whose signatures one bucket holds on average.
-CHUNK, BUCKET_BYTES = 2 << 20, 16 << 20
+CHUNK, BUCKET_BYTES = 1 << 20, 16 << 20
 #: Numbers of 64 bits in a sketch.
 SKETCH = 32
 #: Sets sampled to find common shingles, how many must hold one, and the bits of the table of them.
@@ -417,8 +417,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     lists = (rows.mapInArrow(lambda it: _signature_batches(it, buckets, common), "bucket long, signatures binary")
              .repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(_group_batches, "gid long, set_id long"))
     members = written(lists.distinct(), "members")
-    involved = written(sets.join(members.select("set_id").distinct(), "set_id", "left_semi").groupBy("set_id")
-                       .agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch")), "involved")
+    # grouped before the join: a set that many documents share is one row by then
+    profiles = sets.groupBy("set_id").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    involved = written(profiles.join(members.select("set_id").distinct(), "set_id", "left_semi"), "involved")
     wanted = _bitmap(involved.select(F.xxhash64("doc_id").alias("h")))
     held = (rows.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(lambda it: _held_batches(it, wanted), "set_id long, shingles binary")
             .join(involved.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.first("shingles").alias("shingles")))

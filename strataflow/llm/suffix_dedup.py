@@ -36,8 +36,8 @@ HEAD = 24
 GRAM = 6
 #: Bytes of text that a map task works on at a time; longer texts are taken in overlapping parts.
 CHUNK = 4 << 20
-#: Bytes of text whose windows one bucket holds on average.
-BUCKET_BYTES = 2 << 20
+#: Bytes of text whose windows one bucket holds on average, and windows of a bucket that are sorted at a time.
+BUCKET_BYTES, SORTED_WINDOWS = 4 << 20, 1 << 19
 #: Bytes of text in a partition of the last step.
 PART_BYTES = 16 << 20
 #: Stands for a null id: larger than every other.
@@ -55,10 +55,15 @@ def _mix(key: np.ndarray, digit: np.ndarray) -> np.ndarray:
     return key ^ (key >> np.uint64(29))
 
 
+def _grams(words: np.ndarray) -> np.ndarray:
+    """Hash of the first GRAM of 8 bytes."""
+    return (((words << np.uint64(8 * (8 - GRAM))) * _M1) >> np.uint64(32)).astype(np.uint32)
+
+
 def _runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, ...]:
     """(first position, windows, bucket) of the runs of windows in parts [start, end) that share their first digit."""
     grams = depth - GRAM + 1
-    low = (((_words(data) << np.uint64(8 * (8 - GRAM))) * _M1) >> np.uint64(32)).astype(np.uint32)
+    low = _grams(_words(data))
     span = 1
     while 2 * span <= grams:  # minimum over ``span`` grams from each position
         low = np.minimum(low[:-span], low[span:])
@@ -106,13 +111,11 @@ def _map_batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int) ->
         order = np.argsort(bucket, kind="stable")
         at, windows, bucket, owner = at[order], windows[order], bucket[order], owner[order]
         key, place = ids[owner], at - starts[owner] + offset[owner]
-        text = _gather(data, at, windows + depth - 1)
-        text_end = np.cumsum(windows + depth - 1)
         names, first = np.unique(bucket, return_index=True)
         rows = []
         for a, b in zip(first, np.append(first, len(bucket))[1:], strict=True):
             step = np.diff(key[a:b], prepend=0)
-            body = text[text_end[a - 1] if a else 0:text_end[b - 1]]
+            body = _gather(data, at[a:b], windows[a:b] + depth - 1)
             rows.append(press(b"".join((np.int64(b - a).tobytes(), step.tobytes(), place[a:b].tobytes(), windows[a:b].astype(np.int64).tobytes(), body.tobytes()))))
         return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(rows, pa.binary())], names=["bucket", "runs"])
 
@@ -208,6 +211,24 @@ def repeated_ranges(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, te
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
+def _parts(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, text: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """The runs of a bucket in parts of about SORTED_WINDOWS windows, by their first digit again."""
+    parts = -(-int(windows.sum()) // SORTED_WINDOWS)
+    if parts <= 1:
+        yield keys, place, windows, text
+        return
+    words = _words(np.append(text, np.zeros(8, np.uint8)))
+    at = np.cumsum(windows + depth - 1) - (windows + depth - 1)
+    low = _grams(words[at])
+    for k in range(1, depth - GRAM + 1):
+        low = np.minimum(low, _grams(words[at + k]))
+    part = ((low.astype(np.uint64) * _M2) >> np.uint64(32)) % np.uint64(parts)
+    for k in range(parts):
+        own = np.flatnonzero(part == k)
+        if len(own):
+            yield keys[own], place[own], windows[own], _gather(text, at[own], windows[own] + depth - 1)
+
+
 def _parcels(parts: Iterable[int], kind: int, blobs: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([kind] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())],
                                       names=["part", "kind", "parcel"])
@@ -225,7 +246,8 @@ def _reduce_batches(batches: Iterable[pa.RecordBatch], depth: int, parts: int, t
             step, place, windows = np.frombuffer(data, np.int64, 3 * n, 8).reshape(3, n)
             for c, x in zip(columns, (np.cumsum(step), place, windows, np.frombuffer(data, np.uint8, offset=8 + 24 * n)), strict=True):
                 c.append(x)
-        ids, low, high = repeated_ranges(*(np.concatenate(c) for c in columns), depth, texts_per_id)
+        found = [repeated_ranges(*some, depth, texts_per_id) for some in _parts(*(np.concatenate(c) for c in columns), depth)]
+        ids, low, high = (np.concatenate(c) for c in zip(*found, strict=True))
         part = ids % parts
         order = np.lexsort((low, ids, part))
         ids, low, high, part = ids[order], low[order], high[order], part[order]
