@@ -4,7 +4,8 @@ Suffixes of all texts (as bytes) are ordered only through ``depth`` bytes, by
 most-significant-digit passes; what is equal after the last digit is exactly a
 window of ``depth`` bytes that occurs more than once.
 
-* The first digit is the smallest hashed 6-byte gram of the window. It deals
+* The first digit is the least 6-byte gram of the window, in an order that puts
+  rare grams (by a bounded sample) first and then goes by hash. It deals
   the windows out to buckets (the one exchange of the sort), and as
   neighbouring windows mostly share it, a run of them travels as one piece of
   text instead of window by window.
@@ -40,6 +41,8 @@ CHUNK = 4 << 20
 BUCKET_BYTES, SORTED_WINDOWS = 4 << 20, 1 << 19
 #: Bytes of text in a partition of the last step.
 PART_BYTES = 16 << 20
+#: Texts sampled, and the bytes each may have, to see which grams are frequent; bits of the table of them. Only balance depends on it.
+SAMPLE_TEXTS, SAMPLE_BYTES, CLASS_BITS = 1024, 32_768, 20
 #: Stands for a null id: larger than every other.
 NO_ID = (1 << 62) - 1
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -55,15 +58,32 @@ def _mix(key: np.ndarray, digit: np.ndarray) -> np.ndarray:
     return key ^ (key >> np.uint64(29))
 
 
-def _grams(words: np.ndarray) -> np.ndarray:
+def _hashed(words: np.ndarray) -> np.ndarray:
     """Hash of the first GRAM of 8 bytes."""
     return (((words << np.uint64(8 * (8 - GRAM))) * _M1) >> np.uint64(32)).astype(np.uint32)
 
 
-def _runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, buckets: int) -> tuple[np.ndarray, ...]:
+def _grams(words: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """Grams as numbers whose least makes the digit: rare ones (by the classes of a sample) first, then by hash."""
+    hashed = _hashed(words)
+    return classes[hashed >> np.uint32(32 - CLASS_BITS)] | (hashed >> np.uint32(4))
+
+
+def gram_classes(texts: Iterable[bytes]) -> np.ndarray:
+    """For the leading bits of a gram's hash, the bit length of its count in a sample, in the highest 4 bits.
+
+    Without it a frequent gram of small hash would be the digit of a fixed share of all windows."""
+    count = np.zeros(1 << CLASS_BITS, dtype=np.int64)
+    for text in texts:
+        words = _words(np.frombuffer(text + bytes(8), dtype=np.uint8))[:max(0, len(text) - GRAM + 1)]
+        count += np.bincount(_hashed(words) >> np.uint32(32 - CLASS_BITS), minlength=1 << CLASS_BITS)
+    return np.minimum(15, np.ceil(np.log2(count + 1))).astype(np.uint32) << np.uint32(28)
+
+
+def _runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, buckets: int, classes: np.ndarray) -> tuple[np.ndarray, ...]:
     """(first position, windows, bucket) of the runs of windows in parts [start, end) that share their first digit."""
     grams = depth - GRAM + 1
-    low = _grams(_words(data))
+    low = _grams(_words(data), classes)
     span = 1
     while 2 * span <= grams:  # minimum over ``span`` grams from each position
         low = np.minimum(low[:-span], low[span:])
@@ -96,16 +116,16 @@ def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return data[np.repeat((starts - before).astype(kind), lengths) + np.arange(int(lengths.sum()), dtype=kind)]
 
 
-def _map_batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int) -> Iterator[pa.RecordBatch]:
+def _map_batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
     """(key, text) rows -> (bucket, runs): each the packed runs of a chunk for a bucket."""
-    press = zstandard.ZstdCompressor(level=3).compress
+    press = zstandard.ZstdCompressor(level=5).compress
 
     def packed(parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
         lengths = np.array([len(p[2]) for p in parts], dtype=np.int64)
         ends = np.cumsum(lengths)
         starts = ends - lengths
         data = np.frombuffer(b"".join(p[2] for p in parts) + bytes(8), dtype=np.uint8)
-        at, windows, bucket = _runs(data, starts, ends, depth, buckets)
+        at, windows, bucket = _runs(data, starts, ends, depth, buckets, classes)
         owner = np.searchsorted(ends, at, side="right")
         ids, offset = np.array([p[0] for p in parts], dtype=np.int64), np.array([p[1] for p in parts], dtype=np.int64)
         order = np.argsort(bucket, kind="stable")
@@ -211,7 +231,7 @@ def repeated_ranges(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, te
     return tuple(np.concatenate(c) for c in zip(*out, strict=True))
 
 
-def _parts(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, text: np.ndarray, depth: int) -> Iterator[tuple[np.ndarray, ...]]:
+def _parts(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, text: np.ndarray, depth: int, classes: np.ndarray) -> Iterator[tuple[np.ndarray, ...]]:
     """The runs of a bucket in parts of about SORTED_WINDOWS windows, by their first digit again."""
     parts = -(-int(windows.sum()) // SORTED_WINDOWS)
     if parts <= 1:
@@ -219,9 +239,9 @@ def _parts(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, text: np.nd
         return
     words = _words(np.append(text, np.zeros(8, np.uint8)))
     at = np.cumsum(windows + depth - 1) - (windows + depth - 1)
-    low = _grams(words[at])
+    low = _grams(words[at], classes)
     for k in range(1, depth - GRAM + 1):
-        low = np.minimum(low, _grams(words[at + k]))
+        low = np.minimum(low, _grams(words[at + k], classes))
     part = ((low.astype(np.uint64) * _M2) >> np.uint64(32)) % np.uint64(parts)
     for k in range(parts):
         own = np.flatnonzero(part == k)
@@ -234,7 +254,7 @@ def _parcels(parts: Iterable[int], kind: int, blobs: list[bytes]) -> pa.RecordBa
                                       names=["part", "kind", "parcel"])
 
 
-def _reduce_batches(batches: Iterable[pa.RecordBatch], depth: int, parts: int, texts_per_id: int) -> Iterator[pa.RecordBatch]:
+def _reduce_batches(batches: Iterable[pa.RecordBatch], depth: int, parts: int, texts_per_id: int, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows of a partition, sorted by bucket -> (part, kind 0, ranges)."""
     unpress, press = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
 
@@ -246,7 +266,7 @@ def _reduce_batches(batches: Iterable[pa.RecordBatch], depth: int, parts: int, t
             step, place, windows = np.frombuffer(data, np.int64, 3 * n, 8).reshape(3, n)
             for c, x in zip(columns, (np.cumsum(step), place, windows, np.frombuffer(data, np.uint8, offset=8 + 24 * n)), strict=True):
                 c.append(x)
-        found = [repeated_ranges(*some, depth, texts_per_id) for some in _parts(*(np.concatenate(c) for c in columns), depth)]
+        found = [repeated_ranges(*some, depth, texts_per_id) for some in _parts(*(np.concatenate(c) for c in columns), depth, classes)]
         ids, low, high = (np.concatenate(c) for c in zip(*found, strict=True))
         part = ids % parts
         order = np.lexsort((low, ids, part))
@@ -370,9 +390,11 @@ def suffix_dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", te
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, parts = max(1, -(-size // bucket_bytes)), _prime(max(2, -(-size // PART_BYTES)))
     keyed, per_id = _keyed(rows)
-    runs = keyed.mapInArrow(lambda it: _map_batches(it, depth, buckets), "bucket long, runs binary")
+    drawn = rows.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(SAMPLE_TEXTS)
+    classes = gram_classes(r["text"].encode() for r in drawn.toLocalIterator())
+    runs = keyed.mapInArrow(lambda it: _map_batches(it, depth, buckets, classes), "bucket long, runs binary")
     ranges = (runs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
-              .mapInArrow(lambda it: _reduce_batches(it, depth, parts, per_id), "part long, kind int, parcel binary"))
+              .mapInArrow(lambda it: _reduce_batches(it, depth, parts, per_id, classes), "part long, kind int, parcel binary"))
     texts = keyed.mapInArrow(lambda it: _text_batches(it, parts), "part long, kind int, parcel binary")
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     types = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_text

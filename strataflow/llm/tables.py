@@ -14,6 +14,9 @@ from pyspark.sql import functions as F
 from strataflow.session import ensure_checkpoint_dir
 
 _SHIPPED: set[str] = set()
+_ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Documents in a batch that Python gets, unless the session says otherwise.
+ARROW_ROWS = 1000
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -75,9 +78,12 @@ def ship_code(spark: SparkSession) -> None:
     """Give the Python workers this package, once per application.
 
     Operators with Python tasks call it first, so they also run where only
-    the driver has the package on its path. The archive lies in the shared
+    the driver has the package on its path. It also makes Arrow batches
+    smaller where the session has Spark's default, which is meant for short rows. The archive lies in the shared
     folder; Spark hands it to the executors.
     """
+    if spark.conf.get(_ARROW_ROWS) == "10000":  # Spark's default; rows here are whole documents
+        spark.conf.set(_ARROW_ROWS, str(ARROW_ROWS))
     sc = spark.sparkContext
     if sc.applicationId in _SHIPPED:
         return
