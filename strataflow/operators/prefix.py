@@ -21,6 +21,10 @@ from ..session import checkpointed
 from .joins import join_summary
 
 
+#: Accuracy of the sketches that bracket a rank: an error of 1/SKETCH of a group's rows at most.
+SKETCH = 10_000
+
+
 def _bucketed(df: DataFrame, order_col: str, descending: bool, rows_per_task: int,
               n_rows: int | None = None) -> tuple[DataFrame, int]:
     """``df`` with ``_bkt``: numbers of value ranges, in the order of the sort.
@@ -82,18 +86,35 @@ def exact_quantiles_long(long: DataFrame, probs: Sequence[float], group_cols: Se
 
     Position h = (N-1)·q; result = v[floor h] + (v[ceil h] - v[floor h])·(h - floor h),
     the definition shared by pandas, numpy, Spark ``percentile`` and DuckDB
-    ``quantile_cont``. Work: one count per distinct (group, value), bucketed
-    running sums, then each distinct-value row checks whether its rank
-    interval [cum - c, cum) holds one of the wanted ranks of its group and
-    emits only those hits (≤ 2·|probs| per group); a final aggregation per
-    (group, q) interpolates. No group's values are ever gathered in one task
-    and nothing but the result reaches the driver.
+    ``quantile_cont``. Two scans: a sketch per group brackets each wanted
+    rank between two values; then only values inside a bracket are kept one
+    by one, everything between two brackets becomes one row (its count and
+    its least value), and the exact ranks are looked up among those. A rank
+    that a sketch missed is noticed, and all distinct values are used then.
+    No group's values are ever gathered in one task and nothing but the
+    result reaches the driver.
     """
-    g = list(group_cols)
-    counts = long.filter(F.col(value).isNotNull()).groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
-    # the distinct-value table is read by the bucket sizing and by the final
-    # plan: checkpoint it (shared folder) so the input is scanned once
-    return quantiles_from_counts(checkpointed(counts), probs, g, value, "_c", rows_per_task)
+    if not group_cols:
+        return exact_quantiles_long(long.withColumn("_all", F.lit(0)), probs, ["_all"], value, rows_per_task).drop("_all")
+    g, probs = list(group_cols), [float(q) for q in probs]
+    held = long.filter(F.col(value).isNotNull()).select(*g, value)
+    edges = [max(0.0, q - 2 / SKETCH) for q in probs] + [min(1.0, q + 2 / SKETCH) for q in probs]
+    sketch = held.groupBy(*g).agg(F.percentile_approx(value, edges, SKETCH).alias("_e"))
+    near = join_summary(held, sketch, g)
+    v = F.col(value)
+    inside, passed = F.lit(False), F.lit(0)
+    for i in range(len(probs)):
+        low, high = F.col("_e")[i], F.col("_e")[i + len(probs)]
+        inside = inside | v.between(low, high)
+        passed = passed + (v > high).cast("int")
+    kept = near.withColumn("_kept", F.when(inside, v)).withColumn("_gap", F.when(~inside, passed))
+    counts = checkpointed(kept.groupBy(*g, "_gap", "_kept").agg(F.count(F.lit(1)).alias("_c"), F.min(v).alias(value))
+                          .select(*g, value, "_c", F.col("_kept").isNull().alias("_whole")))
+    out = checkpointed(_ranked(counts, probs, g, value, rows_per_task))
+    if out.where("_unsure").isEmpty():
+        return out.drop("_unsure")
+    distinct = held.groupBy(*g, value).agg(F.count(F.lit(1)).alias("_c"))
+    return quantiles_from_counts(checkpointed(distinct), probs, g, value, "_c", rows_per_task)
 
 
 def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group_cols: Sequence[str],
@@ -101,9 +122,16 @@ def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group_cols:
                           rows_per_task: int = 1_000_000) -> DataFrame:
     """:func:`exact_quantiles_long` on a table that already holds one row per
     distinct (group, value) with its multiplicity ``count``."""
-    g = list(group_cols)
     if count != "_c":
         counts = counts.withColumnRenamed(count, "_c")
+    return _ranked(counts.withColumn("_whole", F.lit(False)), probs, list(group_cols), value, rows_per_task).drop("_unsure")
+
+
+def _ranked(counts: DataFrame, probs: Sequence[float], g: list[str], value: str, rows_per_task: int) -> DataFrame:
+    """(group..., q, value, _unsure) from rows of distinct values and their counts.
+
+    A ``_whole`` row stands for several values, of which only the least is
+    known: a rank inside it, beyond the first, is unsure."""
     # group sizes N come with the running sums (bucket windows / bucket table)
     cum = running_sums(counts, value, ["_c"], g, rows_per_task=rows_per_task, totals=True)
     n = F.col("tot__c")
@@ -113,13 +141,13 @@ def quantiles_from_counts(counts: DataFrame, probs: Sequence[float], group_cols:
         h = (n - F.lit(1)).cast("double") * F.lit(float(q))
         for kind, rank in (("lo", F.floor(h)), ("hi", F.ceil(h))):
             hits.append(F.when((start <= rank) & (F.col("cum__c") > rank),
-                               F.struct(F.lit(float(q)).alias("q"), F.lit(kind).alias("kind"),
-                                        h.alias("h"), F.col(value).cast("double").alias("v"))))
+                               F.struct(F.lit(float(q)).alias("q"), F.lit(kind).alias("kind"), h.alias("h"),
+                                        F.col(value).cast("double").alias("v"), (F.col("_whole") & (start < rank)).alias("unsure"))))
     found = cum.select(*g, F.explode(F.filter(F.array(*hits), lambda x: x.isNotNull())).alias("_hit"))
     per_q = found.groupBy(*g, F.col("_hit.q").alias("q")).agg(
         F.max(F.when(F.col("_hit.kind") == "lo", F.col("_hit.v"))).alias("_vlo"),
         F.max(F.when(F.col("_hit.kind") == "hi", F.col("_hit.v"))).alias("_vhi"),
-        F.max("_hit.h").alias("_h"))
+        F.max("_hit.h").alias("_h"), F.max("_hit.unsure").alias("_unsure"))
     frac = F.col("_h") - F.floor("_h")
     val = F.when(frac == 0, F.col("_vlo")).otherwise(F.col("_vlo") + (F.col("_vhi") - F.col("_vlo")) * frac)
-    return per_q.select(*g, "q", val.alias("value"))
+    return per_q.select(*g, "q", val.alias("value"), "_unsure")

@@ -85,3 +85,15 @@ def test_footers_are_grouped_without_a_job_per_file(spark, tmp_path):
     files = sorted(spark.read.parquet(paths[0]).inputFiles() + [f for p in paths[1:] for f in spark.read.parquet(p).inputFiles()])
     groups = _agreeing(spark, files)
     assert sorted(f for _, g in groups for f in g) == files and len({s.json() for s, _ in groups}) == 2
+
+
+def test_quantiles_by_brackets_equal_all_distinct_values(spark, monkeypatch):
+    from strataflow.operators import prefix as P
+    df = spark.range(5000).select((F.col("id") * 7919 % 5000 / 7).alias("x"), F.when(F.col("id") % 3 > 0, F.col("id") % 2).alias("g"))
+    probs = (0.0, 0.1, 0.25, 0.26, 0.5, 0.99, 1.0)
+    want = rows(EX.quantiles(df, ["x"], probs, by=["g"]), "g", "q", "value")
+    for accuracy in (20, 3):   # wide brackets; and sketches so coarse that a rank may be missed
+        monkeypatch.setattr(P, "SKETCH", accuracy)
+        assert rows(EX.quantiles(df, ["x"], probs, by=["g"]), "g", "q", "value") == want
+    distinct = P.stack(df, ["x"], keep=["g"]).groupBy("g", "column_name", "value").agg(F.count(F.lit(1)).alias("_c"))
+    assert rows(P.quantiles_from_counts(distinct, probs, ["g", "column_name"]), "g", "q", "value") == want
