@@ -25,8 +25,9 @@ from __future__ import annotations
 import codecs
 import re
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterable, Iterator, Sequence
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -40,8 +41,8 @@ from .tables import ship_code
 codecs.register_error("each_byte", lambda e: ("\ufffd" * (e.end - e.start), e.end))
 
 MARK = "▁"
-#: Stretches, and pairs, whose results a task keeps at most; beyond that they are worked out again.
-KEPT = 400_000
+#: Stretches and pairs whose results a worker keeps at most (about 250 and 100 bytes each); beyond that they are worked out again.
+KEPT_STRETCHES, KEPT = 1_200_000, 400_000
 INFINITY = float("inf")
 _STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
 # Fixed values of the model format: kinds of models and pieces.
@@ -83,105 +84,153 @@ class Machine:
         self.unknown = min(self.score) - 10.0
         if any(MARK in p.lstrip(MARK) for p in self.ids):
             raise ValueError("a piece has the space mark inside")
+        self.ranks = {p: self.score[i] for p, i in self.ids.items()}
+        self.simple = self.prefix and not any("\n" in p for p in self.ids)
         self.trie: dict = {}
         for piece, i in self.ids.items():
             node = self.trie
             for c in piece:
                 node = node.setdefault(c, {})
             node[""] = i
+        # decoding: an ASCII byte is a character whatever stands beside it, higher bytes need their run
+        self.shown = ["" if i in self.hidden else chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else p for i, p in enumerate(self.text)]
+        self.high = {i for i, b in self.byte_of.items() if b >= 128}
         self.pairs: dict[int, bool] = {}
         self.stretches: dict[str, tuple[int, ...]] = {}
 
-    def merged(self, text: str) -> list[str]:
-        """The characters of a short text, merged by rank: highest score first, leftmost of equals."""
-        parts = list(text)
-        while True:
-            best, at = -INFINITY, -1
-            for i in range(len(parts) - 1):
-                piece = self.ids.get(parts[i] + parts[i + 1])
-                if piece is not None and self.score[piece] > best:
-                    best, at = self.score[piece], i
-            if at < 0:
-                return parts
-            parts[at:at + 2] = [parts[at] + parts[at + 1]]
-
     def stay_apart(self, a: int, b: int) -> bool:
-        """Whether a pair of neighbours has a finite weight; a = -1: whether b does after a border or a byte fallback."""
+        """Whether a pair of neighbours has a finite weight; a = -1: whether b does after a border or a byte fallback.
+
+        The characters of both are merged by rank, highest score first, leftmost of equals; no merge may cross the
+        border, and nothing but the pair may be left."""
         if len(self.pairs) >= KEPT:
             self.pairs.clear()
-        parts = [self.text[x] for x in (a, b) if x >= 0]
-        out = self.pairs[a << 20 | b] = self.merged("".join(parts)) == parts
+        left = self.text[a] if a >= 0 else ""
+        parts, border, score = list(left + self.text[b]), len(left), self.ranks.get
+        scores = [score(x + y, -INFINITY) for x, y in zip(parts, parts[1:], strict=False)]
+        apart = True
+        while scores:
+            best = max(scores)
+            if best == -INFINITY:
+                break
+            i = scores.index(best)
+            if i == border - 1:
+                apart = False
+                break
+            border -= i < border
+            parts[i:i + 2] = [parts[i] + parts[i + 1]]
+            del scores[i]
+            if i:
+                scores[i - 1] = score(parts[i - 1] + parts[i], -INFINITY)
+            if i < len(scores):
+                scores[i] = score(parts[i] + parts[i + 1], -INFINITY)
+        out = self.pairs[a << 20 | b] = apart and len(parts) == (2 if a >= 0 else 1)
+        return out
+
+    def arcs(self, stretch: str, at: int) -> list[tuple[int, int]]:
+        """(end, piece) of the arcs from a position, longest first; piece -1 is byte fallback."""
+        out: list[tuple[int, int]] = []
+        node, j, n = self.trie.get(stretch[at]), at + 1, len(stretch)
+        if node is None or "" not in node:
+            out.append((j, -1))
+        while node is not None:
+            piece = node.get("")
+            if piece is not None:
+                out.append((j, piece))
+            if j == n:
+                break
+            node = node.get(stretch[j])
+            j += 1
+        out.reverse()
         return out
 
     def shortest_path(self, stretch: str) -> tuple[int, ...]:
-        """Compose with one stretch and take the shortest path; a byte-fallback arc counts as last piece -1."""
-        n, bpe, pairs = len(stretch), self.kind == BPE, self.pairs
-        # states[position]: last piece -> (weight, position before, last piece before, ids of the arc)
-        states: list[dict[int, tuple]] = [{} for _ in range(n + 1)]
-        states[0][-1] = (0.0, -1, -1, ())
-        for i in range(n):
-            here = states[i]
-            if not here:
-                continue
-            arcs, node = [], self.trie.get(stretch[i])
-            alone = node is not None and "" in node
-            j = i + 1
-            while node is not None:
-                piece = node.get("")
-                if piece is not None:
-                    arcs.append((j, piece))
-                if j == n:
+        """Compose with one stretch and take the shortest path."""
+        return self.first_finite_path(stretch) if self.kind == BPE else self.least_path(stretch)
+
+    def first_finite_path(self, stretch: str) -> tuple[int, ...]:
+        """The shortest path where all finite weights are 0: best-first, so the first path that reaches the end, longest arcs first.
+
+        A state (position, last piece) that leads nowhere is entered once."""
+        n, pairs = len(stretch), self.pairs
+        arcs: dict[int, list[tuple[int, int]]] = {}
+        dead: set[tuple[int, int]] = set()
+        path = [(0, -1, iter(self.arcs(stretch, 0)))]
+        while True:
+            at, last, more = path[-1]
+            for state in more:
+                end, piece = state
+                if state in dead:
+                    continue
+                if piece >= 0:
+                    apart = pairs.get(last << 20 | piece)
+                    if apart is None:
+                        apart = self.stay_apart(last, piece)
+                    if not apart:
+                        continue
+                if end < n:
+                    if end not in arcs:
+                        arcs[end] = self.arcs(stretch, end)
+                    path.append((end, piece, iter(arcs[end])))
                     break
-                node = node.get(stretch[j])
-                j += 1
-            for last, found in here.items():
-                weight = found[0]
-                for j, piece in arcs:
-                    if bpe:
-                        apart = pairs.get(last << 20 | piece)
-                        if apart is None:
-                            apart = self.stay_apart(last, piece)
-                        if not apart:
-                            continue
-                        total, key = weight, piece
+                out: list[int] = []
+                ends = [*(p[0] for p in path[1:]), n]
+                for before, stop, piece in zip([0, *ends], ends, [*(p[1] for p in path[1:]), piece], strict=False):
+                    if piece >= 0:
+                        out.append(piece)
                     else:
-                        total, key = weight - self.score[piece], 0
-                    known = states[j].get(key)
-                    if known is None or total < known[0]:
-                        states[j][key] = (total, i, last, (piece,))
-                if not alone:
-                    total = weight if bpe else weight - self.unknown
-                    known = states[i + 1].get(-1)
-                    if known is None or total < known[0]:
-                        states[i + 1][-1] = (total, i, last, tuple(self.bytes_[b] for b in stretch[i].encode()))
-        last = min(states[n], key=lambda k: states[n][k][0])
+                        out += [self.bytes_[b] for b in stretch[before:stop].encode()]
+                return tuple(out)
+            else:
+                path.pop()
+                dead.add((at, last))
+
+    def least_path(self, stretch: str) -> tuple[int, ...]:
+        """The path of least weight, position by position; the state is the position alone."""
+        n = len(stretch)
+        best: list[tuple] = [(0.0, -1, ())] + [(INFINITY, -1, ())] * n
+        for i in range(n):
+            weight = best[i][0]
+            for j, piece in self.arcs(stretch, i):
+                total = weight - (self.score[piece] if piece >= 0 else self.unknown)
+                if total < best[j][0]:
+                    best[j] = (total, i, (piece,) if piece >= 0 else tuple(self.bytes_[b] for b in stretch[i].encode()))
         back, i = [], n
         while i > 0:
-            _, before, last_before, ids = states[i][last]
+            _, i, ids = best[i]
             back.append(ids)
-            i, last = before, last_before
         return tuple(x for ids in reversed(back) for x in ids)
 
     def encode(self, text: str | None) -> list[int]:
         """Ids of a text (null: empty)."""
         if not text:
             return []
+        if self.simple and text[0] not in " \n" and text[-1] != " " and "  " not in text and " \n" not in text and MARK not in text:
+            # words without their mark, or with the line feed before them: every path passes there too, as no piece has one
+            words = text.replace("\n", " \n").split(" ")
+            found = list(map(self.stretches.get, words))
+            if None in found:
+                found = [self.stretch(w, w if w[0] == "\n" else MARK + w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
+            return list(chain.from_iterable(found))
         marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
-        out: list[int] = []
-        get = self.stretches.get
-        for stretch in _STRETCH.findall(marked):
-            ids = get(stretch)
-            if ids is None:
-                ids = self.shortest_path(stretch)
-                if len(stretch) <= 64:
-                    if len(self.stretches) >= KEPT:
-                        self.stretches.clear()
-                    self.stretches[stretch] = ids
-            out += ids
-        return out
-
-    def decode(self, ids: Iterable[int]) -> str:
+        return [i for s in _STRETCH.findall(marked) for i in (self.stretches.get(s) or self.stretch(s, s))]
+
+    def stretch(self, name: str, stretch: str) -> tuple[int, ...]:
+        """Ids of a stretch, kept under a name: itself, or without its one mark."""
+        ids = self.stretches.get(name)
+        if ids is None:
+            ids = self.shortest_path(stretch)
+            if len(stretch) <= 64:
+                if len(self.stretches) >= KEPT_STRETCHES:
+                    self.stretches.clear()
+                self.stretches[name] = ids
+        return ids
+
+    def decode(self, ids: Sequence[int]) -> str:
         """The inverse: pieces to text, runs of bytes as UTF-8 (what is none becomes U+FFFD), marks to spaces, without the first."""
+        if self.high.isdisjoint(ids):
+            text = "".join(map(self.shown.__getitem__, ids))
+            return (text[1:] if self.prefix and text.startswith(MARK) else text).replace(MARK, " ")
         parts: list[str] = []
         run = bytearray()
         for i in ids:

@@ -59,6 +59,7 @@ def test_rows(spark, plain):
 
 def test_forgetting_changes_nothing(monkeypatch, plain):
     monkeypatch.setattr(P, "KEPT", 5)
+    monkeypatch.setattr(P, "KEPT_STRETCHES", 5)
     text = frames.words(300, 5)
     assert P.Machine(P.default_model()).encode(text) == plain.encode(text)
 
