@@ -43,6 +43,8 @@ BUCKET_BYTES, SORTED_WINDOWS = 4 << 20, 1 << 19
 PART_BYTES = 16 << 20
 #: Texts sampled, and the bytes each may have, to see which grams are frequent; bits of the table of them. Only balance depends on it.
 SAMPLE_TEXTS, SAMPLE_BYTES, CLASS_BITS = 1024, 32_768, 20
+#: Grams counted less than 2**RARE times there are alike: a hash order among most grams makes the longest runs.
+RARE = 5
 #: Stands for a null id: larger than every other.
 NO_ID = (1 << 62) - 1
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
@@ -70,14 +72,14 @@ def _grams(words: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def gram_classes(texts: Iterable[bytes]) -> np.ndarray:
-    """For the leading bits of a gram's hash, the bit length of its count in a sample, in the highest 4 bits.
+    """For the leading bits of a gram's hash, the bit length of its count in a sample beyond RARE, in the highest 4 bits.
 
     Without it a frequent gram of small hash would be the digit of a fixed share of all windows."""
     count = np.zeros(1 << CLASS_BITS, dtype=np.int64)
     for text in texts:
         words = _words(np.frombuffer(text + bytes(8), dtype=np.uint8))[:max(0, len(text) - GRAM + 1)]
         count += np.bincount(_hashed(words) >> np.uint32(32 - CLASS_BITS), minlength=1 << CLASS_BITS)
-    return np.minimum(15, np.ceil(np.log2(count + 1))).astype(np.uint32) << np.uint32(28)
+    return np.clip(np.ceil(np.log2(count + 1)) - RARE, 0, 15).astype(np.uint32) << np.uint32(28)
 
 
 def _runs(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, buckets: int, classes: np.ndarray) -> tuple[np.ndarray, ...]:
