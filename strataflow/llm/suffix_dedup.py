@@ -170,6 +170,26 @@ def _group_minimum(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.nda
     return smallest, shared
 
 
+def _run_keys(words: np.ndarray, at: np.ndarray, windows: np.ndarray, depth: int) -> np.ndarray:
+    """Hash of the text of each run, equal only for equal texts: every word goes in with its place in the run, then the last window."""
+    keys = np.empty(len(at), dtype=np.uint64)
+    ends = np.cumsum(windows)
+    a = 0
+    while a < len(at):  # about SORTED_WINDOWS windows at a time
+        b = max(a + 1, int(np.searchsorted(ends, ends[a] + SORTED_WINDOWS)))
+        size = windows[a:b]
+        first = np.cumsum(size) - size
+        place = np.arange(int(size.sum())) - np.repeat(first, size)
+        mixed = _mix(words[np.repeat(at[a:b], size) + place], place.astype(np.uint64) * _M1) * _M3
+        last = at[a:b] + size - 1
+        tail = _mix(np.zeros(len(size), dtype=np.uint64), size.astype(np.uint64))
+        for k in [*range(0, depth - 8, 8), depth - 8]:
+            tail = _mix(tail, words[last + k])
+        keys[a:b] = np.add.reduceat(mixed ^ (mixed >> np.uint64(31)), first) + tail
+        a = b
+    return keys
+
+
 def repeated_ranges(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, text: np.ndarray, depth: int, texts_per_id: int = 1) -> tuple[np.ndarray, ...]:
     """(key, first byte, end byte) of the windows of a bucket that also start in a smaller id."""
     if not len(keys):
@@ -189,8 +209,7 @@ def repeated_ranges(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, te
         return key
 
     head = digit(at, 0, HEAD)
-    # equal runs: same windows in the same number; the last window's rest completes the text of the run
-    whole = np.add.reduceat(head * _M3 ^ (head >> np.uint64(31)), first_window) + _mix(digit(text_at + windows - 1, HEAD - 8, depth), windows.astype(np.uint64))
+    whole = _run_keys(words, text_at, windows, depth)
     smallest, _ = _group_minimum(whole, ids)
     copy = ids > smallest
     out = [(keys[copy], place[copy], place[copy] + windows[copy] + depth - 1)]

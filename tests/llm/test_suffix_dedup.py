@@ -76,3 +76,15 @@ def test_ranges_of_one_bucket(docs):
         got[int(i)][a:b] = b"\1" * (b - a)
     want = {r[0]: r[2] for r in brute(docs)}
     assert {i: sum(g) for i, g in got.items()} == want
+
+
+@pytest.mark.parametrize("widths", [((38, 30, 25, 30), (30, 38, 25, 30)), ((24, 43, 30, 25, 34), (43, 24, 30, 25, 34))])
+def test_permuted_separator_lines_are_not_equal_runs(widths):
+    import numpy as np
+
+    docs = [(i, "|" + "+".join("-" * n for n in w) + "+") for i, w in enumerate(widths)]
+    got = [bytearray(len(t)) for _, t in docs]
+    ids, low, high = S.repeated_ranges(np.arange(2), np.zeros(2, np.int64), np.array([len(t) - 49 for _, t in docs]), np.frombuffer("".join(t for _, t in docs).encode(), np.uint8), 50)
+    for i, a, b in zip(ids, low, high, strict=True):
+        got[int(i)][a:b] = b"\1" * (b - a)
+    assert [sum(g) for g in got] == [r[2] for r in brute(docs)]
