@@ -9,8 +9,9 @@ window of ``depth`` bytes that occurs more than once.
   the windows out to buckets (the one exchange of the sort), and as
   neighbouring windows mostly share it, a run of them travels as one piece of
   text instead of window by window.
-* In a bucket, equal runs are combined first: only the smallest document of
-  each is sorted on, however many copies there are.
+* Equal runs are combined in each chunk before the exchange, and again while a
+  bucket is read: only the smallest document of each is sorted on, however many
+  copies there are. The others are reported covered at once.
 * The next digits are the first HEAD bytes, then the rest. Windows whose
   group has one document after a digit are dropped before the next.
 
@@ -39,6 +40,8 @@ GRAM = 6
 CHUNK = 4 << 20
 #: Bytes of text whose windows one bucket holds on average, and windows of a bucket that are sorted at a time.
 BUCKET_BYTES, SORTED_WINDOWS = 4 << 20, 1 << 19
+#: Windows of a bucket that are read before equal runs are combined.
+MERGED_WINDOWS = 1 << 22
 #: Bytes of text in a partition of the last step.
 PART_BYTES = 16 << 20
 #: Texts sampled, and the bytes each may have, to see which grams are frequent; bits of the table of them. Only balance depends on it.
@@ -118,44 +121,6 @@ def _gather(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.nda
     return data[np.repeat((starts - before).astype(kind), lengths) + np.arange(int(lengths.sum()), dtype=kind)]
 
 
-def _map_batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """(key, text) rows -> (bucket, runs): each the packed runs of a chunk for a bucket."""
-    press = zstandard.ZstdCompressor(level=5).compress
-
-    def packed(parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
-        lengths = np.array([len(p[2]) for p in parts], dtype=np.int64)
-        ends = np.cumsum(lengths)
-        starts = ends - lengths
-        data = np.frombuffer(b"".join(p[2] for p in parts) + bytes(8), dtype=np.uint8)
-        at, windows, bucket = _runs(data, starts, ends, depth, buckets, classes)
-        owner = np.searchsorted(ends, at, side="right")
-        ids, offset = np.array([p[0] for p in parts], dtype=np.int64), np.array([p[1] for p in parts], dtype=np.int64)
-        order = np.argsort(bucket, kind="stable")
-        at, windows, bucket, owner = at[order], windows[order], bucket[order], owner[order]
-        key, place = ids[owner], at - starts[owner] + offset[owner]
-        names, first = np.unique(bucket, return_index=True)
-        rows = []
-        for a, b in zip(first, np.append(first, len(bucket))[1:], strict=True):
-            step = np.diff(key[a:b], prepend=0)
-            body = _gather(data, at[a:b], windows[a:b] + depth - 1)
-            rows.append(press(b"".join((np.int64(b - a).tobytes(), step.tobytes(), place[a:b].tobytes(), windows[a:b].astype(np.int64).tobytes(), body.tobytes()))))
-        return pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(rows, pa.binary())], names=["bucket", "runs"])
-
-    parts: list[tuple[int, int, bytes]] = []
-    size = 0
-    for batch in batches:
-        for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            text = (value.as_py() or "").encode()
-            for start in range(0, max(0, len(text) - depth + 1), CHUNK):
-                parts.append((key, start, text[start:start + CHUNK + depth - 1]))
-                size += len(parts[-1][2])
-                if size >= CHUNK:
-                    yield packed(parts)
-                    parts, size = [], 0
-    if parts:
-        yield packed(parts)
-
-
 def _group_minimum(key: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """For each element the smallest id with its key, and whether a different id shares the key."""
     order = np.argsort(key)
@@ -190,6 +155,79 @@ def _run_keys(words: np.ndarray, at: np.ndarray, windows: np.ndarray, depth: int
     return keys
 
 
+def _combined(run: np.ndarray, keys: np.ndarray, place: np.ndarray, texts_per_id: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of runs by their hash: which go on (those of the smallest id, each place once), and which also are in a smaller id."""
+    ids = keys // texts_per_id
+    smallest, _ = _group_minimum(run, ids)
+    copy = ids > smallest
+    keep = np.flatnonzero(~copy)
+    order = np.lexsort((place[keep], keys[keep], run[keep]))
+    keep = keep[order]
+    fresh = np.ones(len(keep), dtype=bool)
+    fresh[1:] = (np.diff(run[keep]) != 0) | (np.diff(keys[keep]) != 0) | (np.diff(place[keep]) != 0)
+    return np.sort(keep[fresh]), copy
+
+
+def _range_parcels(keys: np.ndarray, low: np.ndarray, high: np.ndarray, parts: int) -> tuple[np.ndarray, list[bytes]]:
+    """Ranges by part, packed; those of one text that meet become one."""
+    press = zstandard.ZstdCompressor(level=1).compress
+    if not len(keys):
+        return np.empty(0, np.int64), []
+    order = np.lexsort((low, keys))
+    keys, low, high = keys[order], low[order], high[order]
+    other = np.append(True, keys[1:] != keys[:-1])
+    base = np.cumsum(other) << 32  # beyond the bytes of any text
+    reach = np.maximum.accumulate(high + base)
+    first = np.flatnonzero(np.append(True, (low + base)[1:] > reach[:-1]))
+    high = (reach - base)[np.append(first[1:], len(keys)) - 1]
+    keys, low = keys[first], low[first]
+    part = keys % parts
+    order = np.argsort(part, kind="stable")
+    keys, low, high, part = keys[order], low[order], high[order], part[order]
+    names, first = np.unique(part, return_index=True)
+    return names, [press(b"".join((np.diff(keys[a:b], prepend=0).tobytes(), low[a:b].tobytes(), (high[a:b] - low[a:b]).tobytes())))
+                   for a, b in zip(first, np.append(first, len(part))[1:], strict=True)]
+
+
+def _map_batches(batches: Iterable[pa.RecordBatch], depth: int, buckets: int, classes: np.ndarray, ranges: int, texts_per_id: int = 1) -> Iterator[pa.RecordBatch]:
+    """(key, text) rows -> (bucket, runs): each the packed runs of a chunk for a bucket, or for -1 - part the ranges of a part."""
+    press = zstandard.ZstdCompressor(level=5).compress
+
+    def packed(parts: list[tuple[int, int, bytes]]) -> pa.RecordBatch:
+        lengths = np.array([len(p[2]) for p in parts], dtype=np.int64)
+        ends = np.cumsum(lengths)
+        starts = ends - lengths
+        data = np.frombuffer(b"".join(p[2] for p in parts) + bytes(8), dtype=np.uint8)
+        at, windows, bucket = _runs(data, starts, ends, depth, buckets, classes)
+        owner = np.searchsorted(ends, at, side="right")
+        ids, offset = np.array([p[0] for p in parts], dtype=np.int64), np.array([p[1] for p in parts], dtype=np.int64)
+        key, place = ids[owner], at - starts[owner] + offset[owner]
+        left, copy = _combined(_run_keys(_words(data), at, windows, depth), key, place, texts_per_id)
+        covered, rows = _range_parcels(key[copy], place[copy], place[copy] + windows[copy] + depth - 1, ranges)
+        order = left[np.argsort(bucket[left], kind="stable")]
+        at, windows, bucket, key, place = at[order], windows[order], bucket[order], key[order], place[order]
+        names, first = np.unique(bucket, return_index=True)
+        for a, b in zip(first, np.append(first, len(bucket))[1:], strict=True):
+            step = np.diff(key[a:b], prepend=0)
+            body = _gather(data, at[a:b], windows[a:b] + depth - 1)
+            rows.append(press(b"".join((np.int64(b - a).tobytes(), step.tobytes(), place[a:b].tobytes(), windows[a:b].astype(np.int64).tobytes(), body.tobytes()))))
+        return pa.RecordBatch.from_arrays([pa.array(np.append(-1 - covered, names), pa.int64()), pa.array(rows, pa.binary())], names=["bucket", "runs"])
+
+    parts: list[tuple[int, int, bytes]] = []
+    size = 0
+    for batch in batches:
+        for key, value in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            text = (value.as_py() or "").encode()
+            for start in range(0, max(0, len(text) - depth + 1), CHUNK):
+                parts.append((key, start, text[start:start + CHUNK + depth - 1]))
+                size += len(parts[-1][2])
+                if size >= CHUNK:
+                    yield packed(parts)
+                    parts, size = [], 0
+    if parts:
+        yield packed(parts)
+
+
 def repeated_ranges(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, text: np.ndarray, depth: int, texts_per_id: int = 1) -> tuple[np.ndarray, ...]:
     """(key, first byte, end byte) of the windows of a bucket that also start in a smaller id."""
     if not len(keys):
@@ -270,43 +308,58 @@ def _parts(keys: np.ndarray, place: np.ndarray, windows: np.ndarray, text: np.nd
             yield keys[own], place[own], windows[own], _gather(text, at[own], windows[own] + depth - 1)
 
 
-def _parcels(parts: Iterable[int], kind: int, blobs: list[bytes]) -> pa.RecordBatch:
+def _parcels(parts: Iterable[int], blobs: list[bytes], kind: int = 0) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(list(parts), pa.int64()), pa.array([kind] * len(blobs), pa.int32()), pa.array(blobs, pa.binary())],
                                       names=["part", "kind", "parcel"])
 
 
 def _reduce_batches(batches: Iterable[pa.RecordBatch], depth: int, parts: int, texts_per_id: int, classes: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Rows of a partition, sorted by bucket -> (part, kind 0, ranges)."""
-    unpress, press = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=1).compress
-
-    def solved(blobs: list[bytes]) -> pa.RecordBatch:
-        columns: list[list[np.ndarray]] = [[], [], [], []]
-        for blob in blobs:
-            data = unpress(blob)
-            n = int(np.frombuffer(data, np.int64, 1)[0])
-            step, place, windows = np.frombuffer(data, np.int64, 3 * n, 8).reshape(3, n)
-            for c, x in zip(columns, (np.cumsum(step), place, windows, np.frombuffer(data, np.uint8, offset=8 + 24 * n)), strict=True):
-                c.append(x)
+    """Rows of a partition, sorted by bucket -> (part, kind 0, ranges). Holds the distinct runs of a bucket, and at most as much again."""
+    unpress = zstandard.ZstdDecompressor().decompress
+    columns: list[list[np.ndarray]] = [[], [], [], []]
+    size, limit = 0, MERGED_WINDOWS
+
+    def read(blob: bytes) -> int:
+        data = unpress(blob)
+        n = int(np.frombuffer(data, np.int64, 1)[0])
+        step, place, windows = np.frombuffer(data, np.int64, 3 * n, 8).reshape(3, n)
+        for c, x in zip(columns, (np.cumsum(step), place, windows, np.frombuffer(data, np.uint8, offset=8 + 24 * n)), strict=True):
+            c.append(x)
+        return int(windows.sum())
+
+    def merged() -> pa.RecordBatch:
+        """Combine equal runs of what is read; the ranges of the others."""
+        keys, place, windows, text = (np.concatenate(c) for c in columns)
+        lengths = windows + depth - 1
+        at = np.cumsum(lengths) - lengths
+        left, copy = _combined(_run_keys(_words(np.append(text, np.zeros(8, np.uint8))), at, windows, depth), keys, place, texts_per_id)
+        if len(left) < len(keys):
+            text = _gather(text, at[left], lengths[left])
+        columns[:] = [[keys[left]], [place[left]], [windows[left]], [text]]
+        return _parcels(*_range_parcels(keys[copy], place[copy], place[copy] + lengths[copy], parts))
+
+    def solved() -> pa.RecordBatch:
         found = [repeated_ranges(*some, depth, texts_per_id) for some in _parts(*(np.concatenate(c) for c in columns), depth, classes)]
-        ids, low, high = (np.concatenate(c) for c in zip(*found, strict=True))
-        part = ids % parts
-        order = np.lexsort((low, ids, part))
-        ids, low, high, part = ids[order], low[order], high[order], part[order]
-        names, first = np.unique(part, return_index=True)
-        rows = [press(b"".join((np.diff(ids[a:b], prepend=0).tobytes(), low[a:b].tobytes(), (high[a:b] - low[a:b]).tobytes())))
-                for a, b in zip(first, np.append(first, len(part))[1:], strict=True)]
-        return _parcels(names, 0, rows)
+        columns[:] = [[], [], [], []]
+        return _parcels(*_range_parcels(*(np.concatenate(c) for c in zip(*found, strict=True)), parts))
 
-    now, blobs = None, []
+    now = None
     for batch in batches:
-        for bucket, blob in zip(batch.column(0), batch.column(1), strict=True):
-            if bucket.as_py() != now and blobs:
-                yield solved(blobs)
-                blobs = []
-            now = bucket.as_py()
-            blobs.append(blob.as_py())
-    if blobs:
-        yield solved(blobs)
+        for bucket, blob in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            if bucket < 0:
+                yield _parcels([-1 - bucket], [blob.as_py()])
+                continue
+            if bucket != now and columns[0]:
+                yield solved()
+                size, limit = 0, MERGED_WINDOWS
+            now = bucket
+            size += read(blob.as_py())
+            if size > limit:
+                yield merged()
+                size = int(columns[2][0].sum())
+                limit = max(MERGED_WINDOWS, 2 * size)
+    if columns[0]:
+        yield solved()
 
 
 def _text_batches(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.RecordBatch]:
@@ -321,7 +374,7 @@ def _text_batches(batches: Iterable[pa.RecordBatch], parts: int) -> Iterator[pa.
         for own in by_part.values():
             head = np.array([len(own), *(k for k, _ in own), *(len(d) for _, d in own)], dtype=np.int64)
             blobs.append(press(head.tobytes() + b"".join(d for _, d in own)))
-        return _parcels(list(by_part), 1, blobs)
+        return _parcels(list(by_part), blobs, 1)
 
     rows: list[tuple[int, bytes]] = []
     size = 0
@@ -413,7 +466,7 @@ def suffix_dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", te
     keyed, per_id = _keyed(rows)
     drawn = rows.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(SAMPLE_TEXTS)
     classes = gram_classes(r["text"].encode() for r in drawn.toLocalIterator())
-    runs = keyed.mapInArrow(lambda it: _map_batches(it, depth, buckets, classes), "bucket long, runs binary")
+    runs = keyed.mapInArrow(lambda it: _map_batches(it, depth, buckets, classes, parts, per_id), "bucket long, runs binary")
     ranges = (runs.repartition(buckets, "bucket").sortWithinPartitions("bucket")
               .mapInArrow(lambda it: _reduce_batches(it, depth, parts, per_id, classes), "part long, kind int, parcel binary"))
     texts = keyed.mapInArrow(lambda it: _text_batches(it, parts), "part long, kind int, parcel binary")

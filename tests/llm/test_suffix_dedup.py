@@ -88,3 +88,51 @@ def test_permuted_separator_lines_are_not_equal_runs(widths):
     for i, a, b in zip(ids, low, high, strict=True):
         got[int(i)][a:b] = b"\1" * (b - a)
     assert [sum(g) for g in got] == [r[2] for r in brute(docs)]
+
+
+def reduced(monkeypatch, rows, merged=1 << 22, per_chunk=4 << 20):
+    """Bytes that each document loses, and the windows that went to buckets and the most that one sort got."""
+    import numpy as np
+    import pyarrow as pa
+    import zstandard
+
+    monkeypatch.setattr(S, "CHUNK", per_chunk)
+    monkeypatch.setattr(S, "MERGED_WINDOWS", merged)
+    sorted_windows, plain = [], S.repeated_ranges
+    monkeypatch.setattr(S, "repeated_ranges", lambda keys, place, windows, *a: sorted_windows.append(int(windows.sum())) or plain(keys, place, windows, *a))
+    classes = S.gram_classes([])
+    batch = pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows])], names=["key", "text"])
+    sent = sorted((r["bucket"], r["runs"]) for b in S._map_batches([batch], 50, 3, classes, 5) for r in b.to_pylist())
+    travelled = 0
+    for bucket, blob in sent:
+        if bucket >= 0:
+            data = zstandard.ZstdDecompressor().decompress(blob)
+            n = int(np.frombuffer(data, np.int64, 1)[0])
+            travelled += int(np.frombuffer(data, np.int64, 3 * n, 8)[2 * n:].sum())
+    gone = {r[0]: bytearray(len(r[1].encode())) for r in rows}
+    table = pa.RecordBatch.from_arrays([pa.array([b for b, _ in sent], pa.int64()), pa.array([x for _, x in sent], pa.binary())], names=["bucket", "runs"])
+    for b in S._reduce_batches([table], 50, 5, 1, classes):
+        for r in b.to_pylist():
+            step, low, size = np.frombuffer(zstandard.ZstdDecompressor().decompress(r["parcel"]), np.int64).reshape(3, -1)
+            for k, a, n in zip(np.cumsum(step), low, size, strict=True):
+                assert k % 5 == r["part"]
+                gone[int(k)][a:a + n] = b"\1" * n
+    return {k: sum(g) for k, g in gone.items()}, travelled, max(sorted_windows)
+
+
+@pytest.mark.parametrize("per_chunk", [4 << 20, 4000])
+def test_copies_are_combined_before_the_sort(monkeypatch, per_chunk):
+    text = frames.words(80, 5)
+    windows = len(text) - 49
+    rows = [(900 - i, text) for i in range(300)] + [(1, text[50:300] + frames.words(9, 6)), (2, "q" * 300), (-4, frames.words(20, 7))]
+    lost, travelled, most = reduced(monkeypatch, rows, 2000, per_chunk)
+    assert lost == {r[0]: r[2] for r in brute(rows)}
+    # one copy a chunk travels, and a sort gets one copy and what is read before runs are combined
+    assert travelled < (windows + 800) * (1 if per_chunk > 4000 else 80)
+    assert most < 2 * 2000 + windows
+
+
+def test_repeated_rows_travel_once(monkeypatch):
+    rows = [(7, frames.words(80, 5))] * 300
+    lost, travelled, _ = reduced(monkeypatch, rows)
+    assert lost == {7: 0} and travelled == len(rows[0][1]) - 49
