@@ -14,6 +14,7 @@ in the plan by that number.
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
@@ -36,6 +37,8 @@ DEPTH = 3
 #: Pieces that one task numbers.
 ROWS_PER_BUCKET = 1024
 END_ID = 1
+#: White-space characters in a row from which a text goes to the tokenizers file.
+LONGEST_SPACE = 1000
 
 
 def default_vocabulary() -> str:
@@ -59,13 +62,38 @@ def _encoders(path: str):
     return make("whole", pattern), make("single", pattern.removesuffix(tail) + r"|\s")
 
 
+@lru_cache(maxsize=2)
+def _slow_texts(path: str) -> regex.Pattern:
+    """Texts that only the tokenizers file encodes as it must be: with a special token, or white space too long for the rank encoder's look-ahead."""
+    with open(_tokenizer_path(path), encoding="utf-8") as f:
+        special = [regex.escape(t["content"]) for t in json.load(f)["added_tokens"]]
+    return regex.compile("|".join([*special, rf"\s{{{LONGEST_SPACE}}}"]))
+
+
+def _tokenizer_path(path: str) -> str:
+    return path.removesuffix(".tiktoken") + ".json"
+
+
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(_tokenizer_path(path))
+
+
 _RUN = regex.compile(r"\s\s")
 
 
 def token_ids(text: str | None, path: str) -> np.ndarray:
-    """Ids of a whole text (null: empty) and the end id."""
-    whole, single = _encoders(path)
-    ids = (whole if _RUN.search(text or "") else single).encode_ordinary(text or "")
+    """Ids of a whole text (null: empty) by the tokenizers file with its default settings, and the end id.
+
+    The rank encoder is faster and gives the same ids for all but ``_slow_texts``."""
+    text = text or ""
+    if _slow_texts(path).search(text):
+        ids = _tokenizer(path).encode(text, add_special_tokens=False).ids
+    else:
+        whole, single = _encoders(path)
+        ids = (whole if _RUN.search(text) else single).encode_ordinary(text)
     ids.append(END_ID)
     return np.array(ids, dtype="<u4")
 

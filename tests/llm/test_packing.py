@@ -100,3 +100,28 @@ def test_nnls_is_optimal(seed):
 
 def test_strategies():
     assert sorted(K.strategies(4, 3)) == [(2, 1, 1), (2, 2), (3, 1), (4,)]
+
+
+SPECIAL = "<|endoftext|>"
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from([SPECIAL, "<|endoftext", "|>", " ", "\n\n", "word", "é日", "12", "'s", " " * 999, " " * 1000, "\n" * 1001, "k" * 700]), max_size=9))
+def test_ids_equal_the_tokenizer_with_default_settings(parts):
+    import public_tokenizers
+
+    global DEFAULT
+    DEFAULT = globals().get("DEFAULT") or Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    text = "".join(parts)
+    ids = K.token_ids(text, K.default_vocabulary()).tolist()
+    assert ids == [*DEFAULT.encode(text, add_special_tokens=False).ids, 1]
+    assert ids.count(50256) == text.count(SPECIAL)
+
+
+@pytest.mark.parametrize("run", [" ", "\n"])
+def test_a_million_blanks_are_encoded(run):
+    import public_tokenizers
+
+    text = "before" + run * 1_000_000 + "after"
+    want = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")).encode(text, add_special_tokens=False).ids
+    assert K.token_ids(text, K.default_vocabulary()).tolist() == [*want, 1]
