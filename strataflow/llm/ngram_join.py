@@ -454,7 +454,24 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
 
 def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their component, all columns; rows of a null id are kept apart from others."""
-    groups = jaccard_groups(docs, id_col, text_col)
-    leave = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id")).distinct()
-    return docs.join(leave, F.col(id_col) == F.col("__id"), "left_anti")
+    """Of every component the row with the smallest id and, of equal ids, the smallest hash of the text; all columns.
+
+    A null id counts as larger than all others. Rows without words are their
+    own component and all stay. Of rows that repeat an id and a text with
+    words one stays, an arbitrary one where they differ in other columns.
+    """
+    if docs.groupBy(id_col).count().where("count > 1").isEmpty():
+        groups = jaccard_groups(docs, id_col, text_col)
+        leave = groups.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("__id"))
+        return docs.join(leave, F.col(id_col).eqNullSafe(F.col("__id")), "left_anti")
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    row = F.struct(F.col(id_col).isNull().alias("later"), F.col(id_col).alias("id"), F.xxhash64(text).alias("hash"))
+    groups = written(jaccard_groups(docs.select(row.alias("row"), text.alias("text")), "row", "text"), "row-groups")
+    own = lambda x: x.select(F.col("doc_id.id").alias("__id"), F.col("doc_id.hash").alias("__hash"))
+    at = F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__key") == F.col("__hash"))
+    kept = docs.withColumn("__key", F.xxhash64(text)).join(own(groups.where("doc_id <> component_id")).distinct(), at, "left_anti")
+    again = own(groups.where("n_shingles > 0 and doc_id = component_id").groupBy("doc_id").count().where("count > 1"))
+    if again.isEmpty():
+        return kept.drop("__key")
+    once = kept.join(again, at, "left_semi").dropDuplicates([id_col, "__key"])
+    return kept.join(again, at, "left_anti").unionByName(once).drop("__key")

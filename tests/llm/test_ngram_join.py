@@ -126,3 +126,23 @@ def test_components_of_a_chain(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(0, 40)] + [(100, 90), (90, 95)], "a long, b long")
     got = {r["node"]: r["label"] for r in N.components(links).collect()}
     assert got == {**dict.fromkeys(range(41), 0), 90: 90, 95: 90, 100: 90}
+
+
+def test_near_dedup_judges_rows_not_ids(spark):
+    base, clean = frames.words(100, 1), frames.words(80, 7)
+    near = [base + f" tail{k}" for k in range(6)]
+    rows = [(1, near[0]), (5, near[1]), (5, clean), (9, near[2]), (None, near[3]), (None, near[4]),
+            (20, frames.words(70, 8)), (20, frames.words(70, 8) + " more"), (None, frames.words(60, 9)), (None, frames.words(60, 9) + " more"),
+            (30, frames.words(50, 3)), (30, frames.words(50, 3)), (40, ""), (40, ""), (41, None), (None, None)]
+    got = [(r["doc_id"], r["text"]) for r in N.near_dedup(spark.createDataFrame([(i, t, None, None, None) for i, t in rows], frames.SCHEMA)).collect()]
+    assert [x for x in got if x[1] in near] == [(1, near[0])]
+    assert got.count((5, clean)) == 1 and got.count((30, frames.words(50, 3))) == 1
+    assert sum(1 for i, _ in got if i == 20) == 1 and sum(1 for i, t in got if i is None and t) == 1
+    assert sorted((x for x in got if not x[1]), key=str) == sorted([(40, ""), (40, ""), (41, None), (None, None)], key=str)
+    assert len(got) == 9
+
+
+def test_near_dedup_drops_the_one_null_id(spark):
+    text = frames.words(100, 1)
+    df = spark.createDataFrame([(3, text, None, None, None), (None, text + " tail", None, None, None), (2, text + " end", None, None, None)], frames.SCHEMA)
+    assert [r["doc_id"] for r in N.near_dedup(df).collect()] == [2]
