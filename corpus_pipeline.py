@@ -36,7 +36,7 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def redact_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced by a mark and n_chars counted anew where that changed a text."""
-    found = secret_scan.scan(docs).withColumn("__hit", F.size("spans") > 0)
+    found = secret_scan.scan(docs, secret_scan.REDACTED).withColumn("__hit", F.size("spans") > 0)
     out = secret_scan.redact(found)
     return out.withColumn("n_chars", F.when(F.col("__hit"), F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
 

@@ -51,6 +51,15 @@ MORE = (
     Rule("pem", r"-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----"),
     Rule("github", r"gh[pousr]_[A-Za-z0-9]{36,}"),
 )
+_BREAK = r"""(?:[\s>|#*"'+,]|\\[nr])"""
+_PEM = MORE[0].pattern
+# What is taken out of a text: as above, but a private key from its header through the END line or, where none follows
+# before the next marker, through the lines that look like a key. Possessive loops, which Java runs without recursion.
+REDACTED = BASE + (
+    Rule("pem", _PEM + r"(?:(?:[^-]++|-(?!----))*+" + _PEM.replace("BEGIN", "END") + "|"
+         + rf"(?:{_BREAK}*+(?:Proc-Type|DEK-Info):[^\r\n\\]*+)*+(?:{_BREAK}++[A-Za-z0-9+/=]{{16,}}+)*+"
+         + rf"""(?:{_BREAK}++[A-Za-z0-9+/=]++(?![^"'\\\r\n]))?+)"""),
+) + MORE[1:]
 
 #: A query in disjunctive form: any of the sets of trigrams; the empty set holds for every document.
 Query = frozenset[frozenset[str]]
@@ -225,7 +234,7 @@ def span_list(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def redact(scanned: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """The text with every span (overlapping ones joined) replaced by a mark; the spans column goes."""
+    """The text with every span (overlapping ones joined) replaced by a mark; the spans column goes. Scan by the rules REDACTED for it."""
     text = F.col(text_col)
 
     def step(acc: Column, s: Column) -> Column:

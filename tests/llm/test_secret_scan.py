@@ -68,3 +68,35 @@ def test_every_match_satisfies_its_query(pattern, r):
 def test_postings(spark, gram):
     keyed = spark.createDataFrame([(1, "xAKIAx"), (2, "nothing"), (3, "")], "key long, text string")
     assert {r["key"] for r in S.postings(keyed, [gram]).where(F.col("gram") == gram).collect()} == ({1} if gram == "aki" else set())
+
+
+def key_texts():
+    import random
+
+    r = random.Random(3)
+    lines = ["".join(r.choice("ABCDEFghijklMNOPqrst0123456789+/") for _ in range(64)) for _ in range(25)] + ["Zk9x+Q=="]
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    head = "Proc-Type: 4,ENCRYPTED\nDEK-Info: AES-128-CBC,0A1B2C3D"
+    body = "\n".join(lines)
+    texts = [f"see\n{begin}\n{body}\n{end}\nafter words", f"see {begin}\n{head}\n\n{body}\n{end} after words", f"see {begin}\r\n" + "\r\n".join(lines) + "\r\nafter words",
+             f"see {begin}\n{head}\n\n{body}\nafter words", f"see {begin} " + " ".join(lines) + f" {end} after words", f"see {begin}\n" + "\n".join("> " + x for x in lines) + "\nafter words",
+             'see "' + begin + "\\n" + "\\n".join(lines) + "\\n" + end + '\\n" after words', 'see "' + begin + "\\n" + "\\n".join(lines) + '" after words',
+             f"see {begin}\n{body}\n-----BEGIN CERTIFICATE-----\nafter words", f"see {begin}\n{lines[0][:9]}\nafter words", f"see {begin}\n" + f"{lines[0]}\n" * 40_000 + "after words",
+             f"see {begin}\n" + "a-b " * 40_000 + "after words"]
+    return texts, lines
+
+
+def test_no_key_byte_is_left_after_redaction(spark):
+    import corpus_pipeline as C
+
+    texts, lines = key_texts()
+    rows = [(i, t, None, None, len(t)) for i, t in enumerate(texts)] + [(99, "a header -----BEGIN PRIVATE KEY----- in a text", None, None, 46)]
+    got = {r["doc_id"]: r["text"] for r in C.redact_secrets(spark, spark.createDataFrame(rows, frames.SCHEMA), "").collect()}
+    assert got.pop(99) == "a header [REDACTED] in a text"
+    for i, t in got.items():
+        assert "PRIVATE KEY" not in t and not any(x[:8] in t for x in lines), (i, t[:300])
+        assert t.startswith("see") and t.endswith("after words"), (i, t[-300:])
+
+
+def test_reported_spans_of_a_key_stay_its_header():
+    assert S.MORE[0].pattern == "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----" and S.trigram_query(S.REDACTED[3].pattern) == S.trigram_query(S.MORE[0].pattern)
