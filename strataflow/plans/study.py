@@ -1,9 +1,10 @@
 """The whole study as one parameterised Spark job.
 
 D (trip files) → null profile → Silver funnel → strata → sample M →
-representativeness check → prepared M → describe / exploration statistics →
-70/30 split → random forest → metrics, confusion, importances, ROC →
-k-means sweep → cluster profile, z-scores, box statistics.
+representativeness check → prepared D → describe / exploration statistics →
+70/30 split → random forest (fitted on M's training part) → metrics, confusion,
+importances, ROC of the whole test part → k-means sweep → cluster profile,
+z-scores, box statistics.
 
 Every result is a DataFrame (small: per stratum, per bin, per class, per k)
 or a scalar; nothing proportional to D reaches the driver. D is read once
@@ -83,7 +84,8 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     r.tables["sample_validation"] = v
     r.scalars["max_abs_err"] = SA.max_deviation(v).first()[0]
 
-    prep = FE.prepared(m)
+    # everything from here on describes all prepared rows; M only bounds the rows that fit the forest
+    prep = FE.prepared(d)
     r.scalars["n_prepared"] = prep.count()
     r.tables["describe"] = Q.describe_long(prep, ["trip_distance", "fare_amount", "trip_duration_min",
                                                   "pickup_hour", "passenger_count", "pickup_zone",
@@ -99,7 +101,7 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
 
     labelled = SA.with_split(prep, seed=seed, row_key=row_key)
     r.tables["split_balance"] = SA.split_balance(labelled)
-    train = labelled.filter(F.col("split") == "train")
+    train = SA.with_split(FE.prepared(m), seed=seed, row_key=row_key).filter(F.col("split") == "train")
     test = labelled.filter(F.col("split") == "test")
     model = MO.fit_forest(train, trees=trees, depth=depth, seed=seed)
     pred = checkpointed(MO.score(model, test).select(row_key, "label", "prediction", "prob_positive", "features"))

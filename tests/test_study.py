@@ -41,3 +41,19 @@ def test_study_exact_sample(spark, sf001):
     v = res.tables["sample_validation"].collect()
     assert sum(r["n_sample"] for r in v) == 300
     assert res.scalars["max_abs_err"] < 0.01
+
+
+def test_study_describes_all_prepared_rows(spark, sf001):
+    from pyspark.sql import functions as F
+
+    from strataflow.operators import features as FE
+    from strataflow.operators import quality as Q
+    from strataflow.operators import strata as ST
+
+    trips = load_trips(spark, sf001)
+    n = FE.prepared(ST.with_strata(Q.silver(trips, Q.silver_rules(2024)))).count()
+    res = run_study(trips, n_sample=300, ks=range(2, 3), trees=5, depth=3)
+    assert n > 600 and res.scalars["n_prepared"] == n
+    assert res.tables["cluster_profile"].agg(F.sum("n")).first()[0] == n
+    tested = res.tables["confusion_matrix"].agg(F.sum(F.col("pred_0") + F.col("pred_1"))).first()[0]
+    assert tested > 600 * 0.3 and abs(tested / n - 0.3) < 0.1
