@@ -16,21 +16,28 @@ can drop its t - 1 last ones in any order that both use. The order puts
 signatures of common shingles (by a bounded sample) and small ones last. Only
 speed depends on it.
 
-Sets that share a signature are compared in full. Per group of a signature
-the comparisons first go through one centre; only members that are still in
-different components afterwards are compared with each other.
+Sets that share a signature are compared in full. Per list of a signature the
+comparisons first go through one centre. Lists with members that are still in
+different components afterwards are solved where they are: members that may
+link by their sketches bring their shingles, a union-find decides which
+comparisons are still needed, and only links that join two components leave
+the task (fewer than members). Lists too large for a task are first compared
+with further random centres and then split by a second signature level: the
+rarest shingles of a set, as many as any linked set must share one of
+(n - ceil(0.8 n) + 1), so a template that many sets share opens no list. Only
+a rare shingle's list that is still too large is compared block against block.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -53,8 +60,10 @@ SKETCH = 32
 SAMPLE_SETS, SAMPLE_COMMON, TABLE_BITS = 4096, 3, 22
 #: Bits of the filter by which texts are looked up again.
 FILTER_BITS = 23
-#: Members of a list that one task compares with as many others.
-BLOCK = 1024
+#: Members of a list, and shingles that they hold, which one task compares with each other; larger lists are split.
+BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
+#: Rounds through a random centre for lists that are larger.
+STARS = 3
 
 _U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
@@ -290,34 +299,78 @@ def _group_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield solved(blobs)
 
 
-def _cross_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gid, one, two, mine, set_id, n, label, sketch) sorted by block -> pairs of a block that may link and are in different components."""
-    def pairs(rows: list[tuple]) -> pa.RecordBatch:
-        mine = np.array([r[0] for r in rows])
-        ids, n, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3))
-        bits = np.array([r[4] for r in rows], dtype=np.int64).view(np.uint64)
-        a_out, b_out = [], []
-        own = len(set(mine.tolist())) == 1
-        for i in np.flatnonzero(mine == mine[0]):
-            other = np.flatnonzero((label != label[i]) & ((ids > ids[i]) if own else (mine != mine[0])))
-            other = other[(n[other] * DEN >= n[i] * NUM) & (n[i] * DEN >= n[other] * NUM)]
-            if len(other):
-                differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1)
-                other = other[differ <= largest_difference(n[other], n[i])]
-                a_out += [ids[i]] * len(other)
-                b_out += ids[other].tolist()
-        return pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
+def _may_link(i: int, n: np.ndarray, bits: np.ndarray, group: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Those of ``other`` in another group than i whose sizes and sketches leave a link possible."""
+    other = other[(group[other] != group[i]) & (n[other] * DEN >= n[i] * NUM) & (n[i] * DEN >= n[other] * NUM)]
+    if len(other):
+        differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1)
+        other = other[differ <= largest_difference(n[other], n[i])]
+    return other
 
+
+def _partners(mine: np.ndarray, i: int) -> np.ndarray:
+    """Members that i is compared with: later ones in a block, those of the second block across two."""
+    return np.arange(i + 1, len(mine)) if mine[0] == mine[-1] else np.flatnonzero(mine != mine[0])
+
+
+def _blocks(batches: Iterable[pa.RecordBatch], solved: Callable[[tuple, list[tuple]], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``solved`` of each run of rows with equal (gid, one, two)."""
     now, rows = None, []
     for batch in batches:
         for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             if r[:3] != now and rows:
-                yield pairs(rows)
+                yield solved(now, rows)
                 rows = []
             now = r[:3]
             rows.append(r[3:])
     if rows:
-        yield pairs(rows)
+        yield solved(now, rows)
+
+
+def _flag_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (gid, one, two, mine, set_id, n, label, sketch) sorted by block -> the members that may link with one of another component."""
+    def solved(block: tuple, rows: list[tuple]) -> pa.RecordBatch:
+        rows.sort(key=lambda r: r[0])
+        mine, ids, n, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
+        bits = np.array([r[4] for r in rows], dtype=np.int64).view(np.uint64)
+        flag = np.zeros(len(rows), bool)
+        for i in np.flatnonzero(mine == mine[0]):
+            other = _may_link(i, n, bits, label, _partners(mine, i))
+            if len(other):
+                flag[i] = flag[other] = True
+        named = [pa.array(np.full(flag.sum(), x), pa.int64()) for x in block]
+        return pa.RecordBatch.from_arrays([*named, *(pa.array(x[flag]) for x in (mine, ids, label))], names=["gid", "one", "two", "mine", "set_id", "label"])
+
+    yield from _blocks(batches, solved)
+
+
+def _forest_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (gid, one, two, mine, set_id, label, shingles) sorted by block -> verified links, each of which joins two components."""
+    def solved(_: tuple, rows: list[tuple]) -> pa.RecordBatch:
+        rows.sort(key=lambda r: r[0])
+        mine = np.array([r[0] for r in rows])
+        held = [np.frombuffer(r[3], np.uint64) for r in rows]
+        n = np.array([len(x) for x in held])
+        bits = sketches(np.repeat(np.arange(len(rows)), n), np.concatenate(held), len(rows)).view(np.uint64)
+        group = np.unique([r[2] for r in rows], return_inverse=True)[1]
+        a, b = [], []
+        for i in np.flatnonzero(mine == mine[0]):
+            for j in _may_link(i, n, bits, group, _partners(mine, i)).tolist():
+                if group[i] != group[j] and _linked(held[i], held[j]):
+                    group[group == group[j]] = group[i]
+                    a.append(rows[i][1])
+                    b.append(rows[j][1])
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    yield from _blocks(batches, solved)
+
+
+def _shingle_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set_id, shingles) -> (set_id, n, shingle) per shingle."""
+    for batch in batches:
+        for set_id, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+            x = np.frombuffer(held.as_py(), np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), set_id)), pa.array(np.full(len(x), len(x))), pa.array(x)], names=["set_id", "n", "shingle"])
 
 
 def _held_batches(batches: Iterable[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -339,14 +392,15 @@ def _held_batches(batches: Iterable[pa.RecordBatch], wanted: np.ndarray) -> Iter
                                          names=["set_id", "shingles"])
 
 
+def _linked(x: np.ndarray, y: np.ndarray) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return both * DEN >= NUM * (len(x) + len(y) - both)
+
+
 def _verify_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(a, b, shingles of a, shingles of b) -> the pairs that link."""
     for batch in batches:
-        keep = []
-        for x, y in zip(batch.column(2), batch.column(3), strict=True):
-            x, y = (np.frombuffer(v.as_py(), np.uint64) for v in (x, y))
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            keep.append(both * DEN >= NUM * (len(x) + len(y) - both))
+        keep = [_linked(*(np.frombuffer(v.as_py(), np.uint64) for v in pair)) for pair in zip(batch.column(2), batch.column(3), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
@@ -424,26 +478,56 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     held = (rows.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(lambda it: _held_batches(it, wanted), "set_id long, shingles binary")
             .join(involved.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.first("shingles").alias("shingles")))
     held = written(held, "held")
-    # through one centre per list
-    centre = members.groupBy("gid").agg(F.min("set_id").alias("a"))
-    star = members.join(centre, "gid").where("set_id <> a").select("a", F.col("set_id").alias("b")).distinct()
     side = lambda x: involved.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     differ = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
     sizes = f"n_a * {DEN} >= n_b * {NUM} and n_b * {DEN} >= n_a * {NUM}"
-    near = star.join(side("a"), "a").join(side("b"), "b").where(sizes)
-    near = near.where(differ <= F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / (DEN + NUM)))
-    links = _verified(near, held)
-    labels = components(links)
+
+    def compared(pairs: DataFrame) -> DataFrame:
+        near = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(sizes)
+        return _verified(near.where(differ <= F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / (DEN + NUM))), held)
+
+    def apart(lists: DataFrame, links: DataFrame) -> DataFrame:
+        """Members of lists that span several components: (gid, set_id, label, n, sketch, blocks)."""
+        labels = components(links).withColumnRenamed("node", "set_id")
+        known = lists.join(involved, "set_id").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
+        wide = known.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
+        blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int")
+        return written(known.join(wide.where("low <> high").select("gid", blocks.alias("blocks")), "gid").drop("doc_id"), "apart")
+
+    def forest(rows: DataFrame) -> DataFrame:
+        """Links inside the lists, each solved in a task (in blocks against blocks where it has several)."""
+        mine = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long")
+        rows = rows.withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        rows = rows.select("gid", F.least("mine", "with").alias("one"), F.greatest("mine", "with").alias("two"), "mine", "set_id", "n", "label", "sketch")
+        at = ["gid", "one", "two"]
+        flagged = written(rows.repartition(*at).sortWithinPartitions(*at).mapInArrow(_flag_batches, "gid long, one long, two long, mine long, set_id long, label long"), "flagged")
+        return (flagged.join(held, "set_id").select(*at, "mine", "set_id", "label", "shingles").repartition(*at).sortWithinPartitions(*at)
+                .mapInArrow(_forest_batches, "a long, b long"))
+
+    # through one centre per list
+    centre = members.groupBy("gid").agg(F.min("set_id").alias("a"))
+    links = compared(members.join(centre, "gid").where("set_id <> a").select("a", F.col("set_id").alias("b")))
     # members of a list that are still apart
-    known = members.join(involved, "set_id").join(labels.withColumnRenamed("node", "set_id"), "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-    apart = (known.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"))
-             .where("low <> high").select("gid", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks")))
-    mine = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("int")
-    blocks = (known.join(apart, "gid").withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-              .select("gid", F.least("mine", "with").alias("one"), F.greatest("mine", "with").alias("two"), "mine", "set_id", "n", "label", "sketch"))
-    more = (blocks.repartition("gid", "one", "two").sortWithinPartitions("gid", "one", "two")
-            .mapInArrow(_cross_batches, "a long, b long").distinct())
-    links = links.union(_verified(more, held))
+    rows = apart(members, links)
+    links = written(links.union(forest(rows.where("blocks = 1"))), "links")
+    large = rows.where("blocks > 1").select("gid", "set_id")
+    for star in range(STARS):
+        if large.isEmpty():
+            break
+        rows = apart(large, links)
+        centre = rows.groupBy("gid").agg(F.min_by(F.struct("set_id", "label"), F.xxhash64("set_id", "gid", F.lit(star))).alias("c"))
+        pairs = rows.join(centre, "gid").where("label <> c.label").select(F.least("set_id", "c.set_id").alias("a"), F.greatest("set_id", "c.set_id").alias("b"))
+        links = written(links.union(compared(pairs)), "links")
+        large = rows.select("gid", "set_id")
+    else:
+        rows = apart(large, links)
+        alone = rows.select("set_id").distinct()
+        shingles = written(held.join(alone, "set_id", "left_semi").select("set_id", "shingles").mapInArrow(_shingle_rows, "set_id long, n long, shingle long"), "shingles")
+        ranked = join_small_or_hot(shingles, shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("held_by")), "shingle", "held_by")
+        order = F.row_number().over(Window.partitionBy("set_id").orderBy("held_by", "shingle"))
+        needed = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
+        rare = written(ranked.withColumn("at", order).where((F.col("at") <= needed) & (F.col("held_by") > 1)).select(F.col("shingle").alias("gid"), "set_id"), "rare")
+        links = links.union(forest(apart(rare, links)))
     labels = components(links).withColumnRenamed("node", "set_id")
     per_set = sets.groupBy("set_id").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows"))
     named = per_set.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))

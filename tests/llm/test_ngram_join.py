@@ -146,3 +146,45 @@ def test_near_dedup_drops_the_one_null_id(spark):
     text = frames.words(100, 1)
     df = spark.createDataFrame([(3, text, None, None, None), (None, text + " tail", None, None, None), (2, text + " end", None, None, None)], frames.SCHEMA)
     assert [r["doc_id"] for r in N.near_dedup(df).collect()] == [2]
+
+
+def template_rows():
+    """Texts that share 60 to 79 % of their shingles through a template, a few of them near copies of each other, and one group of near copies of a base."""
+    r, rows = random.Random(5), []
+    template = frames.words(120, 900)
+    for i in range(50):
+        own = frames.words(r.choice([34, 50, 70]), 1000 + i // 3 if i % 4 == 0 else 2000 + i).split()
+        own[r.randrange(len(own))] = f"mark{i}"
+        rows.append((len(rows), template + " " + " ".join(own), None, None, None))
+    base = frames.words(200, 901).split()
+    for i in range(50):
+        w = list(base)
+        for _ in range(r.randint(1, 3)):
+            w[r.randrange(len(w))] = f"edit{r.randrange(9999)}"
+        rows.append((len(rows), " ".join(w), None, None, None))
+    return rows
+
+
+@pytest.mark.parametrize("block", [4, 16, 1024])
+def test_lists_larger_than_a_block(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "BLOCK", block)
+    rows = template_rows()
+    want = brute(rows)
+    assert 5 < len({r[2] for r in want}) < 90
+    assert run(spark, rows, bucket_bytes=4000) == want
+
+
+def test_links_of_a_list_are_fewer_than_its_members():
+    import pyarrow as pa
+    texts = [r[1].encode() for r in template_rows()[50:]]
+    at, value = N.shingle_sets(texts)
+    ids = np.arange(len(texts))
+    held = [value[at == i].tobytes() for i in ids]
+    one = pa.array(np.zeros(len(ids), np.int64))
+    batch = pa.RecordBatch.from_arrays([one, one, one, one, pa.array(ids), pa.array(ids), pa.array(held, pa.binary())], names=list("abcdefg"))
+    links = [r for b in N._forest_batches([batch]) for r in b.to_pylist()]
+    sets = [shingles(t.decode()) for t in texts]
+    assert 0 < len(links) < len(texts)
+    for x in links:
+        a, b = sets[x["a"]], sets[x["b"]]
+        assert 100 * len(a & b) >= 80 * len(a | b)
