@@ -18,14 +18,16 @@ speed depends on it.
 
 Sets that share a signature are compared in full. Per list of a signature the
 comparisons first go through one centre. Lists with members that are still in
-different components afterwards are solved where they are: members that may
-link by their sketches bring their shingles, a union-find decides which
-comparisons are still needed, and only links that join two components leave
-the task (fewer than members). Lists too large for a task are first compared
-with further random centres and then split by a second signature level: the
-rarest shingles of a set, as many as any linked set must share one of
-(n - ceil(0.8 n) + 1), so a template that many sets share opens no list. Only
-a rare shingle's list that is still too large is compared block against block.
+different components afterwards are looked at again: edges between members
+that may link by their sketches, fewer than members, join them to clusters
+over all lists, so that each set brings its shingles once, to its cluster.
+There a union-find decides which comparisons are still needed, and only links
+that join two components leave the task. Lists and clusters too large for a
+task are compared with further random centres and then split by a second
+signature level: the rarest shingles of a set, as many as any linked set must
+share one of (n - ceil(0.8 n) + 1), so a template that many sets share opens
+no list. Only a rare shingle's list that is still too large is compared block
+against block.
 """
 
 from __future__ import annotations
@@ -37,7 +39,7 @@ from math import comb
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
@@ -344,6 +346,26 @@ def _flag_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
     yield from _blocks(batches, solved)
 
 
+def _edge_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows as for _flag_batches, one block a list -> edges (a, b) that join the members of a list that may link: fewer than members."""
+    def solved(_: tuple, rows: list[tuple]) -> pa.RecordBatch:
+        ids, n, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3))
+        bits = np.array([r[4] for r in rows], dtype=np.int64).view(np.uint64)
+        tree = np.arange(len(rows))
+        a, b = [], []
+        for i in range(len(rows)):
+            other = _may_link(i, n, bits, label, np.arange(i + 1, len(rows)))
+            other = other[tree[other] != tree[i]]
+            if len(other):
+                trees, first = np.unique(tree[other], return_index=True)
+                a += [ids[i]] * len(first)
+                b += ids[other[first]].tolist()
+                tree[np.isin(tree, trees)] = tree[i]
+        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    yield from _blocks(batches, solved)
+
+
 def _forest_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (gid, one, two, mine, set_id, label, shingles) sorted by block -> verified links, each of which joins two components."""
     def solved(_: tuple, rows: list[tuple]) -> pa.RecordBatch:
@@ -486,31 +508,47 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         near = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(sizes)
         return _verified(near.where(differ <= F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / (DEN + NUM))), held)
 
+    def sized(m: Column, shingles: Column) -> Column:
+        return F.greatest(F.ceil(m / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int").alias("blocks")
+
     def apart(lists: DataFrame, links: DataFrame) -> DataFrame:
         """Members of lists that span several components: (gid, set_id, label, n, sketch, blocks)."""
         labels = components(links).withColumnRenamed("node", "set_id")
         known = lists.join(involved, "set_id").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
         wide = known.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
-        blocks = F.greatest(F.ceil(F.col("m") / BLOCK), F.ceil(F.col("all") / BLOCK_SHINGLES)).cast("int")
-        return written(known.join(wide.where("low <> high").select("gid", blocks.alias("blocks")), "gid").drop("doc_id"), "apart")
+        return written(known.join(wide.where("low <> high").select("gid", sized(F.col("m"), F.col("all"))), "gid").drop("doc_id"), "apart")
 
-    def forest(rows: DataFrame) -> DataFrame:
-        """Links inside the lists, each solved in a task (in blocks against blocks where it has several)."""
+    at = ["gid", "one", "two"]
+
+    def dealt(rows: DataFrame) -> DataFrame:
+        """Rows in blocks (and blocks against blocks where a list has several), sorted by block."""
         mine = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long")
         rows = rows.withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rows = rows.select("gid", F.least("mine", "with").alias("one"), F.greatest("mine", "with").alias("two"), "mine", "set_id", "n", "label", "sketch")
-        at = ["gid", "one", "two"]
-        flagged = written(rows.repartition(*at).sortWithinPartitions(*at).mapInArrow(_flag_batches, "gid long, one long, two long, mine long, set_id long, label long"), "flagged")
-        return (flagged.join(held, "set_id").select(*at, "mine", "set_id", "label", "shingles").repartition(*at).sortWithinPartitions(*at)
+        return rows.repartition(*at).sortWithinPartitions(*at)
+
+    def forest(rows: DataFrame) -> DataFrame:
+        """Links inside blocks from rows (gid, one, two, mine, set_id, label)."""
+        return (rows.join(held, "set_id").select(*at, "mine", "set_id", "label", "shingles").repartition(*at).sortWithinPartitions(*at)
                 .mapInArrow(_forest_batches, "a long, b long"))
 
+    def clusters(rows: DataFrame) -> DataFrame:
+        """(gid, set_id, label, blocks): members of lists that may link, by the cluster they form over all lists."""
+        edges = written(dealt(rows).mapInArrow(_edge_batches, "a long, b long").distinct(), "edges")
+        cluster = components(edges).select(F.col("label").alias("gid"), F.col("node").alias("set_id"))
+        cluster = cluster.join(rows.groupBy("set_id").agg(F.first("n").alias("n"), F.first("label").alias("label")), "set_id")
+        size = cluster.groupBy("gid").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all")).select("gid", sized(F.col("m"), F.col("all")))
+        return written(cluster.join(size, "gid"), "clusters")
+
     # through one centre per list
     centre = members.groupBy("gid").agg(F.min("set_id").alias("a"))
     links = compared(members.join(centre, "gid").where("set_id <> a").select("a", F.col("set_id").alias("b")))
     # members of a list that are still apart
     rows = apart(members, links)
-    links = written(links.union(forest(rows.where("blocks = 1"))), "links")
-    large = rows.where("blocks > 1").select("gid", "set_id")
+    cluster = clusters(rows.where("blocks = 1"))
+    zero = F.lit(0).cast("long")
+    links = written(links.union(forest(cluster.where("blocks = 1").select("gid", zero.alias("one"), zero.alias("two"), zero.alias("mine"), "set_id", "label"))), "links")
+    large = written(rows.where("blocks > 1").select("gid", "set_id").union(cluster.where("blocks > 1").select("gid", "set_id")), "large")
     for star in range(STARS):
         if large.isEmpty():
             break
@@ -527,7 +565,8 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         order = F.row_number().over(Window.partitionBy("set_id").orderBy("held_by", "shingle"))
         needed = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
         rare = written(ranked.withColumn("at", order).where((F.col("at") <= needed) & (F.col("held_by") > 1)).select(F.col("shingle").alias("gid"), "set_id"), "rare")
-        links = links.union(forest(apart(rare, links)))
+        flagged = dealt(apart(rare, links)).mapInArrow(_flag_batches, "gid long, one long, two long, mine long, set_id long, label long")
+        links = links.union(forest(written(flagged, "flagged")))
     labels = components(links).withColumnRenamed("node", "set_id")
     per_set = sets.groupBy("set_id").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows"))
     named = per_set.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
