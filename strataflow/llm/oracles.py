@@ -64,4 +64,34 @@ ORACLES: dict[str, str] = {
              g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(d.text) AS text_sha256
         FROM d JOIN g ON d.text = g.text""",
+    "op12_minhash_dedup": r"""
+        WITH RECURSIVE w AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                              '[^\x20\x09-\x0D]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN CAST([] AS VARCHAR[]) WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+                                                  ELSE [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)] END) AS shingle FROM w),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        c AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both_ FROM s a JOIN s b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+        l AS (SELECT a, b FROM c JOIN n na ON na.doc_id = a JOIN n nb ON nb.doc_id = b WHERE 100 * both_ >= 80 * (na.n + nb.n - both_)),
+        r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, l.b FROM r JOIN l ON l.a = r.seen)
+        SELECT w.doc_id, coalesce(n.n, 0) AS n_shingles, m.low AS component_id, w.doc_id = m.low AS kept
+        FROM w LEFT JOIN n ON n.doc_id = w.doc_id JOIN (SELECT node, min(seen) AS low FROM r GROUP BY node) m ON m.node = w.doc_id""",
+    "op13_collocations": r"""
+        WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                                                   '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+        w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+        size AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+        g AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS k) ks),
+        f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM g GROUP BY ALL HAVING count(*) >= 100),
+        c AS (SELECT lang, phrase, f AS a, k, string_split(phrase, ' ') AS w FROM f WHERE k >= 2),
+        longer AS (SELECT DISTINCT lang, a, phrase FROM (
+            SELECT lang, a, unnest([array_to_string(w[x:x + m - 1], ' ') for x in range(1, k - m + 2)]) AS phrase FROM c, (SELECT unnest(range(2, 5)) AS m) ms WHERE m < k)),
+        kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM longer o WHERE o.lang = c.lang AND o.phrase = c.phrase AND o.a >= c.a)),
+        cut AS (SELECT lang, phrase, a, unnest(range(1, k)) AS c1, w, k FROM kept),
+        s AS (SELECT cut.lang, cut.phrase, a, c1, x.f AS l, y.f AS r, n, CAST((1000::HUGEINT * a * n) // (x.f::HUGEINT * y.f) AS BIGINT) AS score
+              FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = array_to_string(w[1:c1], ' ')
+                       JOIN f y ON y.lang = cut.lang AND y.phrase = array_to_string(w[c1 + 1:cut.k], ' ') JOIN size ON size.lang = cut.lang),
+        low AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, c1) = 1),
+        t AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM low)
+        SELECT lang, rank, phrase, a, l, r, n, score FROM t WHERE rank <= 2000""",
 }

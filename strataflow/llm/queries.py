@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact_dedup, ngram_join, packing, piece_transducer, quality, secret_scan, sharding, suffix_dedup, topk_search, toxicity
+from . import collocations, exact_dedup, ngram_join, packing, piece_transducer, quality, secret_scan, sharding, suffix_dedup, topk_search, toxicity
 from .tables import read_table
 
 
@@ -72,6 +72,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(read_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_sharding": op1_sharding,
     "op2_topk_search": op2_topk_search,
@@ -83,4 +87,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op13_collocations": op13_collocations,
 }
