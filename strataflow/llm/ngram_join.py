@@ -16,38 +16,27 @@ can drop its t - 1 last ones in any order that both use. The order puts
 signatures of common shingles (by a bounded sample) and small ones last. Only
 speed depends on it.
 
-Sets that share a signature are compared in full. Per list of a signature the
-comparisons first go through one centre. Lists with members that are still in
-different components afterwards are looked at again: edges between members
-that may link by their sketches, fewer than members, join them to clusters
-over all lists, so that each set brings its shingles once, to its cluster.
-There a union-find decides which comparisons are still needed, and only links
-that join two components leave the task. Lists and clusters too large for a
-task are compared with further random centres and then split by a second
-signature level: the rarest shingles of a set, as many as any linked set must
-share one of (n - ceil(0.8 n) + 1), so a template that many sets share opens
-no list. Only a rare shingle's list that is still too large is compared block
-against block.
+Sets that share a signature are compared in full, by ``set_links``.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 from itertools import combinations
 from math import comb
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from .set_links import BLOCK, DEN, NUM, Prune, links_of_lists
 from .tables import join_small_or_hot, ship_code, written
 
-#: Words in a shingle; similarity NUM / DEN.
+#: Words in a shingle.
 WORDS = 5
-NUM, DEN = 80, 100
 #: Second-level parts, and how many of them a signature leaves out.
 N2, K2 = 2, 1
 #: First-level parts are this many times the least number that works, so that signatures can be left out.
@@ -56,17 +45,14 @@ SPARE = 1.5
 BAND = 2.4414
 #: Bytes of text that a map task works on at a time, and whose signatures one bucket holds on average.
 CHUNK, BUCKET_BYTES = 1 << 20, 16 << 20
+#: Links that a task contracts at a time.
+LINK_BLOCK = 1 << 20
 #: Numbers of 64 bits in a sketch.
 SKETCH = 32
 #: Sets sampled to find common shingles, how many must hold one, and the bits of the table of them.
 SAMPLE_SETS, SAMPLE_COMMON, TABLE_BITS = 4096, 3, 22
 #: Bits of the filter by which texts are looked up again.
 FILTER_BITS = 23
-#: Members of a list, and shingles that they hold, which one task compares with each other; larger lists are split.
-BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
-#: Rounds through a random centre for lists that are larger.
-STARS = 3
-
 _U = np.uint64
 _P, _Q = 0x9E3779B97F4A7C15, 0xD1B54A32D192ED03
 _BYTE = np.random.default_rng(7).integers(0, 1 << 63, 256, dtype=np.int64).view(np.uint64) * _U(2) + _U(1)
@@ -301,98 +287,16 @@ def _group_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch
         yield solved(blobs)
 
 
-def _may_link(i: int, n: np.ndarray, bits: np.ndarray, group: np.ndarray, other: np.ndarray) -> np.ndarray:
-    """Those of ``other`` in another group than i whose sizes and sketches leave a link possible."""
-    other = other[(group[other] != group[i]) & (n[other] * DEN >= n[i] * NUM) & (n[i] * DEN >= n[other] * NUM)]
-    if len(other):
-        differ = np.bitwise_count(bits[other] ^ bits[i]).sum(axis=1)
-        other = other[differ <= largest_difference(n[other], n[i])]
-    return other
-
+def sketches_of(held: list[np.ndarray]) -> np.ndarray:
+    return sketches(np.repeat(np.arange(len(held)), [len(x) for x in held]), np.concatenate(held), len(held))
 
-def _partners(mine: np.ndarray, i: int) -> np.ndarray:
-    """Members that i is compared with: later ones in a block, those of the second block across two."""
-    return np.arange(i + 1, len(mine)) if mine[0] == mine[-1] else np.flatnonzero(mine != mine[0])
 
-
-def _blocks(batches: Iterable[pa.RecordBatch], solved: Callable[[tuple, list[tuple]], pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``solved`` of each run of rows with equal (gid, one, two)."""
-    now, rows = None, []
-    for batch in batches:
-        for r in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if r[:3] != now and rows:
-                yield solved(now, rows)
-                rows = []
-            now = r[:3]
-            rows.append(r[3:])
-    if rows:
-        yield solved(now, rows)
-
-
-def _flag_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gid, one, two, mine, set_id, n, label, sketch) sorted by block -> the members that may link with one of another component."""
-    def solved(block: tuple, rows: list[tuple]) -> pa.RecordBatch:
-        rows.sort(key=lambda r: r[0])
-        mine, ids, n, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
-        bits = np.array([r[4] for r in rows], dtype=np.int64).view(np.uint64)
-        flag = np.zeros(len(rows), bool)
-        for i in np.flatnonzero(mine == mine[0]):
-            other = _may_link(i, n, bits, label, _partners(mine, i))
-            if len(other):
-                flag[i] = flag[other] = True
-        named = [pa.array(np.full(flag.sum(), x), pa.int64()) for x in block]
-        return pa.RecordBatch.from_arrays([*named, *(pa.array(x[flag]) for x in (mine, ids, label))], names=["gid", "one", "two", "mine", "set_id", "label"])
-
-    yield from _blocks(batches, solved)
-
-
-def _edge_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows as for _flag_batches, one block a list -> edges (a, b) that join the members of a list that may link: fewer than members."""
-    def solved(_: tuple, rows: list[tuple]) -> pa.RecordBatch:
-        ids, n, label = (np.array([r[i] for r in rows], dtype=np.int64) for i in (1, 2, 3))
-        bits = np.array([r[4] for r in rows], dtype=np.int64).view(np.uint64)
-        tree = np.arange(len(rows))
-        a, b = [], []
-        for i in range(len(rows)):
-            other = _may_link(i, n, bits, label, np.arange(i + 1, len(rows)))
-            other = other[tree[other] != tree[i]]
-            if len(other):
-                trees, first = np.unique(tree[other], return_index=True)
-                a += [ids[i]] * len(first)
-                b += ids[other[first]].tolist()
-                tree[np.isin(tree, trees)] = tree[i]
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    yield from _blocks(batches, solved)
-
-
-def _forest_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (gid, one, two, mine, set_id, label, shingles) sorted by block -> verified links, each of which joins two components."""
-    def solved(_: tuple, rows: list[tuple]) -> pa.RecordBatch:
-        rows.sort(key=lambda r: r[0])
-        mine = np.array([r[0] for r in rows])
-        held = [np.frombuffer(r[3], np.uint64) for r in rows]
-        n = np.array([len(x) for x in held])
-        bits = sketches(np.repeat(np.arange(len(rows)), n), np.concatenate(held), len(rows)).view(np.uint64)
-        group = np.unique([r[2] for r in rows], return_inverse=True)[1]
-        a, b = [], []
-        for i in np.flatnonzero(mine == mine[0]):
-            for j in _may_link(i, n, bits, group, _partners(mine, i)).tolist():
-                if group[i] != group[j] and _linked(held[i], held[j]):
-                    group[group == group[j]] = group[i]
-                    a.append(rows[i][1])
-                    b.append(rows[j][1])
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    yield from _blocks(batches, solved)
-
-
-def _shingle_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set_id, shingles) -> (set_id, n, shingle) per shingle."""
-    for batch in batches:
-        for set_id, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            x = np.frombuffer(held.as_py(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), set_id)), pa.array(np.full(len(x), len(x))), pa.array(x)], names=["set_id", "n", "shingle"])
+def may_link(i: int, n: np.ndarray, sketch: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """Those of ``other`` whose sketches leave a link with i possible."""
+    if not len(other):
+        return other
+    differ = np.bitwise_count((sketch[other] ^ sketch[i]).view(np.uint64)).sum(axis=1)
+    return other[differ <= largest_difference(n[other], n[i])]
 
 
 def _held_batches(batches: Iterable[pa.RecordBatch], wanted: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -414,20 +318,40 @@ def _held_batches(batches: Iterable[pa.RecordBatch], wanted: np.ndarray) -> Iter
                                          names=["set_id", "shingles"])
 
 
-def _linked(x: np.ndarray, y: np.ndarray) -> bool:
-    both = len(np.intersect1d(x, y, assume_unique=True))
-    return both * DEN >= NUM * (len(x) + len(y) - both)
-
-
-def _verify_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(a, b, shingles of a, shingles of b) -> the pairs that link."""
-    for batch in batches:
-        keep = [_linked(*(np.frombuffer(v.as_py(), np.uint64) for v in pair)) for pair in zip(batch.column(2), batch.column(3), strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+def _contracted_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """All links (a, b) of a partition -> (node, label): the smallest node that it reaches inside the partition."""
+    pairs = [np.column_stack([c.to_numpy() for c in b.columns[:2]]) for b in batches if b.num_rows]
+    if not pairs:
+        return
+    pairs = np.concatenate(pairs)
+    nodes, at = np.unique(pairs, return_inverse=True)
+    x, y = at.reshape(pairs.shape).T
+    label = np.arange(len(nodes))
+    while True:
+        low, after = np.minimum(label[x], label[y]), label.copy()
+        np.minimum.at(after, label[x], low)
+        np.minimum.at(after, label[y], low)
+        after = after[after]
+        if (after == label).all():
+            break
+        label = after
+    for i in range(0, len(nodes), 100_000):
+        yield pa.RecordBatch.from_arrays([pa.array(nodes[i:i + 100_000]), pa.array(nodes[label[i:i + 100_000]])], names=["node", "label"])
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, label) for links (a, b): label is the smallest node reachable. Label propagation with pointer jumping, written every round."""
+    """(node, label) for links (a, b): label is the smallest node reachable.
+
+    Blocks of about LINK_BLOCK links are contracted to stars, each in its
+    task; what several blocks leave goes on by label propagation with pointer
+    jumping, written every round.
+    """
+    links = links.select("a", "b")
+    blocks = -(-links.count() // LINK_BLOCK)
+    stars = links.repartition(max(1, blocks)).mapInArrow(_contracted_batches, "node long, label long")
+    if blocks <= 1:
+        return written(stars, "labels")
+    links = stars.where("node <> label").select(F.col("node").alias("a"), F.col("label").alias("b"))
     both = written(links.select("a", "b").union(links.select("b", "a")).distinct(), "links")
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.first("a")).alias("label")), "labels")
     while True:
@@ -465,12 +389,6 @@ def _bitmap(keys: DataFrame) -> np.ndarray:
     return out
 
 
-def _verified(pairs: DataFrame, held: DataFrame) -> DataFrame:
-    one, two = (held.select(F.col("set_id").alias(x), F.col("shingles").alias(f"of_{x}")) for x in "ab")
-    joined = pairs.select("a", "b").join(one, "a").join(two, "b").select("a", "b", "of_a", "of_b")
-    return written(joined.mapInArrow(_verify_batches, "a long, b long"), "links")
-
-
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """One row per input row: doc_id, n_shingles, component_id (smallest id reachable by links).
 
@@ -500,73 +418,9 @@ def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     held = (rows.select(F.xxhash64("doc_id").alias("h"), "text").mapInArrow(lambda it: _held_batches(it, wanted), "set_id long, shingles binary")
             .join(involved.select("set_id"), "set_id", "left_semi").groupBy("set_id").agg(F.first("shingles").alias("shingles")))
     held = written(held, "held")
-    side = lambda x: involved.select(F.col("set_id").alias(x), F.col("n").alias(f"n_{x}"), F.col("sketch").alias(f"s_{x}"))
     differ = F.aggregate(F.zip_with("s_a", "s_b", lambda x, y: F.bit_count(x.bitwiseXOR(y)).cast("long")), F.lit(0).cast("long"), lambda x, y: x + y)
-    sizes = f"n_a * {DEN} >= n_b * {NUM} and n_b * {DEN} >= n_a * {NUM}"
-
-    def compared(pairs: DataFrame) -> DataFrame:
-        near = pairs.distinct().join(side("a"), "a").join(side("b"), "b").where(sizes)
-        return _verified(near.where(differ <= F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / (DEN + NUM))), held)
-
-    def sized(m: Column, shingles: Column) -> Column:
-        return F.greatest(F.ceil(m / BLOCK), F.ceil(shingles / BLOCK_SHINGLES)).cast("int").alias("blocks")
-
-    def apart(lists: DataFrame, links: DataFrame) -> DataFrame:
-        """Members of lists that span several components: (gid, set_id, label, n, sketch, blocks)."""
-        labels = components(links).withColumnRenamed("node", "set_id")
-        known = lists.join(involved, "set_id").join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))
-        wide = known.groupBy("gid").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("m"), F.sum("n").alias("all"))
-        return written(known.join(wide.where("low <> high").select("gid", sized(F.col("m"), F.col("all"))), "gid").drop("doc_id"), "apart")
-
-    at = ["gid", "one", "two"]
-
-    def dealt(rows: DataFrame) -> DataFrame:
-        """Rows in blocks (and blocks against blocks where a list has several), sorted by block."""
-        mine = F.pmod(F.xxhash64("set_id"), F.col("blocks")).cast("long")
-        rows = rows.withColumn("mine", mine).withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        rows = rows.select("gid", F.least("mine", "with").alias("one"), F.greatest("mine", "with").alias("two"), "mine", "set_id", "n", "label", "sketch")
-        return rows.repartition(*at).sortWithinPartitions(*at)
-
-    def forest(rows: DataFrame) -> DataFrame:
-        """Links inside blocks from rows (gid, one, two, mine, set_id, label)."""
-        return (rows.join(held, "set_id").select(*at, "mine", "set_id", "label", "shingles").repartition(*at).sortWithinPartitions(*at)
-                .mapInArrow(_forest_batches, "a long, b long"))
-
-    def clusters(rows: DataFrame) -> DataFrame:
-        """(gid, set_id, label, blocks): members of lists that may link, by the cluster they form over all lists."""
-        edges = written(dealt(rows).mapInArrow(_edge_batches, "a long, b long").distinct(), "edges")
-        cluster = components(edges).select(F.col("label").alias("gid"), F.col("node").alias("set_id"))
-        cluster = cluster.join(rows.groupBy("set_id").agg(F.first("n").alias("n"), F.first("label").alias("label")), "set_id")
-        size = cluster.groupBy("gid").agg(F.count(F.lit(1)).alias("m"), F.sum("n").alias("all")).select("gid", sized(F.col("m"), F.col("all")))
-        return written(cluster.join(size, "gid"), "clusters")
-
-    # through one centre per list
-    centre = members.groupBy("gid").agg(F.min("set_id").alias("a"))
-    links = compared(members.join(centre, "gid").where("set_id <> a").select("a", F.col("set_id").alias("b")))
-    # members of a list that are still apart
-    rows = apart(members, links)
-    cluster = clusters(rows.where("blocks = 1"))
-    zero = F.lit(0).cast("long")
-    links = written(links.union(forest(cluster.where("blocks = 1").select("gid", zero.alias("one"), zero.alias("two"), zero.alias("mine"), "set_id", "label"))), "links")
-    large = written(rows.where("blocks > 1").select("gid", "set_id").union(cluster.where("blocks > 1").select("gid", "set_id")), "large")
-    for star in range(STARS):
-        if large.isEmpty():
-            break
-        rows = apart(large, links)
-        centre = rows.groupBy("gid").agg(F.min_by(F.struct("set_id", "label"), F.xxhash64("set_id", "gid", F.lit(star))).alias("c"))
-        pairs = rows.join(centre, "gid").where("label <> c.label").select(F.least("set_id", "c.set_id").alias("a"), F.greatest("set_id", "c.set_id").alias("b"))
-        links = written(links.union(compared(pairs)), "links")
-        large = rows.select("gid", "set_id")
-    else:
-        rows = apart(large, links)
-        alone = rows.select("set_id").distinct()
-        shingles = written(held.join(alone, "set_id", "left_semi").select("set_id", "shingles").mapInArrow(_shingle_rows, "set_id long, n long, shingle long"), "shingles")
-        ranked = join_small_or_hot(shingles, shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("held_by")), "shingle", "held_by")
-        order = F.row_number().over(Window.partitionBy("set_id").orderBy("held_by", "shingle"))
-        needed = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
-        rare = written(ranked.withColumn("at", order).where((F.col("at") <= needed) & (F.col("held_by") > 1)).select(F.col("shingle").alias("gid"), "set_id"), "rare")
-        flagged = dealt(apart(rare, links)).mapInArrow(_flag_batches, "gid long, one long, two long, mine long, set_id long, label long")
-        links = links.union(forest(written(flagged, "flagged")))
+    prune = Prune(differ <= F.floor((F.col("n_a") + F.col("n_b")) * (DEN - NUM) / (DEN + NUM)), may_link)
+    links = links_of_lists(members, involved.drop("doc_id"), held, prune, sketches_of, components, BLOCK)
     labels = components(links).withColumnRenamed("node", "set_id")
     per_set = sets.groupBy("set_id").agg(F.min("doc_id").alias("low"), F.count(F.lit(1)).alias("rows"))
     named = per_set.join(labels, "set_id", "left").withColumn("label", F.coalesce("label", "set_id"))

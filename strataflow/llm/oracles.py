@@ -64,6 +64,27 @@ ORACLES: dict[str, str] = {
              g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM d GROUP BY text)
         SELECT doc_id, keep_id, group_size, doc_id IS NOT DISTINCT FROM keep_id AS kept, sha256(d.text) AS text_sha256
         FROM d JOIN g ON d.text = g.text""",
+    "op11_vector_codes": """
+        WITH v AS (SELECT vec_id, label, [CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT) for x in embedding] AS e FROM embeddings
+                   WHERE embedding IS NOT NULL AND len([1 for x in embedding if x IS NULL OR NOT isfinite(x)]) = 0),
+        p AS (SELECT vec_id, part, e[4 * part + 1] AS a, e[4 * part + 2] AS b, e[4 * part + 3] AS c, e[4 * part + 4] AS d FROM v, (SELECT unnest(range(0, 16)) AS part) ps),
+        c0 AS (SELECT part, row_number() OVER (PARTITION BY part ORDER BY vec_id) - 1 AS entry, a, b, c, d FROM p QUALIFY entry < 64),
+        n0 AS (SELECT p.vec_id, p.part, min(((p.a - c.a) * (p.a - c.a) + (p.b - c.b) * (p.b - c.b) + (p.c - c.c) * (p.c - c.c) + (p.d - c.d) * (p.d - c.d)) * 64 + entry) AS m
+               FROM p JOIN c0 c ON p.part = c.part GROUP BY p.vec_id, p.part),
+        s0 AS (SELECT p.part, m % 64 AS entry, count(*) AS n, sum(a) AS a, sum(b) AS b, sum(c) AS c, sum(d) AS d FROM p JOIN n0 USING (vec_id, part) GROUP BY ALL),
+        c1 AS (SELECT o.part, o.entry, CASE WHEN n IS NULL THEN o.a ELSE CAST(floor(CAST(s.a AS DOUBLE) / n) AS BIGINT) END AS a, CASE WHEN n IS NULL THEN o.b ELSE CAST(floor(CAST(s.b AS DOUBLE) / n) AS BIGINT) END AS b, CASE WHEN n IS NULL THEN o.c ELSE CAST(floor(CAST(s.c AS DOUBLE) / n) AS BIGINT) END AS c, CASE WHEN n IS NULL THEN o.d ELSE CAST(floor(CAST(s.d AS DOUBLE) / n) AS BIGINT) END AS d
+               FROM c0 o LEFT JOIN s0 s ON s.part = o.part AND s.entry = o.entry),
+        n1 AS (SELECT p.vec_id, p.part, min(((p.a - c.a) * (p.a - c.a) + (p.b - c.b) * (p.b - c.b) + (p.c - c.c) * (p.c - c.c) + (p.d - c.d) * (p.d - c.d)) * 64 + entry) AS m
+               FROM p JOIN c1 c ON p.part = c.part GROUP BY p.vec_id, p.part),
+        s1 AS (SELECT p.part, m % 64 AS entry, count(*) AS n, sum(a) AS a, sum(b) AS b, sum(c) AS c, sum(d) AS d FROM p JOIN n1 USING (vec_id, part) GROUP BY ALL),
+        c2 AS (SELECT o.part, o.entry, CASE WHEN n IS NULL THEN o.a ELSE CAST(floor(CAST(s.a AS DOUBLE) / n) AS BIGINT) END AS a, CASE WHEN n IS NULL THEN o.b ELSE CAST(floor(CAST(s.b AS DOUBLE) / n) AS BIGINT) END AS b, CASE WHEN n IS NULL THEN o.c ELSE CAST(floor(CAST(s.c AS DOUBLE) / n) AS BIGINT) END AS c, CASE WHEN n IS NULL THEN o.d ELSE CAST(floor(CAST(s.d AS DOUBLE) / n) AS BIGINT) END AS d
+               FROM c1 o LEFT JOIN s1 s ON s.part = o.part AND s.entry = o.entry),
+        n2 AS (SELECT p.vec_id, p.part, min(((p.a - c.a) * (p.a - c.a) + (p.b - c.b) * (p.b - c.b) + (p.c - c.c) * (p.c - c.c) + (p.d - c.d) * (p.d - c.d)) * 64 + entry) AS m
+               FROM p JOIN c2 c ON p.part = c.part GROUP BY p.vec_id, p.part),
+        sha AS (SELECT sha256(string_agg(a || ',' || b || ',' || c || ',' || d, ',' ORDER BY part, entry)) AS codebooks_sha256 FROM c2),
+        code AS (SELECT vec_id, string_agg(printf('%02x', m % 64), '' ORDER BY part) AS code, CAST(sum(m // 64) AS BIGINT) AS error FROM n2 GROUP BY vec_id),
+        labelled AS (SELECT vec_id, code, error, label FROM code JOIN v USING (vec_id))
+        SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256 FROM labelled, sha""",
     "op12_minhash_dedup": r"""
         WITH RECURSIVE w AS (
             SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),

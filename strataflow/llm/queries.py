@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import collocations, exact_dedup, ngram_join, packing, piece_transducer, quality, secret_scan, sharding, suffix_dedup, topk_search, toxicity
+from . import anchor_codes, collocations, exact_dedup, minhash_dedup, ngram_join, packing, piece_transducer, quality, secret_scan, sharding, suffix_dedup, topk_search, toxicity
 from .tables import read_table
 
 
@@ -72,6 +72,14 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.dedup_report(read_table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return anchor_codes.compress(read_table(spark, sf_dir, "embeddings"))
+
+
+def op12_minhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.minhash_groups(read_table(spark, sf_dir, "documents"))
+
+
 def op13_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(read_table(spark, sf_dir, "documents"))
 
@@ -87,5 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_packing": op9_packing,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_vector_codes": op11_vector_codes,
+    "op12_minhash_dedup": op12_minhash_dedup,
     "op13_collocations": op13_collocations,
 }

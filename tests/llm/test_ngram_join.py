@@ -7,6 +7,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from strataflow.llm import ngram_join as N
+from strataflow.llm import set_links
 
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -182,9 +183,22 @@ def test_links_of_a_list_are_fewer_than_its_members():
     held = [value[at == i].tobytes() for i in ids]
     one = pa.array(np.zeros(len(ids), np.int64))
     batch = pa.RecordBatch.from_arrays([one, one, one, one, pa.array(ids), pa.array(ids), pa.array(held, pa.binary())], names=list("abcdefg"))
-    links = [r for b in N._forest_batches([batch]) for r in b.to_pylist()]
+    links = [r for b in set_links.forest_batches([batch], N.sketches_of, N.may_link) for r in b.to_pylist()]
     sets = [shingles(t.decode()) for t in texts]
     assert 0 < len(links) < len(texts)
     for x in links:
         a, b = sets[x["a"]], sets[x["b"]]
         assert 100 * len(a & b) >= 80 * len(a | b)
+
+
+@pytest.mark.parametrize("block", [3, 1 << 20])
+def test_components_in_one_and_several_blocks(spark, monkeypatch, block):
+    monkeypatch.setattr(N, "LINK_BLOCK", block)
+    r = random.Random(1)
+    links = [(i, i + 1) for i in range(12)] + [(50, x) for x in range(51, 60)] + [(59, 90), (90, 30), (-4, 70), (70, -8)]
+    links = [p if r.random() < 0.5 else p[::-1] for p in links]
+    group = {x: x for pair in links for x in pair}
+    for a, b in links:
+        low, high = min(group[a], group[b]), max(group[a], group[b])
+        group = {k: low if v == high else v for k, v in group.items()}
+    assert {x["node"]: x["label"] for x in N.components(spark.createDataFrame(links, "a long, b long")).collect()} == group
