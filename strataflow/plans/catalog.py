@@ -503,3 +503,6 @@ def q_kmeans_assign(spark, sf_dir):
     own = F.element_at(d, F.col("prediction") + 1)
     return model.transform(data).select("event_id", (own <= F.array_min(d) * (1 + 1e-9) + 1e-12).alias("is_nearest"),
                                         F.col("prediction").between(0, best - 1).alias("is_cluster"))
+
+
+from . import model_catalog  # noqa: E402,F401  registers its keys

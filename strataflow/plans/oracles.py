@@ -322,3 +322,6 @@ oracle("feature_importance", PREPARED, "SELECT name, true AS in_range, true AS s
 oracle("class_filter", PREPARED, "SELECT event_id, pay_class FROM prepared WHERE pay_class = 'card'")
 oracle("cluster_means", ASSIGNED, f"""SELECT prediction, count(*) AS n,
   {", ".join(f"round(avg({c}::DOUBLE), 6) AS {c}" for c in _CLUS)} FROM assigned GROUP BY prediction""")
+
+
+from . import model_oracles  # noqa: E402,F401  adds its keys
