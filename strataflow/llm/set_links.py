@@ -22,15 +22,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .tables import join_small_or_hot, written
+from .tables import written
 
 #: Sets link when their Jaccard similarity is at least NUM / DEN.
 NUM, DEN = 80, 100
 #: Members of a list, and shingles that they hold, which one task compares with each other; larger lists are split.
 BLOCK, BLOCK_SHINGLES = 1024, 1 << 22
+#: Bits of the table that says how common shingles are.
+CELL_BITS = 22
 
 
 @dataclass(frozen=True)
@@ -140,12 +142,41 @@ def _verify_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
-def _shingle_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(set_id, shingles) -> (set_id, n, shingle) per shingle."""
+def _cells(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - CELL_BITS)).astype(np.int64)
+
+
+def _count_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(set_id, shingles) -> (shingle, n): added up over a batch before they leave the task."""
+    for batch in batches:
+        found, n = np.unique(np.concatenate([np.frombuffer(x.as_py(), np.int64) for x in batch.column(1)] or [np.empty(0, np.int64)]), return_counts=True)
+        yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], names=["shingle", "n"])
+
+
+def _rare_batches(batches: Iterable[pa.RecordBatch], common: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(set_id, shingles) -> (gid, set_id): of the rarest shingles that a linked set must share one of, those that others may hold."""
     for batch in batches:
+        out, who = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
         for set_id, held in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            x = np.frombuffer(held.as_py(), np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(x), set_id)), pa.array(np.full(len(x), len(x))), pa.array(x)], names=["set_id", "n", "shingle"])
+            x = np.frombuffer(held.as_py(), np.uint64)
+            first = x[np.lexsort((x, common[_cells(x)]))[:len(x) + len(x) * NUM // -DEN + 1]]
+            first = first[common[_cells(first)] > 0]
+            out.append(first.view(np.int64))
+            who.append(np.full(len(first), set_id))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(out)), pa.array(np.concatenate(who))], names=["gid", "set_id"])
+
+
+def _commonness(hot: DataFrame) -> np.ndarray:
+    """How common shingles are among the sets: by their leading bits the logarithm of the largest number of sets that hold one; 0: one set.
+
+    A table of 2**CELL_BITS bytes, however many shingles there are. It only
+    orders them: sharing a cell makes a shingle look more common than it is.
+    """
+    counts = hot.select("set_id", "shingles").mapInArrow(_count_batches, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")).where("n > 1")
+    cells = counts.groupBy(F.shiftrightunsigned("shingle", 64 - CELL_BITS).alias("cell")).agg(F.floor(F.log2(F.max("n"))).cast("int").alias("rank")).toPandas()
+    out = np.zeros(1 << CELL_BITS, np.uint8)
+    out[cells["cell"].to_numpy(np.int64)] = cells["rank"].to_numpy(np.uint8)
+    return out
 
 
 def links_of_lists(members: DataFrame, involved: DataFrame, held: DataFrame, prune: Prune, sketch: Callable[[list[np.ndarray]], np.ndarray],
@@ -211,10 +242,8 @@ def links_of_lists(members: DataFrame, involved: DataFrame, held: DataFrame, pru
     large = written(rows.where("blocks > 1").select("set_id").union(cluster.where("blocks > 1").select("set_id")).distinct(), "large")
     if large.isEmpty():
         return written(links, "links")
-    shingles = written(held.join(large, "set_id", "left_semi").select("set_id", "shingles").mapInArrow(_shingle_rows, "set_id long, n long, shingle long"), "shingles")
-    ranked = join_small_or_hot(shingles, shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("held_by")), "shingle", "held_by")
-    order = F.row_number().over(Window.partitionBy("set_id").orderBy("held_by", "shingle"))
-    needed = F.col("n") - F.ceil(F.col("n") * NUM / DEN) + 1
-    rare = written(ranked.withColumn("at", order).where((F.col("at") <= needed) & (F.col("held_by") > 1)).select(F.col("shingle").alias("gid"), "set_id"), "rare")
+    hot = written(held.join(large, "set_id", "left_semi").select("set_id", "shingles"), "hot")
+    common = _commonness(hot)
+    rare = written(hot.mapInArrow(lambda it: _rare_batches(it, common), "gid long, set_id long"), "rare")
     flagged = dealt(apart(rare)).mapInArrow(lambda it: flag_batches(it, among, dtype), "gid long, one long, two long, mine long, set_id long, label long")
     return written(links.union(forest(written(flagged, "flagged"))), "links")
