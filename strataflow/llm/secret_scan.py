@@ -11,7 +11,7 @@ DataFrame functions only.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from itertools import product
 from re import _constants as op
@@ -24,6 +24,10 @@ from .tables import without, written
 
 #: Strings that one stretch of an expression may stand for before it counts as arbitrary.
 MOST_STRINGS = 64
+#: Trigrams of each set of a query that are looked up: those of the rarest letters, which this order gives from common to rare.
+INDEXED, LETTERS = 2, "etaoinshrdlcumwfgypbvkjxqz"
+#: Elements of an array that a fold takes at a time, and levels of such folds; characters of a text that a fold rebuilds at a time.
+FOLD, LEVELS, PIECE = 64, 3, 4096
 #: Candidates are broadcast up to this many (24 bytes each), and joined by a shuffle beyond it.
 BROADCAST_ROWS = 250_000
 
@@ -75,6 +79,12 @@ def _of_strings(strings: set[str]) -> Query:
     return _simplified(frozenset(s[i:i + 3] for i in range(len(s) - 2)) for s in strings)
 
 
+def rarest(query: Query) -> Query:
+    """A query that holds wherever ``query`` does, from the INDEXED rarest trigrams of each of its sets."""
+    rarity = lambda g: (-sum(LETTERS.find(c) if c in LETTERS else len(LETTERS) for c in g), g)
+    return _simplified(frozenset(sorted(s, key=rarity)[:INDEXED]) for s in query)
+
+
 def _and(a: Query, b: Query) -> Query:
     both = _simplified(x | y for x in a for y in b)
     return both if len(both) <= MOST_STRINGS else a
@@ -161,7 +171,7 @@ def postings(keyed: DataFrame, grams: list[str]) -> DataFrame:
 
 def candidates(keyed: DataFrame, rules: Iterable[Rule]) -> DataFrame | None:
     """(key, kinds): documents that satisfy the query of a rule, and the kinds of those rules; None if no rule has a query."""
-    queries = {r.kind: q for r in rules if (q := trigram_query(r.pattern)) != _ALL}
+    queries = {r.kind: rarest(q) for r in rules if (q := trigram_query(r.pattern)) != _ALL}
     grams = sorted({g for q in queries.values() for s in q for g in s})
     if not grams:
         return None
@@ -187,21 +197,52 @@ def candidates(keyed: DataFrame, rules: Iterable[Rule]) -> DataFrame | None:
     return written(per_key.select("key", kinds.alias("kinds")).where(F.size("kinds") > 0), "candidates")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _blocks(values: Column) -> Column:
+    """An array as an array of its blocks of FOLD elements."""
+    some = F.transform(F.sequence(F.lit(0), F.floor((F.size(values) - 1) / FOLD).cast("int")), lambda i: F.slice(values, i * FOLD + 1, FOLD))
+    return F.when(F.size(values) > 0, some).otherwise(F.array().cast("array<array<int>>"))
+
+
+def before(values: Column, both: Callable[[Column, Column], Column], levels: int = LEVELS) -> Column:
+    """For each of the integers ``both`` (sum, greatest) folded over all before it, from 0.
+
+    A fold copies what it has, so it runs over blocks only; the blocks' totals
+    are folded in the same way. The work is in proportion to the array up to
+    FOLD**levels blocks.
+    """
+    def step(acc: Column, x: Column) -> Column:
+        return F.struct(both(acc["at"], x).alias("at"), F.concat(acc["out"], F.array(acc["at"])).alias("out"))
+
+    fold = lambda block: F.aggregate(block, F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")), step)
+    if levels == 0:
+        return fold(values)["out"]
+
+    def joined(local: Column) -> Column:
+        start = before(F.transform(local, lambda x: x["at"]), both, levels - 1)
+        return F.flatten(F.zip_with(local, start, lambda x, o: F.transform(x["out"], lambda v: both(o, v))))
+
+    return _let(values, lambda v: _let(F.transform(_blocks(v), fold), joined))
+
+
 def match_spans(text: Column, rule: Rule, order: int) -> Column:
     """Leftmost non-overlapping matches as (start, order, end), in characters; the text between matches gives the places."""
     matches, between = F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(0)), F.split(text, rule.pattern, -1)
     judged = matches if not rule.group else F.regexp_extract_all(text, F.lit(rule.pattern), F.lit(rule.group))
-    steps = F.arrays_zip(F.slice(between, 1, F.size(matches)).alias("gap"), matches.alias("match"), judged.alias("judged"))
+    steps = F.transform(F.arrays_zip(F.slice(between, 1, F.size(matches)).alias("gap"), matches.alias("match"), judged.alias("judged")),
+                        lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["match"]).alias("size"), (F.length(x["judged"]) >= rule.least).alias("ok")))
     empty = F.array().cast("array<struct<start:int,kind:int,end:int>>")
 
-    def step(acc: Column, x: Column) -> Column:
-        start = acc["at"] + F.length(x["gap"])
-        end = start + F.length(x["match"])
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("kind"), end.alias("end")))
-        return F.struct(end.alias("at"), F.when(F.length(x["judged"]) >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
+    def placed(steps: Column) -> Column:
+        at = before(F.transform(steps, lambda x: x["gap"] + x["size"]), lambda a, b: a + b)
+        spans = F.zip_with(steps, at, lambda x, o: F.struct((o + x["gap"]).alias("start"), F.lit(order).alias("kind"), (o + x["gap"] + x["size"]).alias("end"), x["ok"].alias("ok")))
+        return F.transform(F.filter(spans, lambda x: x["ok"]), lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
 
-    found = F.aggregate(steps, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda acc: acc["out"])
-    return F.when(text.rlike(rule.pattern), found).otherwise(empty)
+    return F.when(text.rlike(rule.pattern), _let(steps, placed)).otherwise(empty)
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE + MORE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -234,14 +275,40 @@ def span_list(spans: Column, rules: tuple[Rule, ...]) -> Column:
 
 
 def redact(scanned: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """The text with every span (overlapping ones joined) replaced by a mark; the spans column goes. Scan by the rules REDACTED for it."""
+    """The text with every span (overlapping ones joined) replaced by a mark; the spans column goes. Scan by the rules REDACTED for it.
+
+    A null text stays null, a text without spans as it is, an empty table
+    empty; rows that repeat are treated alike. A text is rebuilt in pieces of
+    PIECE characters, each from the spans that reach into it, found by way of
+    pieces FOLD times as long: the work grows hardly faster than text and
+    spans.
+    """
     text = F.col(text_col)
 
-    def step(acc: Column, s: Column) -> Column:
-        fresh = s["start"] >= acc["at"]
-        more = F.concat(acc["out"], F.substring(text, acc["at"] + 1, s["start"] - acc["at"]), F.lit(mark))
-        return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), F.when(fresh, more).otherwise(acc["out"]).alias("out"))
+    def piece(chars: Column, base: Column, spans: Column) -> Column:
+        """The piece of the text from ``base`` on, from the spans that reach into it."""
+        stop = base + F.length(chars)
+
+        def step(acc: Column, s: Column) -> Column:
+            kept = F.substring(chars, acc["at"] - base + 1, F.greatest(F.lit(0), F.least(s["start"], stop) - acc["at"]))
+            more = F.concat(acc["out"], kept, F.when(s["fresh"] & (s["start"] >= base), F.lit(mark)).otherwise(F.lit("")))
+            return F.struct(F.greatest(acc["at"], s["end"]).alias("at"), more.alias("out"))
+
+        rest = lambda acc: F.concat(acc["out"], F.substring(chars, acc["at"] - base + 1, F.greatest(F.lit(0), stop - acc["at"])))
+        return F.aggregate(spans, F.struct(base.alias("at"), F.lit("").alias("out")), step, rest)
+
+    def cut(chars: Column, base: Column, spans: Column, sizes: list[int]) -> Column:
+        pieces = F.regexp_extract_all(chars, F.lit(f"(?s).{{1,{sizes[0]}}}"), F.lit(0))
+
+        def one(own: Column, i: Column) -> Column:
+            start = base + i * sizes[0]
+            mine = F.filter(spans, lambda s: (s["start"] < start + sizes[0]) & (s["end"] > start))
+            return _let(mine, lambda m: piece(own, start, m) if len(sizes) == 1 else F.when(F.size(m) > 0, cut(own, start, m, sizes[1:])).otherwise(own))
+
+        return F.array_join(F.transform(pieces, one), "")
 
-    whole = F.aggregate("spans", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step,
-                        lambda acc: F.concat(acc["out"], F.substring(text, acc["at"] + 1, F.length(text))))
+    # a span is fresh if no earlier one reaches to its start
+    reach = before(F.transform("spans", lambda s: s["end"]), lambda a, b: F.greatest(a, b))
+    spans = F.zip_with("spans", reach, lambda s, r: F.struct(s["start"].alias("start"), s["end"].alias("end"), (s["start"] >= r).alias("fresh")))
+    whole = _let(spans, lambda x: cut(text, F.lit(0), x, [PIECE * FOLD, PIECE]))
     return scanned.withColumn(text_col, F.when(F.size("spans") > 0, whole).otherwise(text)).drop("spans")

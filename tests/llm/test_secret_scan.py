@@ -100,3 +100,48 @@ def test_no_key_byte_is_left_after_redaction(spark):
 
 def test_reported_spans_of_a_key_stay_its_header():
     assert S.MORE[0].pattern == "-----BEGIN [A-Z ]{0,20}PRIVATE KEY-----" and S.trigram_query(S.REDACTED[3].pattern) == S.trigram_query(S.MORE[0].pattern)
+
+
+def test_folds_before_each_element(spark):
+    import random
+
+    r = random.Random(2)
+    rows = [(i, [r.randrange(-50, 50) for _ in range(n)]) for i, n in enumerate([0, 1, 2, 63, 64, 65, 4096, 4097, 9000])]
+    df = spark.createDataFrame(rows, "id int, v array<int>").select("id", S.before(F.col("v"), lambda a, b: a + b).alias("s"), S.before(F.col("v"), lambda a, b: F.greatest(a, b)).alias("m"))
+    for got in df.collect():
+        v = rows[got["id"]][1]
+        sums, most = [0], [0]
+        for x in v:
+            sums.append(sums[-1] + x)
+            most.append(max(most[-1], x))
+        assert got["s"] == sums[:-1] and got["m"] == most[:-1]
+
+
+@pytest.mark.parametrize("piece, fold", [(5, 3), (4096, 64)])
+def test_redaction_of_overlapping_spans_in_pieces(spark, monkeypatch, piece, fold):
+    import random
+
+    monkeypatch.setattr(S, "PIECE", piece)
+    monkeypatch.setattr(S, "FOLD", fold)
+    r, rows, want = random.Random(7), [], {}
+    for i in range(60):
+        text = "".join(r.choice("ab日😀\n ") for _ in range(r.choice([1, 4, 5, 6, 15, 16, 30, 200])))
+        spans = sorted({(a, r.randrange(3), min(len(text), a + r.randint(1, 25))) for a in (r.randrange(len(text)) for _ in range(r.randrange(12)))})
+        rows.append((i, text, spans))
+        out, at = "", 0
+        for a, _, b in spans:
+            out += text[at:a] + "<>" if a >= at else ""
+            at = max(at, b)
+        want[i] = out + text[at:]
+    rows.append((60, None, []))
+    df = spark.createDataFrame(rows, "doc_id int, text string, spans array<struct<start:int,kind:int,end:int>>")
+    assert {x["doc_id"]: x["text"] for x in S.redact(df, mark="<>").collect()} == want | {60: None}
+
+
+def test_a_hundred_thousand_matches_in_one_text(spark):
+    text = " ".join(f"token={i:06d}" for i in range(100_000))
+    df = spark.createDataFrame([(1, text)], "doc_id int, text string")
+    scanned = S.scan(df)
+    got = scanned.select(F.size("spans").alias("n"), F.element_at("spans", -1).alias("last")).first()
+    assert got["n"] == 100_000 and (got["last"]["start"], got["last"]["end"]) == (len(text) - 12, len(text))
+    assert S.redact(scanned).first()["text"] == " ".join(["[REDACTED]"] * 100_000)
