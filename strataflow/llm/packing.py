@@ -236,11 +236,13 @@ def pack(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW, w
     runs = placements(plan(counts, window // width, depth))
     where = spark.createDataFrame(runs, "class int, first bigint, end bigint, sequence bigint, place int")
     buckets = max(1, sum(counts.values()) // ROWS_PER_BUCKET)
-    cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "start"), F.lit(buckets)))
+    # rows that agree in all of these are alike, so a task that runs again numbers them alike
+    order = ["doc_id", "start", "doc_tokens", "length", "ids_crc32"]
+    cut = cut.withColumn("bucket", F.pmod(F.xxhash64(*order), F.lit(buckets)))
     sizes = cut.groupBy("class", "bucket").agg(F.count(F.lit(1)).alias("n"))
     before = Window.partitionBy("class").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = sizes.select("class", "bucket", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    number = F.row_number().over(Window.partitionBy("class", "bucket").orderBy("doc_id", "start")) - 1
+    number = F.row_number().over(Window.partitionBy("class", "bucket").orderBy(*order)) - 1
     numbered = (cut.withColumn("row", number).join(bases.hint("shuffle_hash"), ["class", "bucket"])
                 .withColumn("number", F.col("row") + F.col("base")))
     # the plan has a few runs per class, however many pieces there are

@@ -6,7 +6,8 @@ import io
 import os
 import uuid
 import zipfile
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,19 +24,45 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Paths of the tables that operators have written in this process, oldest first.
+_WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, label: str) -> DataFrame:
     """``df`` written once as Parquet under ``spark.checkpoint.dir`` and read back.
 
     A lost executor then re-reads the table instead of recomputing its
     lineage, and a value that is not reproducible (a partition number) stays
-    what it was.
+    what it was. The table stays until the ``scratch`` block around it ends;
+    without one it stays, as a result may read it at any time.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _WRITTEN.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession, keep: Callable[[], Iterable[DataFrame]] = tuple) -> Iterator[None]:
+    """Deletes the tables written inside the block when it ends, but for those that the frames of ``keep`` read."""
+    mine = len(_WRITTEN)
+    try:
+        yield
+    finally:
+        read = {f.rsplit("/", 2)[-2] for df in keep() for f in df.inputFiles()}
+        left = [p for p in _WRITTEN[mine:] if p.rsplit("/", 1)[-1] in read]
+        for path in _WRITTEN[mine:]:
+            if path not in left:
+                deleted(spark, path)
+        _WRITTEN[mine:] = left
+
+
+def deleted(spark: SparkSession, path: str) -> None:
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
 def without(df: DataFrame, names: Iterable[str]) -> DataFrame:
     """``df`` without the columns an operator is about to add (clashing names)."""
     low = {n.lower() for n in names}
