@@ -15,11 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from ..session import checkpointed
 from .joins import join_summary
-from .prefix import exact_quantiles_long, quantiles_from_counts, stack
+from .prefix import exact_quantiles_long, stack
 
 APPROX_ACCURACY = 10_000
+#: Bandwidths from its centre within which a bin adds to a density curve.
+KDE_REACH = 8.5
 
 
 # ---------------------------------------------------------------- quantiles
@@ -124,8 +125,9 @@ def kde(df: DataFrame, cols: str | Sequence[str], grid_points: int = 200, bandwi
     Rows are first counted into bins much narrower than the bandwidth (one
     aggregation for all columns; only non-empty bins exist), each represented
     by the mean of its values. Every bin then contributes its kernel term to
-    every grid point (a generator over a parameter-sized grid, no join) and a
-    final aggregation sums per grid point. As the bins follow the bandwidth
+    the grid points within KDE_REACH bandwidths (a generator, no join; beyond
+    them a term is below 2e-16 of its height) and a final aggregation sums per
+    grid point. As the bins follow the bandwidth
     (Scott's rule by default, sample stddev * n^(-1/5)), the error does not
     grow with the number of rows. Output (x, density), for a list of columns
     with column_name first; each density integrates to 1.
@@ -134,7 +136,7 @@ def kde(df: DataFrame, cols: str | Sequence[str], grid_points: int = 200, bandwi
     stats = df.agg(*[x for i, c in enumerate(names) for x in (
         F.count(F.col(c)).alias(f"n{i}"), F.stddev_samp(F.col(c).cast("double")).alias(f"s{i}"),
         F.min(F.col(c).cast("double")).alias(f"lo{i}"), F.max(F.col(c).cast("double")).alias(f"hi{i}"))]).first()
-    parts = []
+    parts, curves = [], []
     for i, c in enumerate(names):
         n, sd, lo, hi = (stats[f"{k}{i}"] for k in ("n", "s", "lo", "hi"))
         if not n or sd is None or sd == 0 or hi == lo or grid_points < 2:
@@ -145,13 +147,21 @@ def kde(df: DataFrame, cols: str | Sequence[str], grid_points: int = 200, bandwi
             F.lit(c).alias("column_name"), F.floor((x - F.lit(lo)) / F.lit(h / bins_per_bandwidth)).alias("bin"), x.alias("value"),
             F.lit(lo).alias("lo"), F.lit((hi - lo) / (grid_points - 1)).alias("step"), F.lit(h).alias("h"),
             F.lit(n * h * math.sqrt(2.0 * math.pi)).alias("norm")))
+        curves.append((c, float(lo), float((hi - lo) / (grid_points - 1)), h, float(n * h * math.sqrt(2.0 * math.pi))))
     if not parts:
         out = df.sparkSession.createDataFrame([], "column_name string, x double, density double")
         return out.drop("column_name") if isinstance(cols, str) else out
     of = ["column_name", "lo", "step", "h", "norm"]
     bins = (df.select(F.inline(F.array(*parts))).where(F.col("value").isNotNull())
               .groupBy(*of, "bin").agg(F.count(F.lit(1)).alias("c"), F.avg("value").alias("centre")))
-    pts = bins.select(*of, "c", "centre", F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"))
+    # a bin adds to the grid points within KDE_REACH bandwidths; the others still have a row
+    at = lambda side: (F.col("centre") - F.col("lo") + F.lit(side * KDE_REACH) * F.col("h")) / F.col("step")
+    near = F.filter(F.sequence(F.greatest(F.ceil(at(-1)), F.lit(0)).cast("int"), F.greatest(F.least(F.floor(at(1)), F.lit(grid_points - 1)), F.lit(0)).cast("int")),
+                    lambda i: i.between(F.ceil(at(-1)), F.floor(at(1))))
+    pts = bins.select(*of, "c", "centre", F.explode(near).alias("i"))
+    grid = df.sparkSession.createDataFrame(curves, "column_name string, lo double, step double, h double, norm double")
+    grid = grid.select(*of, F.lit(0).cast("long").alias("c"), F.col("lo").alias("centre"), F.explode(F.sequence(F.lit(0), F.lit(grid_points - 1))).alias("i"))
+    pts = pts.unionByName(grid)
     z = (F.col("lo") + F.col("i") * F.col("step") - F.col("centre")) / F.col("h")
     out = (pts.groupBy(*of, "i").agg(F.sum(F.col("c") * F.exp(F.lit(-0.5) * z * z)).alias("_s"))
               .select("column_name", (F.col("lo") + F.col("i") * F.col("step")).alias("x"), (F.col("_s") / F.col("norm")).alias("density"))
@@ -226,31 +236,24 @@ def box_stats(df: DataFrame, by: str, cols: Sequence[str], clip_q: float | None
     below), then per group: quartiles (linear), 1.5·IQR fences, whiskers at
     the last data point inside the fences, and the count outside them.
 
-    Exact mode reads the input ONCE: it builds the checkpointed table of
-    distinct (group, column, value) with multiplicities, and the cut points,
-    quartiles, fences, whiskers and outlier counts all come from that table
-    (bounded by the number of distinct values, not rows). No group is
+    Cut points and quartiles come from sketches that bracket their ranks (two
+    scans each in exact mode, one otherwise), then one aggregation counts and
+    finds whiskers. No table of distinct values is written, no group is
     gathered anywhere; the fences join back through a size-checked summary
     join.
     """
     long = stack(df, cols, keep=[by])
-    if not exact:
-        return _box_stats_approx(df, long, by, cols, clip_q, whisker)
-    counts = checkpointed(long.filter(F.col("value").isNotNull())
-                          .groupBy(by, "column_name", "value").agg(F.count(F.lit(1)).alias("_c")))
     if clip_q is not None:
-        per_col = counts.groupBy("column_name", "value").agg(F.sum("_c").alias("_c"))
-        cut = {r["column_name"]: r["value"] for r in
-               quantiles_from_counts(per_col, [clip_q], ["column_name"]).collect()}
-        counts = counts.filter(F.col("value") < F.element_at(
-            F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut.get(c)).cast("double"))]),
-            F.col("column_name")))
-    qs = quantiles_from_counts(counts, (0.25, 0.5, 0.75), [by, "column_name"])
-    j = join_summary(counts, _fences(qs, by, whisker), [by, "column_name"])
+        cut = quantile_values(df, cols, clip_q, exact)
+        bounds = F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut.get(c)).cast("double"))])
+        long = long.filter(F.col("value") < F.element_at(bounds, F.col("column_name")))
+    long = long.filter(F.col("value").isNotNull())
+    qs = long_quantiles(long, (0.25, 0.5, 0.75), [by, "column_name"], exact)
+    j = join_summary(long, _fences(qs, by, whisker), [by, "column_name"])
     inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
     return j.groupBy(by, "column_name", "q1", "median", "q3").agg(
-        F.sum("_c").alias("n"), *_whiskers(inside),
-        F.sum(F.when(inside, 0).otherwise(F.col("_c"))).cast("long").alias("n_outliers"))
+        F.count(F.lit(1)).alias("n"), *_whiskers(inside),
+        F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))
 
 
 def _whiskers(inside: Column) -> list[Column]:
@@ -266,19 +269,3 @@ def _fences(qs: DataFrame, by: str, whisker: float) -> DataFrame:
     return quart.select(by, "column_name", "q1", "median", "q3",
                         (F.col("q1") - F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("lo_fence"),
                         (F.col("q3") + F.lit(whisker) * (F.col("q3") - F.col("q1"))).alias("hi_fence"))
-
-
-def _box_stats_approx(df: DataFrame, long: DataFrame, by: str, cols: Sequence[str],
-                      clip_q: float | None, whisker: float) -> DataFrame:
-    """Sketch-based box statistics: one pass per quantile step."""
-    if clip_q is not None:
-        cut = quantile_values(df, cols, clip_q, exact=False)
-        long = long.filter(F.col("value") < F.element_at(
-            F.create_map(*[x for c in cols for x in (F.lit(c), F.lit(cut.get(c)).cast("double"))]),
-            F.col("column_name")))
-    qs = long_quantiles(long, (0.25, 0.5, 0.75), [by, "column_name"], exact=False)
-    j = join_summary(long, _fences(qs, by, whisker), [by, "column_name"])
-    inside = (F.col("value") >= F.col("lo_fence")) & (F.col("value") <= F.col("hi_fence"))
-    return j.groupBy(by, "column_name", "q1", "median", "q3").agg(
-        F.count(F.lit(1)).alias("n"), *_whiskers(inside),
-        F.sum(F.when(inside, 0).otherwise(1)).cast("long").alias("n_outliers"))

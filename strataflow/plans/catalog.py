@@ -27,7 +27,7 @@ from ..operators import models as MO
 from ..operators import quality as Q
 from ..operators import sampling as SA
 from ..operators import strata as ST
-from ..session import checkpointed, ensure_checkpoint_dir
+from ..session import checkpointed, ensure_checkpoint_dir, materialised
 from ..sources.events import EVENTS_SCHEMA, load_trips
 from ..sources.schema import TRIP_COLUMNS, TRIP_SCHEMA
 from ..sources.trips import read_months, read_reconciled, read_trips
@@ -266,13 +266,14 @@ def q_kde(spark, sf_dir):
 
 @query("density_by_cluster")
 def q_density_by_cluster(spark, sf_dir):
-    clipped = EX.quantile_clip(assigned_trips(spark, sf_dir), ["trip_distance", "fare_amount"], 0.99)
+    # cut, range and counts read the written columns: one scan of the trips
+    clipped = EX.quantile_clip(materialised(assigned_trips(spark, sf_dir).select("trip_distance", "fare_amount", "prediction")), ["trip_distance", "fare_amount"], 0.99)
     return EX.density_grid(clipped, "trip_distance", "fare_amount", by=["prediction"], bins=50)
 
 
 @query("density_grid")
 def q_density_grid(spark, sf_dir):
-    clipped = EX.quantile_clip(prepared_trips(spark, sf_dir), ["trip_distance", "fare_amount"], 0.99)
+    clipped = EX.quantile_clip(materialised(prepared_trips(spark, sf_dir).select("trip_distance", "fare_amount", "pay_class")), ["trip_distance", "fare_amount"], 0.99)
     return EX.density_grid(clipped, "trip_distance", "fare_amount", by=["pay_class"], bins=50)
 
 
@@ -307,7 +308,7 @@ def q_cluster_zscores(spark, sf_dir):
 
 @query("box_stats")
 def q_box_stats(spark, sf_dir):
-    b = EX.box_stats(assigned_trips(spark, sf_dir), "prediction", BOX_COLUMNS, clip_q=0.99)
+    b = EX.box_stats(materialised(assigned_trips(spark, sf_dir).select("prediction", *BOX_COLUMNS)), "prediction", BOX_COLUMNS, clip_q=0.99)
     return b.select("prediction", "column_name", *[F.round(c, 4).alias(c) for c in ("q1", "median", "q3", "whisker_lo", "whisker_hi")],
                     "n", "n_outliers")
 
@@ -409,7 +410,25 @@ def q_roc_curve(spark, sf_dir):
 @query("auc")
 def q_auc(spark, sf_dir):
     df, pos = fixed_scores(spark, sf_dir)
-    return ME.auc_from_roc(ME.roc_curve(df, "score", "label", pos)).select(F.round("auc", 10).alias("auc"))
+    return ME.roc_area(df, "score", "label", pos).select(F.round("auc", 10).alias("auc"))
+
+
+ROC_POINTS = 25
+
+
+@query("roc_points")
+def q_roc_points(spark, sf_dir):
+    """A ROC curve of bounded size over a score that differs from row to row."""
+    df, pos = fixed_scores(spark, sf_dir)
+    p = ME.roc_points(df.withColumn("fine", uniform("event_id", "score:42")), "fine", "label", pos, ROC_POINTS)
+    return p.select(F.round("threshold", 9).alias("threshold"), "tp", "fp", F.round("tpr", 9).alias("tpr"), F.round("fpr", 9).alias("fpr"))
+
+
+@query("auc_fine")
+def q_auc_fine(spark, sf_dir):
+    """The area over a score that differs from row to row."""
+    df, pos = fixed_scores(spark, sf_dir)
+    return ME.roc_area(df.withColumn("fine", uniform("event_id", "score:42")), "fine", "label", pos).select(F.round("auc", 10).alias("auc"))
 
 
 def scaled_assigned(spark, sf_dir):

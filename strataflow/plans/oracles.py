@@ -280,6 +280,20 @@ roc AS (SELECT score, pos, neg,
 oracle("roc_curve", ROC, "SELECT score, pos, neg, tp, fp, tp / P AS tpr, fp / N AS fpr FROM roc")
 oracle("auc", ROC, "SELECT round(sum(neg * (2.0 * tp - pos)) / (2.0 * sum(pos) * sum(neg)), 10) AS auc FROM roc")
 
+_FINE = INDEXED + f""",
+pos AS (SELECT label AS pos FROM li WHERE pay_class = 'card'),
+fine AS (SELECT {_U_SCORE} AS s, CASE WHEN label = pos THEN 1 ELSE 0 END AS hit FROM indexed, pos)"""
+oracle("auc_fine", _FINE + """,
+per AS (SELECT s, CAST(sum(hit) AS BIGINT) AS p, CAST(sum(1 - hit) AS BIGINT) AS n FROM fine GROUP BY s),
+cum AS (SELECT p, n, CAST(sum(p) OVER (ORDER BY s DESC ROWS UNBOUNDED PRECEDING) AS BIGINT) AS tp FROM per)""",
+       "SELECT round(sum(n * (2.0 * tp - p)) / (2.0 * sum(p) * sum(n)), 10) AS auc FROM cum")
+oracle("roc_points", _FINE + """,
+lim AS (SELECT min(s) AS lo, max(s) AS hi FROM fine),
+per AS (SELECT least(CAST(floor((s - lo) / (hi - lo) * 25.0) AS INTEGER), 24) AS bin, sum(hit) AS p, sum(1 - hit) AS n FROM fine, lim GROUP BY ALL)""",
+       """SELECT round(lo + bin * ((hi - lo) / 25), 9) AS threshold, CAST(sum(p) OVER w AS BIGINT) AS tp, CAST(sum(n) OVER w AS BIGINT) AS fp,
+  round(sum(p) OVER w / sum(p) OVER (), 9) AS tpr, round(sum(n) OVER w / sum(n) OVER (), 9) AS fpr
+FROM per, lim WINDOW w AS (ORDER BY bin DESC ROWS UNBOUNDED PRECEDING)""")
+
 CSTATS = SCALED + f""",
 cs AS (SELECT prediction AS cid, count(*) AS n,
   sum({" + ".join(f"{c}_scaled * {c}_scaled" for c in _CLUS)}) AS q,

@@ -34,7 +34,7 @@ from ..operators import models as MO
 from ..operators import quality as Q
 from ..operators import sampling as SA
 from ..operators import strata as ST
-from ..session import checkpointed, get_spark
+from ..session import checkpointed, get_spark, materialised
 from ..sources.trips import month_paths, read_reconciled
 
 
@@ -85,7 +85,9 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     r.scalars["max_abs_err"] = SA.max_deviation(v).first()[0]
 
     # everything from here on describes all prepared rows; M only bounds the rows that fit the forest
-    prep = FE.prepared(d)
+    # written once with the columns that they read: the third and last scan of D
+    used = dict.fromkeys([row_key, "stratum", "pay_class", *C.CATEGORICAL_FEATURES, *C.NUMERIC_FEATURES, *C.EDA_COLUMNS])
+    prep = materialised(FE.prepared(d).select(*used))
     r.scalars["n_prepared"] = prep.count()
     r.tables["describe"] = Q.describe_long(prep, ["trip_distance", "fare_amount", "trip_duration_min",
                                                   "pickup_hour", "passenger_count", "pickup_zone",
@@ -107,9 +109,8 @@ def run_study(trips: DataFrame, n_sample: int = 50_000, seed: int = 42, year: in
     pred = checkpointed(MO.score(model, test).select(row_key, "label", "prediction", "prob_positive", "features"))
     pos = float(MO.positive_index(model))
     m_all = ME.classification_metrics(pred).first().asDict()
-    roc = ME.roc_curve(pred, "prob_positive", "label", pos)
-    r.tables["roc_curve"] = roc
-    r.scalars.update({"auc": ME.auc_from_roc(roc).first()[0], **m_all})
+    r.tables["roc_curve"] = ME.roc_points(pred, "prob_positive", "label", pos)
+    r.scalars.update({"auc": ME.auc(pred, "prob_positive", "label", pos), **m_all})
     r.tables["confusion_matrix"] = ME.confusion_matrix(pred, classes=[float(i) for i in range(len(MO.class_labels(model)))])
     r.tables["feature_importance"] = MO.feature_importance(model, pred)
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -78,6 +79,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def materialised(df: DataFrame) -> DataFrame:
+    """``df`` written once as Parquet in the shared checkpoint folder and read back.
+
+    For a frame that many later steps read a few columns of: they scan those
+    columns of the written table instead of the source.
+    """
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 @contextmanager
 def persisted_cols(df: DataFrame, cols: Sequence[str] | None = None) -> Iterator[DataFrame]:
     """Persist only the needed columns for a block of actions, then release.

@@ -69,3 +69,24 @@ def test_silhouette_matches_mllib(spark):
 def test_silhouette_single_cluster_is_null(spark):
     df = spark.createDataFrame([(1.0, 0), (2.0, 0)], "a double, prediction int")
     assert ME.silhouette(df, ["a"]).first()[0] is None
+
+
+def test_roc_area_and_points_of_any_scores(spark):
+    import math
+    import random
+
+    r = random.Random(4)
+    rows = [(round(r.gauss(0, 1), r.choice([1, 9])), float(r.random() < 0.4)) for _ in range(700)] + [(None, 1.0), (None, 0.0), (math.nan, 1.0), (1e9, 0.0)]
+    df = spark.createDataFrame(rows, "score double, label double")
+    rank = lambda s: (0, 0.0) if s is None else (2, 0.0) if math.isnan(s) else (1, s)
+    pos, neg = [rank(s) for s, y in rows if y], [rank(s) for s, y in rows if not y]
+    want = sum((p > n) + 0.5 * (p == n) for p in pos for n in neg) / (len(pos) * len(neg))
+    for bins in (1, 7, 1 << 14):
+        assert abs(ME.roc_area(df, bins=bins).first()["auc"] - want) < 1e-12
+    points = ME.roc_points(df.where("score < 100"), points=10).collect()
+    assert len(points) <= 11
+    for p in points:
+        held = [y for s, y in rows if s is not None and s < 100 and s >= p["threshold"] - 1e-12]
+        assert (p["tp"], p["fp"]) == (sum(held), len(held) - sum(held))
+    assert ME.roc_area(df.where("label = 1")).first()["auc"] is None and ME.roc_area(df.limit(0)).first()["auc"] is None
+    assert ME.roc_points(df.limit(0)).collect() == []
