@@ -23,6 +23,7 @@ from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 import zstandard
 from pyspark.sql import DataFrame, Window
@@ -74,7 +75,7 @@ class WordIds(dict):
     def __init__(self):
         super().__init__({b"\n": 0})
         self._hashes = np.zeros(1, np.uint64)
-        self._words: np.ndarray | None = None
+        self._words: pa.Array | None = None
 
     def __missing__(self, word: bytes) -> int:
         self[word] = n = len(self)
@@ -86,9 +87,9 @@ class WordIds(dict):
             self._hashes = np.append(self._hashes, np.array([xxhash.xxh3_64_intdigest(w) for w in new], dtype=np.uint64))
         return self._hashes
 
-    def words(self) -> np.ndarray:
+    def words(self) -> pa.Array:
         if self._words is None or len(self._words) < len(self):
-            self._words = np.array(list(self), dtype=object)
+            self._words = pa.array(list(self), pa.binary())
         return self._words
 
 
@@ -192,59 +193,72 @@ class PhraseCounter:
             trie.add(codes, np.diff(np.append(first, len(low))).tolist())
 
     def spill(self) -> None:
-        """Largest subtrees leave until the tries are half empty, if they are full."""
+        """Largest subtrees leave until the tries are half empty, if they are full; those of a language leave as one set of runs."""
         size = sum(sum(t.sizes) for t in self.tries.values())
         if size <= LIMIT:
             return
+        leaving = defaultdict(list)
         for n, lang, slot in sorted(((n, lang, slot) for lang, t in self.tries.items() for slot, n in enumerate(t.sizes)), reverse=True):
             if size <= LIMIT // 2:
                 break
-            self._run(lang, *self.tries[lang].cut(slot))
+            leaving[lang].append(slot)
             size -= n
+        for lang, slots in leaving.items():
+            self._leave(lang, slots)
 
     def flush(self) -> None:
-        for lang, trie in self.tries.items():
-            codes, counts = [], []
-            for slot in range(FAN):
-                more = trie.cut(slot)
-                codes += more[0]
-                counts += more[1]
-            self._run(lang, codes, counts)
+        for lang in self.tries:
+            self._leave(lang, range(FAN))
+
+    def _leave(self, lang: str, slots: Iterable[int]) -> None:
+        codes, counts = [], []
+        for slot in slots:
+            more = self.tries[lang].cut(slot)
+            codes += more[0]
+            counts += more[1]
+        self._run(lang, codes, counts)
 
     def _run(self, lang: str, codes: list[int], counts: list[int]) -> None:
-        """Sorted runs of a subtree, one per prefix partition."""
+        """Sorted runs of what leaves a trie, one per prefix partition."""
         if not codes:
             return
         bits, n = 3 * ID_BITS, np.array(counts, np.int64)
-        low, high = np.array([c & ((1 << bits) - 1) for c in codes], np.int64), np.array([c >> bits for c in codes], np.int64)
-        digit = [(x >> (ID_BITS * i)) & _MASK for x, m in ((low, 3), (high, 2)) for i in range(m)]
-        size = sum((d > 0).astype(np.int64) for d in digit)
-        phrases, words = np.empty(len(codes), dtype=object), self.ids.words()
-        for k in np.unique(size).tolist():
-            at = np.flatnonzero(size == k)
-            phrases[at] = words[digit[0][at]] if k == 1 else list(map(b" ".join, zip(*(words[d[at]] for d in digit[:k]), strict=True)))
+        if self.longest <= 3:
+            low, high = np.array(codes, np.int64), np.zeros(len(codes), np.int64)
+        else:
+            low, high = np.array([c & ((1 << bits) - 1) for c in codes], np.int64), np.array([c >> bits for c in codes], np.int64)
+        digit = [(x >> (ID_BITS * i)) & _MASK for x, m in ((low, 3), (high, 2)) for i in range(m)][:self.longest]
+        words = self.ids.words()
+        column = [words.take(pa.array(d, mask=d == 0)) for d in digit]        # no word: null, left out of the phrase
+        phrases = pc.binary_join_element_wise(*column, pa.scalar(b" ", pa.binary()), null_handling="skip")
         hashes = self.ids.hashes()
-        bucket = ((phrase_hash(lang, [hashes[digit[0]], hashes[digit[1]]]) >> _U(32)) * _U(self.buckets) >> _U(32)).astype(np.int64)
-        order = np.array(sorted(range(len(codes)), key=phrases.tolist().__getitem__))
+        first_two = [hashes[digit[0]], hashes[digit[1]] if len(digit) > 1 else np.zeros(len(n), np.uint64)]
+        bucket = ((phrase_hash(lang, first_two) >> _U(32)) * _U(self.buckets) >> _U(32)).astype(np.int64)
+        order = pc.sort_indices(phrases).to_numpy()
         order = order[np.argsort(bucket[order], kind="stable")]
-        phrases, n, bucket = phrases[order], n[order], bucket[order]
+        phrases, n, bucket = phrases.take(pa.array(order)), n[order], bucket[order]
+        ends = np.frombuffer(phrases.buffers()[1], np.int32, len(n) + 1, 4 * phrases.offset)
+        data = memoryview(phrases.buffers()[2])
         names, first = np.unique(bucket, return_index=True)
         for name, a, b in zip(names.tolist(), first, np.append(first, len(bucket))[1:], strict=True):
-            self.emit(lang, name, self.press(np.int64(b - a).tobytes() + n[a:b].tobytes() + b"\n".join(phrases[a:b].tolist())))
+            # number of phrases, their counts, their lengths, their bytes
+            self.emit(lang, name, self.press(b"".join((np.int64(b - a).tobytes(), n[a:b].tobytes(), np.diff(ends[a:b + 1]).tobytes(), data[ends[a]:ends[b]]))))
 
 
-def merged(runs: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+def merged(runs: list[bytes]) -> tuple[pa.Array, np.ndarray]:
     """(phrases in byte order, counts) of sorted runs."""
     unpress = zstandard.ZstdDecompressor().decompress
     phrases, counts = [], []
     for run in map(unpress, runs):
         n = int(np.frombuffer(run, np.int64, 1)[0])
         counts.append(np.frombuffer(run, np.int64, n, 8))
-        phrases += run[8 * (n + 1):].split(b"\n")
-    order = np.array(sorted(range(len(phrases)), key=phrases.__getitem__))   # merges the sorted runs
-    phrases, counts = np.array(phrases, dtype=object)[order], np.concatenate(counts)[order]
-    first = np.flatnonzero(np.append(True, phrases[1:] != phrases[:-1]))
-    return phrases[first], np.add.reduceat(counts, first)
+        ends = np.append(0, np.cumsum(np.frombuffer(run, np.int32, n, 8 * (n + 1)))).astype(np.int32)
+        phrases.append(pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(ends.tobytes()), pa.py_buffer(run[8 * (n + 1) + 4 * n:])]))
+    held = pa.concat_arrays(phrases)
+    order = pc.sort_indices(held)
+    counts, held = np.concatenate(counts)[order.to_numpy()], held.take(order)
+    first = np.flatnonzero(np.append(True, pc.not_equal(held[1:], held[:-1]).to_numpy(zero_copy_only=False)))
+    return held.take(pa.array(first)), np.add.reduceat(counts, first)
 
 
 # ---- Spark
@@ -282,7 +296,7 @@ def _merge_batches(batches: Iterable[pa.RecordBatch], least: int, totals: bool)
     for (_, lang), group in groupby(rows, key=lambda r: r[:2]):
         phrases, counts = merged([r[2] for r in group])
         keep = counts >= least
-        found, f = [p.decode() for p in phrases[keep]], counts[keep].tolist()
+        found, f = [p.decode() for p in phrases.filter(pa.array(keep)).to_pylist()], counts[keep].tolist()
         if totals:
             found, f = [*found, None], [*f, int(counts.sum())]
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(found), pa.string()), pa.array(found, pa.string()), pa.array(f, pa.int64())], names=["lang", "phrase", "f"])

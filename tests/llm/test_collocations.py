@@ -99,8 +99,8 @@ def test_bursting_spilling_and_new_ids(monkeypatch, limit):
     got = defaultdict(Counter)
     for (lang, _), blobs in runs.items():
         phrases, counts = C.merged(blobs)
-        assert phrases.tolist() == sorted(phrases.tolist())
-        for p, n in zip(phrases, counts, strict=True):
+        assert phrases.to_pylist() == sorted(phrases.to_pylist())
+        for p, n in zip(phrases.to_pylist(), counts, strict=True):
             assert tuple(p.decode().split(" ")) not in got[lang]   # a phrase lies in one partition
             got[lang][tuple(p.decode().split(" "))] += int(n)
     want, _ = plain_counts([("en" if i % 2 else "de", t) for i, t in enumerate(texts)] + [("en" if i % 2 else "de", texts[0]) for i in range(5)])
