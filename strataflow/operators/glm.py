@@ -35,6 +35,8 @@ class Family:
     variance: Callable[[Column], Column]        # of mu
     deviance: Callable[[Column, Column], Column]  # of one row (y, mu)
     one_round: bool = False
+    #: (weight, weight * residual) of (y, eta), where they do not follow from slope and variance
+    working: Callable[[Column, Column], tuple[Column, Column]] | None = None
 
 
 def _xlogx(y: Column, over: Column) -> Column:
@@ -52,6 +54,21 @@ GAMMA = Family("gamma", math.log, F.exp, lambda mu: F.lit(1.0) / mu, lambda mu:
                lambda y, mu: F.lit(2.0) * ((y - mu) / mu - F.log(y / mu)))
 
 
+def _side(y: Column) -> Column:
+    return F.lit(2.0) * y - F.lit(1.0)
+
+
+def _short(y: Column, eta: Column) -> Column:
+    """Whether a row is inside the margin."""
+    return F.when(_side(y) * eta < 1.0, 1.0).otherwise(0.0)
+
+
+#: Support vector classifier: mean squared hinge loss max(0, 1 - s eta)^2 with s = +1 or -1; every round solves for the rows inside the margin.
+HINGE = Family("hinge", lambda m: 0.0, lambda eta: eta, lambda mu: F.lit(1.0), lambda mu: F.lit(1.0),
+               lambda y, mu: _short(y, mu) * (F.lit(1.0) - _side(y) * mu) * (F.lit(1.0) - _side(y) * mu),
+               working=lambda y, eta: (_short(y, eta), _short(y, eta) * (_side(y) - eta)))
+
+
 @dataclass
 class GlmFit:
     """A fitted model: coefficients by term (the intercept first), what each round began with, and sums at the end."""
@@ -91,9 +108,13 @@ def _sums(design: DataFrame, terms: list[str], family: Family, beta: np.ndarray)
     x = [F.lit(1.0), *(F.col(f"x{i}") for i in range(1, d))]
     step = design.withColumn("eta", predictor(terms, beta, lambda t: x[terms.index(t)]))
     step = step.withColumn("mu", family.mean(F.col("eta")))
-    step = step.withColumn("slope", family.slope(F.col("mu")))
-    step = step.withColumn("w", F.lit(1.0) / (F.col("slope") * F.col("slope") * family.variance(F.col("mu"))))
-    step = step.withColumn("r", F.col("w") * (F.col("y") - F.col("mu")) * F.col("slope"))
+    if family.working:
+        w, r = family.working(F.col("y"), F.col("eta"))
+        step = step.withColumn("w", w).withColumn("r", r)
+    else:
+        step = step.withColumn("slope", family.slope(F.col("mu")))
+        step = step.withColumn("w", F.lit(1.0) / (F.col("slope") * F.col("slope") * family.variance(F.col("mu"))))
+        step = step.withColumn("r", F.col("w") * (F.col("y") - F.col("mu")) * F.col("slope"))
     z = F.col("r") + F.col("w") * F.col("eta")
     pairs = [(i, j) for i in range(d) for j in range(i, d)]
     out = step.agg(*[F.sum(F.col("w") * x[i] * x[j]).alias(f"c{i}_{j}") for i, j in pairs], *[F.sum(z * x[i]).alias(f"b{i}") for i in range(d)],

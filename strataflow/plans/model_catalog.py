@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions import constants as C
 from ..operators import glm as G
+from ..operators import graphs as GR
 from ..operators import mixtures as MX
 from ..operators import naive_bayes as NB
+from ..operators import perceptron as MP
 from ..operators import trees as T
 from .catalog import prepared_trips, query
 
@@ -217,3 +219,76 @@ def q_gmm_assign(spark, sf_dir):
     r = [F.col(f"r{i}") for i in range(GMM_K)]
     out = model.respond(rows).select("event_id", *r, sum(r, F.lit(0.0)).alias("total"))
     return rounded(out, {"r0": 5, "r1": 5, "r2": 5, "total": 9})
+
+
+# ---------------------------------------------------------------- support vectors, perceptron
+@query("svc_fit")
+def q_svc_fit(spark, sf_dir):
+    """Support vector coefficients of card payment (squared hinge), and the penalised gradient there."""
+    prep = prepared_trips(spark, sf_dir)
+    x = terms(["trip_distance", "trip_duration_min", "pickup_hour", "passenger_count"], zones=True, weekend=True)
+    model = G.fit(prep, card(), x, G.HINGE, ridge=RIDGE, max_rounds=SVC_ROUNDS, tolerance=0.0)
+    return rounded(G.coefficient_table(prep, model).drop("std_error").withColumn("loss", F.lit(model.deviance / model.n)), {"coefficient": 4, "gradient": 6, "loss": 6})
+
+
+SVC_ROUNDS = 10
+MLP_ROUNDS, MLP_HIDDEN, MLP_COLUMNS = 8, 3, ("trip_distance", "trip_duration_min", "pickup_hour")
+
+
+def perceptron(spark: SparkSession, sf_dir: str):
+    prep = prepared_trips(spark, sf_dir).withColumn("card", card())
+    rows, _ = MX.standardised(prep, MLP_COLUMNS, ["event_id", "card"])
+    return rows, MP.fit(rows, ["z0", "z1", "z2"], "card", MLP_HIDDEN, MLP_ROUNDS)
+
+
+@query("mlp_rounds")
+def q_mlp_rounds(spark, sf_dir):
+    """The loss that each round of back-propagation began with."""
+    rows, model = perceptron(spark, sf_dir)
+    return rounded(MP.losses_table(rows, model), {"loss": 8})
+
+
+@query("mlp_scores")
+def q_mlp_scores(spark, sf_dir):
+    rows, model = perceptron(spark, sf_dir)
+    return rounded(rows.select("event_id", model.predict().alias("score")), {"score": 6})
+
+
+# ---------------------------------------------------------------- graphs, topics
+PIC_ROUNDS = 6
+
+
+@query("pic_values")
+def q_pic_values(spark, sf_dir):
+    """Power iteration over (zone, hour) cells: an edge between neighbouring hours of a zone, weighted by the trips in both cells."""
+    cells = prepared_trips(spark, sf_dir).groupBy(F.col("PULocationID").alias("zone"), F.col("pickup_hour").alias("hour")).agg(F.count(F.lit(1)).alias("n"))
+    name = lambda hour: F.concat_ws("-", F.col("zone").cast("string"), hour.cast("string"))
+    after = cells.select("zone", (F.col("hour") - 1).alias("hour"), F.col("n").alias("next"))
+    edges = cells.join(after, ["zone", "hour"]).select(name(F.col("hour")).alias("src"), name(F.col("hour") + 1).alias("dst"), (F.col("n") + F.col("next")).cast("double").alias("weight"))
+    return rounded(GR.power_iteration(edges, PIC_ROUNDS), {"value": 10})
+
+
+TOPIC_ROUNDS, TOPICS = 4, 2
+
+
+def topics(spark: SparkSession, sf_dir: str):
+    counts = prepared_trips(spark, sf_dir).groupBy(F.col("PULocationID").alias("doc"), F.col("pickup_hour").alias("word")).agg(F.count(F.lit(1)).alias("n"))
+    return GR.fit_topics(counts, TOPICS, TOPIC_ROUNDS)
+
+
+@query("lda_mixtures")
+def q_lda_mixtures(spark, sf_dir):
+    """Topic mixtures of zones over the hours of their trips."""
+    mixture, _, _ = topics(spark, sf_dir)
+    return rounded(mixture, {"t0": 6, "t1": 6})
+
+
+@query("lda_topics")
+def q_lda_topics(spark, sf_dir):
+    _, words, _ = topics(spark, sf_dir)
+    return rounded(words, {"t0": 6, "t1": 6})
+
+
+@query("lda_rounds")
+def q_lda_rounds(spark, sf_dir):
+    return rounded(topics(spark, sf_dir)[2], {"log_likelihood": 6})

@@ -253,3 +253,71 @@ _NAMES = {"weight": "w", "m_0": "m0", "m_1": "m1", "c_0_0": "c00", "c_0_1": "c01
 oracle("gmm_fit", GMM, "\nUNION ALL\n".join(f"SELECT {a} AS component, '{n}' AS name, round({c}_{a}, 5) + 0.0 AS value FROM e{GMM_ROUNDS}" for a in range(GMM_K) for n, c in _NAMES.items()))
 oracle("gmm_rounds", GMM, "\nUNION ALL\n".join(f"SELECT {t} AS round, round(avg(lp), 6) AS log_likelihood FROM q{t}" for t in range(GMM_ROUNDS + 1)))
 oracle("gmm_assign", GMM, f"SELECT event_id, {', '.join(f'round(r{a}, 5) AS r{a}' for a in range(GMM_K))}, round(r0 + r1 + r2, 9) AS total FROM q{GMM_ROUNDS}")
+
+# ---------------------------------------------------------------- support vectors, perceptron
+FAMILIES["hinge"] = ("0.0::DOUBLE", "eta", "CASE WHEN (2.0 * y - 1.0) * eta < 1.0 THEN 1.0 ELSE 0.0 END",
+                     "CASE WHEN (2.0 * y - 1.0) * eta < 1.0 THEN 2.0 * y - 1.0 - eta ELSE 0.0 END", "greatest(0.0, 1.0 - (2.0 * y - 1.0) * eta) ** 2")
+SVC = PREPARED + ",\n" + table("sv", CARD, LOGIT) + ",\n" + newton("sv", 8, "hinge", 10, RIDGE)
+oracle("svc_fit", SVC, f"SELECT idx, term, coefficient, gradient, round(dev / n, 6) AS loss FROM ({coefficients('sv', LOGIT_TERMS, 10, RIDGE, 4)}) c, sv_m10, sv_v")
+
+MLP_COLUMNS, MLP_ROUNDS, MLP_HIDDEN, MLP_RATE, MLP_MOMENTUM = ["trip_distance", "trip_duration_min", "pickup_hour"], 8, 3, 1.0, 0.5
+
+
+def perceptron() -> str:
+    d, hidden = len(MLP_COLUMNS), range(MLP_HIDDEN)
+    weights = [f"i{j}_{i}" for j in hidden for i in range(d + 1)] + [f"o{j}" for j in range(MLP_HIDDEN + 1)]
+    start = [math.cos(1.0 + j * (d + 1) + i) for j in hidden for i in range(d + 1)] + [0.0, *(math.cos(2.0 + j) for j in hidden)]
+    out = [scaled("z", MLP_COLUMNS), f"x AS MATERIALIZED (SELECT z.*, {CARD} AS y FROM z JOIN prepared USING (event_id))",
+           "w0 AS MATERIALIZED (SELECT " + ", ".join(f"{v!r}::DOUBLE AS {n}, 0.0::DOUBLE AS v_{n}" for n, v in zip(weights, start, strict=True)) + ")"]
+    for t in range(MLP_ROUNDS + 1):
+        h = ", ".join(f"1.0 / (1.0 + exp(-(i{j}_0 + {' + '.join(f'i{j}_{i + 1} * z{i}' for i in range(d))}))) AS h{j}" for j in hidden)
+        p = "1.0 / (1.0 + exp(-(o0 + " + " + ".join(f"o{j + 1} * h{j}" for j in hidden) + ")))"
+        out.append(f"s{t} AS MATERIALIZED (SELECT *, {p} AS p FROM (SELECT *, {h} FROM x, w{t}))")
+        back = lambda j: f"(p - y) * o{j + 1} * h{j} * (1.0 - h{j})"
+        grads = [f"avg({back(j)}{'' if i == 0 else f' * z{i - 1}'}) AS g_i{j}_{i}" for j in hidden for i in range(d + 1)] + ["avg(p - y) AS g_o0"] + [f"avg((p - y) * h{j}) AS g_o{j + 1}" for j in hidden]
+        out.append(f"g{t} AS MATERIALIZED (SELECT avg(-CASE WHEN y > 0.5 THEN ln(p) ELSE ln(1.0 - p) END) AS loss, {', '.join(grads)} FROM s{t})")
+        if t < MLP_ROUNDS:
+            move = lambda n: f"({MLP_MOMENTUM} * v_{n} - {MLP_RATE} * g_{n})"
+            out.append(f"w{t + 1} AS MATERIALIZED (SELECT {', '.join(f'{n} + {move(n)} AS {n}, {move(n)} AS v_{n}' for n in weights)} FROM w{t}, g{t})")
+    return ",\n".join(out)
+
+
+MLP = PREPARED + ",\n" + perceptron()
+oracle("mlp_rounds", MLP, "\nUNION ALL\n".join(f"SELECT {t} AS round, round(loss, 8) AS loss FROM g{t}" for t in range(MLP_ROUNDS + 1)))
+oracle("mlp_scores", MLP, f"SELECT event_id, round(p, 6) AS score FROM s{MLP_ROUNDS}")
+
+# ---------------------------------------------------------------- graphs, topics
+PIC_ROUNDS = 6
+PIC = PREPARED + """,
+cells AS MATERIALIZED (SELECT PULocationID AS zone, pickup_hour AS hour, count(*) AS n FROM prepared GROUP BY ALL),
+once AS MATERIALIZED (SELECT a.zone || '-' || a.hour AS src, b.zone || '-' || b.hour AS dst, CAST(a.n + b.n AS DOUBLE) AS w FROM cells a JOIN cells b ON b.zone = a.zone AND b.hour = a.hour + 1),
+edges AS MATERIALIZED (SELECT src, dst, w FROM once UNION ALL SELECT dst, src, w FROM once),
+degree AS MATERIALIZED (SELECT src AS node, sum(w) AS degree FROM edges GROUP BY src),
+p0 AS MATERIALIZED (SELECT node, degree / sum(degree) OVER () AS value FROM degree)""" + "".join(f""",
+p{t + 1} AS MATERIALIZED (SELECT node, v / sum(v) OVER () AS value FROM (SELECT e.src AS node, sum(w / degree * value) AS v FROM edges e JOIN degree d ON d.node = e.src JOIN p{t} p ON p.node = e.dst GROUP BY e.src))""" for t in range(PIC_ROUNDS))
+oracle("pic_values", PIC, f"SELECT node, round(value, 10) AS value, degree FROM p{PIC_ROUNDS} JOIN degree USING (node)")
+
+TOPIC_ROUNDS, TOPICS, ALPHA, BETA = 4, 2, 1.1, 1.1
+
+
+def lda() -> str:
+    t = [f"t{i}" for i in range(TOPICS)]
+    draw = lambda i: f"(1.0 + CAST(('0x' || substr(md5(doc || '|' || word || '|{i}'), 1, 8))::BIGINT AS DOUBLE) / 4294967296.0)"
+    out = ["counts AS MATERIALIZED (SELECT PULocationID AS doc, pickup_hour AS word, CAST(count(*) AS DOUBLE) AS n FROM prepared GROUP BY ALL)",
+           "voc AS MATERIALIZED (SELECT count(DISTINCT word) AS v FROM counts)",
+           f"q0 AS MATERIALIZED (SELECT doc, word, n, {', '.join(f'{c} / ({" + ".join(t)}) AS {c}' for c in t)} FROM (SELECT *, {', '.join(f'{draw(i)} AS {c}' for i, c in enumerate(t))} FROM counts))"]
+    for r in range(TOPIC_ROUNDS + 1):
+        each = lambda key: ", ".join(f"sum(n * {c}) AS {c}" for c in t)
+        out.append(f"d{r} AS MATERIALIZED (SELECT doc, {', '.join(f'({c} + {ALPHA - 1!r}) / ({" + ".join(t)} + {TOPICS * (ALPHA - 1)!r}) AS {c}' for c in t)} FROM (SELECT doc, {each('doc')} FROM q{r} GROUP BY doc))")
+        out.append(f"w{r} AS MATERIALIZED (SELECT word, {', '.join(f'({c} + {BETA - 1!r}) / (sum({c}) OVER () + v * {BETA - 1!r}) AS {c}' for c in t)} FROM (SELECT word, {each('word')} FROM q{r} GROUP BY word), voc)")
+        out.append(f"x{r} AS MATERIALIZED (SELECT doc, word, n, {', '.join(f'd.{c} * w.{c} AS {c}' for c in t)} FROM counts JOIN d{r} d USING (doc) JOIN w{r} w USING (word))")
+        if r < TOPIC_ROUNDS:
+            out.append(f"q{r + 1} AS MATERIALIZED (SELECT doc, word, n, {', '.join(f'{c} / ({" + ".join(t)}) AS {c}' for c in t)} FROM x{r})")
+    return ",\n".join(out)
+
+
+LDA = PREPARED + ",\n" + lda()
+_T = ", ".join(f"round(t{i}, 6) AS t{i}" for i in range(TOPICS))
+oracle("lda_mixtures", LDA, f"SELECT doc, {_T} FROM d{TOPIC_ROUNDS}")
+oracle("lda_topics", LDA, f"SELECT word, {_T} FROM w{TOPIC_ROUNDS}")
+oracle("lda_rounds", LDA, "\nUNION ALL\n".join(f"SELECT {r} AS round, round(sum(n * ln({' + '.join(f't{i}' for i in range(TOPICS))})) / sum(n), 6) AS log_likelihood FROM x{r}" for r in range(TOPIC_ROUNDS + 1)))
