@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .tables import ship_code
+from .tables import join_small_or_hot, ship_code, shuffle_partitions, written
 
 DEPTH = 50
 #: Bytes of the second digit; the third is the rest.
@@ -48,8 +48,8 @@ PART_BYTES = 16 << 20
 SAMPLE_TEXTS, SAMPLE_BYTES, CLASS_BITS = 1024, 32_768, 20
 #: Grams counted less than 2**RARE times there are alike: a hash order among most grams makes the longest runs.
 RARE = 5
-#: Stands for a null id: larger than every other.
-NO_ID = (1 << 62) - 1
+#: Parts in which the texts of one id are numbered.
+SPREAD = 1024
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9))
 
 
@@ -422,8 +422,7 @@ def _cut_batches(batches: Iterable[pa.RecordBatch], schema: pa.Schema, with_text
                 edges = [0, *(x for s in spans for x in s), length]
                 kept = b"".join(data[at + i:at + j] for i, j in zip(edges[::2], edges[1::2], strict=True))
                 at += length
-                own = key // texts_per_id
-                row = (None if own == NO_ID // texts_per_id - 1 else own, length, length - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
+                row = (key // texts_per_id, length, length - len(kept), len(spans), hashlib.sha256(kept).hexdigest())
                 rows.append(row + (kept,) * with_text)
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), schema.types, strict=True)], schema=schema)
 
@@ -434,17 +433,50 @@ def _prime(n: int) -> int:
     return n
 
 
-def _keyed(rows: DataFrame) -> tuple[DataFrame, int]:
-    """(key, text) and the number of keys per id: the id itself, or (id, number of the text) where ids repeat with other texts."""
+def _ranks(ids: DataFrame) -> DataFrame:
+    """(doc_id, rank): distinct ids numbered from 0 in their order, null last. Each task numbers a range of ids; the ranges' sizes give the offsets."""
+    spark = ids.sparkSession
+    order = [F.col("doc_id").isNull(), F.col("doc_id")]
+    ranged = written(ids.repartitionByRange(shuffle_partitions(spark), *order).withColumn("range", F.spark_partition_id()), "ids")
+    sizes = {r["range"]: r["count"] for r in ranged.groupBy("range").count().collect()}    # one number per range
+    starts, total = [], 0
+    for k in sorted(sizes):
+        starts.append((k, total))
+        total += sizes[k]
+    start = spark.createDataFrame(starts, "range int, start long")
+    number = F.row_number().over(Window.partitionBy("range").orderBy(*order)) - 1
+    return written(ranged.withColumn("row", number).join(F.broadcast(start), "range").select("doc_id", (F.col("start") + F.col("row")).alias("rank")), "ranks")
+
+
+def _numbers(texts: DataFrame) -> DataFrame:
+    """(doc_id, h, number): the distinct texts of an id numbered from 0, in SPREAD parts, so that an id with many texts is not one group."""
+    texts = texts.withColumn("part", F.pmod("h", F.lit(SPREAD)))
+    sizes = texts.groupBy("doc_id", "part").agg(F.count(F.lit(1)).alias("n"))
+    start = sizes.select(F.col("doc_id").alias("__id"), F.col("part").alias("__part"),
+                         (F.sum("n").over(Window.partitionBy("doc_id").orderBy("part")) - F.col("n")).alias("start"))
+    row = F.row_number().over(Window.partitionBy("doc_id", "part").orderBy("h")) - 1
+    both = texts.withColumn("row", row).join(start, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("part") == F.col("__part")))
+    return both.select("doc_id", "h", (F.col("row") + F.col("start")).alias("number"))
+
+
+def _keyed(rows: DataFrame) -> tuple[DataFrame, int, DataFrame | None]:
+    """(key, text), the number of keys per id, and for keys that are not ids themselves (doc_id, rank).
+
+    Ids that never come with two texts, and are not null, are keys. Otherwise
+    the key is the id's rank times the largest number of texts of an id, plus
+    the text's number; that product must stay below 2^63.
+    """
     texts = rows.select("doc_id", F.xxhash64("text").alias("h")).distinct()
-    most = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 1
-    own = F.coalesce(F.col("doc_id"), F.lit(NO_ID // most - 1))
-    if most == 1:
-        return rows.select(own.alias("key"), "text"), 1
-    number = texts.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"),
-                          (F.row_number().over(Window.partitionBy("doc_id").orderBy("h")) - 1).alias("number"))
-    joined = rows.join(number, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h")))
-    return joined.select((own * most + F.col("number")).alias("key"), "text"), most
+    found = texts.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("most"), F.max(F.col("doc_id").isNull()).alias("nulls")).first()
+    most = found["most"] or 1
+    if most == 1 and not found["nulls"]:
+        return rows.select(F.col("doc_id").alias("key"), "text"), 1, None
+    texts = written(texts, "texts")
+    ranks = _ranks(texts.select("doc_id").distinct())
+    of = _numbers(texts).join(ranks.withColumnRenamed("doc_id", "__id"), F.col("doc_id").eqNullSafe(F.col("__id")))
+    of = of.select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), (F.col("rank") * most + F.col("number")).alias("key"))
+    joined = rows.join(of, F.col("doc_id").eqNullSafe(F.col("__id")) & (F.xxhash64("text") == F.col("__h")))
+    return written(joined.select("key", "text"), "keyed"), most, ranks
 
 
 def suffix_dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
@@ -463,7 +495,7 @@ def suffix_dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", te
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets, parts = max(1, -(-size // bucket_bytes)), _prime(max(2, -(-size // PART_BYTES)))
-    keyed, per_id = _keyed(rows)
+    keyed, per_id, ranks = _keyed(rows)
     drawn = rows.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.xxhash64("doc_id"), "doc_id").select("text").limit(SAMPLE_TEXTS)
     classes = gram_classes(r["text"].encode() for r in drawn.toLocalIterator())
     runs = keyed.mapInArrow(lambda it: _map_batches(it, depth, buckets, classes, parts, per_id), "bucket long, runs binary")
@@ -473,5 +505,10 @@ def suffix_dedup(docs: DataFrame, depth: int = DEPTH, id_col: str = "doc_id", te
     names = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     types = [pa.int64()] * 4 + [pa.string()] + [pa.binary()] * with_text
     schema = pa.schema(list(zip([x.split()[0] for x in names.split(", ")], types, strict=True)))
-    return (texts.unionByName(ranges).repartition(parts, "part").sortWithinPartitions("part", "kind")
-            .mapInArrow(lambda it: _cut_batches(it, schema, with_text, per_id), names))
+    out = (texts.unionByName(ranges).repartition(parts, "part").sortWithinPartitions("part", "kind")
+           .mapInArrow(lambda it: _cut_batches(it, schema, with_text, per_id), names))
+    if ranks is None:
+        return out
+    out = written(out.withColumnRenamed("doc_id", "rank"), "ranked")
+    held = ranks.join(out.groupBy("rank").agg(F.count(F.lit(1)).alias("rows")), "rank")
+    return join_small_or_hot(out, held, "rank", "rows").select("doc_id", *out.columns[1:])

@@ -136,3 +136,21 @@ def test_repeated_rows_travel_once(monkeypatch):
     rows = [(7, frames.words(80, 5))] * 300
     lost, travelled, _ = reduced(monkeypatch, rows)
     assert lost == {7: 0} and travelled == len(rows[0][1]) - 49
+
+
+def test_ids_of_any_size_order_and_number(spark):
+    shared, other = frames.words(40, 61), frames.words(40, 62)
+    big = (1 << 63) - 1
+    rows = [(big, shared), (None, shared + " tail of a null"), (-big, other), (big, "x " + shared), (-5, shared + " low"), (None, other), (None, other), (-big, "y"), (big - 1, other + " z"), (7, "")]
+    df = spark.createDataFrame([(i, t, None, None, None) for i, t in rows], frames.SCHEMA)
+    got = sorted(((r["doc_id"], r["n_bytes"], r["kept"]) for r in S.suffix_dedup(df, with_text=True).collect()), key=str)
+    rank = lambda i: (i is None, i or 0)
+    want = []
+    for i, t in rows:
+        data = t.encode()
+        gone = set()
+        for p in range(len(data) - 49):
+            if any(rank(j) < rank(i) and data[p:p + 50] in u.encode() for j, u in rows):
+                gone |= set(range(p, p + 50))
+        want.append((i, len(data), bytes(b for p, b in enumerate(data) if p not in gone)))
+    assert got == sorted(want, key=str)
