@@ -1,13 +1,14 @@
 """SentencePiece encoding and decoding by a weighted finite-state transducer.
 
-A model file is compiled to three transducers over characters:
+A model file is compiled to three transducers:
 
 * the normaliser: a space becomes the space mark, and one is put before the text;
-* the pieces: a trie whose final states emit a piece's id;
+* the pieces: a trie whose accepting states emit a piece's id and return to the root;
 * byte fallback: a character that no piece stands for emits its bytes' ids.
 
-Their composition with an input is a lattice of positions; the encoding is its
-shortest path in the tropical semiring (weights add along a path, the least
+``compose(normaliser, union(pieces, fallback))`` is one transducer from raw
+characters to ids, built once. Its composition with an input is a lattice of
+positions; the encoding is its shortest path in the tropical semiring (weights add along a path, the least
 sum wins). In a unigram model a piece weighs its negated score. In a BPE model
 pieces weigh nothing and the weight lies on neighbours: a pair of pieces weighs
 0 if merging their characters by rank leaves exactly that pair, else infinity.
@@ -17,15 +18,17 @@ lattice are therefore (position, last piece); pair weights are worked out when
 first met and kept.
 
 No piece has the space mark after another character, so every path passes
-between such a pair; the stretches between are composed one at a time.
+between such a pair; the stretches between are composed one at a time, and a
+cache of stretches stands before the composition.
 """
 
 from __future__ import annotations
 
 import codecs
+import heapq
 import re
 import zlib
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from functools import lru_cache
 from itertools import chain
 
@@ -44,7 +47,9 @@ MARK = "▁"
 #: Stretches and pairs whose results a worker keeps at most (about 250 and 100 bytes each); beyond that they are worked out again.
 KEPT_STRETCHES, KEPT = 1_200_000, 400_000
 INFINITY = float("inf")
-_STRETCH = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_STRETCH = re.compile(f"[ {MARK}]*[^ {MARK}]+|[ {MARK}]+")
+#: Labels of arcs: nothing read; any character without an arc of its own, repeated, or as the ids of its UTF-8 bytes.
+EPSILON, OTHER, COPY, BYTES = "", "other", "copy", "bytes"
 # Fixed values of the model format: kinds of models and pieces.
 UNIGRAM, BPE = 1, 2
 NORMAL, USER_DEFINED, BYTE = 1, 4, 6
@@ -56,6 +61,146 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+class Transducer:
+    """States are numbers, 0 the start. ``arcs[state]``: (label read, output, weight, next state); a state may be left by several arcs.
+
+    Labels are characters, EPSILON or OTHER; outputs are characters, ids, EPSILON, COPY or BYTES.
+    """
+
+    def __init__(self) -> None:
+        self.arcs: list[list[tuple[str, str | int, float, int]]] = [[]]
+        self.final = {0}
+
+    def state(self) -> int:
+        self.arcs.append([])
+        return len(self.arcs) - 1
+
+    def add(self, state: int, read: str, out: str | int, weight: float, to: int) -> None:
+        self.arcs[state].append((read, out, weight, to))
+
+
+def normaliser(prefix: bool) -> Transducer:
+    """A mark before the text, spaces as marks, all else as it is."""
+    t = Transducer()
+    body = t.state() if prefix else 0
+    if prefix:
+        t.add(0, EPSILON, MARK, 0.0, body)
+    t.add(body, " ", MARK, 0.0, body)
+    t.add(body, OTHER, COPY, 0.0, body)
+    t.final = {body}
+    return t
+
+
+def piece_trie(ids: dict[str, int], weight: Callable[[int], float]) -> Transducer:
+    """A trie over the pieces; an accepting state emits its piece and returns to the root."""
+    t = Transducer()
+    at: dict[str, int] = {"": 0}
+    for piece, i in ids.items():
+        for k in range(1, len(piece) + 1):
+            if piece[:k] not in at:
+                at[piece[:k]] = t.state()
+                t.add(at[piece[:k - 1]], piece[k - 1], EPSILON, 0.0, at[piece[:k]])
+        t.add(at[piece], EPSILON, i, weight(i), 0)
+    return t
+
+
+def byte_fallback(weight: float) -> Transducer:
+    """Any character as its bytes."""
+    t = Transducer()
+    t.add(0, OTHER, BYTES, weight, 0)
+    return t
+
+
+def union(pieces: Transducer, fallback: Transducer) -> Transducer:
+    """Both from one start: the fallback's arcs for characters that no piece alone stands for."""
+    t = Transducer()
+    t.arcs = [list(a) for a in pieces.arcs]
+    whole = {to for state, arcs in enumerate(t.arcs) for read, _, _, to in arcs if state == 0 and read != EPSILON and any(r == EPSILON for r, *_ in t.arcs[to])}
+    for _, out, weight, _ in fallback.arcs[0]:
+        for read, _, _, to in pieces.arcs[0]:
+            if to not in whole:
+                t.add(0, read, out, weight, 0)
+        t.add(0, OTHER, out, weight, 0)
+    return t
+
+
+def compose(first: Transducer, second: Transducer) -> Transducer:
+    """The transducer that reads what ``first`` reads and writes what ``second`` makes of its output."""
+    t, number, todo = Transducer(), {(0, 0): 0}, [(0, 0)]
+
+    def to(pair: tuple[int, int]) -> int:
+        if pair not in number:
+            number[pair] = t.state()
+            todo.append(pair)
+        return number[pair]
+
+    while todo:
+        a, b = todo.pop()
+        here = number[a, b]
+        own = {read for read, *_ in first.arcs[a]}
+        for read, out, weight, then in second.arcs[b]:
+            if read == EPSILON:
+                t.add(here, EPSILON, out, weight, to((a, then)))
+        for read, middle, w1, after in first.arcs[a]:
+            if middle == EPSILON:
+                t.add(here, read, EPSILON, w1, to((after, b)))
+                continue
+            named = {r for r, *_ in second.arcs[b]}
+            for label, out, w2, then in second.arcs[b]:
+                if label == EPSILON:
+                    continue
+                if middle == COPY:       # reads any character but those with arcs of their own
+                    if label not in own or label == OTHER:
+                        t.add(here, label, out, w1 + w2, to((after, then)))
+                elif label == middle or label == OTHER and middle not in named:
+                    t.add(here, read, out if out != COPY else middle, w1 + w2, to((after, then)))
+    t.final = {n for (a, b), n in number.items() if a in first.final and b in second.final}
+    return t
+
+
+def shortest(machine: Transducer, text: str, spell: Callable[[str], Sequence[int]]) -> tuple[float, tuple[int, ...]]:
+    """Compose with an input and take the path of least weight (ties: the first found): (weight, ids). ``spell``: ids of a character's bytes."""
+    best: dict[tuple[int, int], tuple[float, tuple[int, ...]]] = {(0, 0): (0.0, ())}
+    queue = [(0, 0.0, 0, ())]
+    found = (INFINITY, ())
+    while queue:
+        at, weight, state, ids = heapq.heappop(queue)
+        if best.get((at, state), (INFINITY,))[0] < weight:
+            continue
+        if at == len(text) and state in machine.final and weight < found[0]:
+            found = (weight, ids)
+        named = {read for read, *_ in machine.arcs[state]}
+        for read, out, more, then in machine.arcs[state]:
+            if read == EPSILON:
+                stop = at
+            elif at < len(text) and (read == text[at] or read == OTHER and text[at] not in named):
+                stop = at + 1
+            else:
+                continue
+            made = ids + (() if out == EPSILON else tuple(spell(MARK if text[at] == " " else text[at])) if out == BYTES else (out,))
+            if weight + more < best.get((stop, then), (INFINITY,))[0]:
+                best[stop, then] = (weight + more, made)
+                heapq.heappush(queue, (stop, weight + more, then, made))
+    return found
+
+
+def nested(machine: Transducer, root: int) -> dict:
+    """The arcs between returns to the root as nested dicts: character -> node, "" -> the id of an accepting state. Byte fallback is left out."""
+    nodes: dict[int, dict] = {root: {}}
+    todo = [root]
+    while todo:
+        state = todo.pop()
+        for read, made, _, then in machine.arcs[state]:
+            if read == EPSILON:
+                nodes[state][""] = made
+            elif made != BYTES:
+                if then not in nodes:
+                    nodes[then] = {}
+                    todo.append(then)
+                nodes[state][read] = nodes[then]
+    return nodes[root]
+
+
 class Machine:
     """The compiled transducers of a model file."""
 
@@ -86,18 +231,21 @@ class Machine:
             raise ValueError("a piece has the space mark inside")
         self.ranks = {p: self.score[i] for p, i in self.ids.items()}
         self.simple = self.prefix and not any("\n" in p for p in self.ids)
-        self.trie: dict = {}
-        for piece, i in self.ids.items():
-            node = self.trie
-            for c in piece:
-                node = node.setdefault(c, {})
-            node[""] = i
+        weigh = (lambda i: -self.score[i]) if self.kind == UNIGRAM else (lambda i: 0.0)
+        self.transducer = compose(normaliser(self.prefix), union(piece_trie(self.ids, weigh), byte_fallback(-self.unknown if self.kind == UNIGRAM else 0.0)))
+        # the state behind the mark before the text is where every piece starts, but for that mark
+        self.trie = nested(self.transducer, self.body())
         # decoding: an ASCII byte is a character whatever stands beside it, higher bytes need their run
         self.shown = ["" if i in self.hidden else chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else p for i, p in enumerate(self.text)]
         self.high = {i for i, b in self.byte_of.items() if b >= 128}
         self.pairs: dict[int, bool] = {}
         self.stretches: dict[str, tuple[int, ...]] = {}
 
+    def body(self) -> int:
+        """The state in which the normaliser is past its prefix and no piece has begun."""
+        reads = {" ", MARK}
+        return next(i for i, arcs in enumerate(self.transducer.arcs) if reads <= {r for r, *_ in arcs} and i in self.transducer.final)
+
     def stay_apart(self, a: int, b: int) -> bool:
         """Whether a pair of neighbours has a finite weight; a = -1: whether b does after a border or a byte fallback.
 
@@ -127,6 +275,10 @@ class Machine:
         out = self.pairs[a << 20 | b] = apart and len(parts) == (2 if a >= 0 else 1)
         return out
 
+    def spell(self, char: str) -> list[int]:
+        """Ids of the bytes of a normalised character."""
+        return [self.bytes_[b] for b in char.replace(" ", MARK).encode()]
+
     def arcs(self, stretch: str, at: int) -> list[tuple[int, int]]:
         """(end, piece) of the arcs from a position, longest first; piece -1 is byte fallback."""
         out: list[tuple[int, int]] = []
@@ -179,7 +331,7 @@ class Machine:
                     if piece >= 0:
                         out.append(piece)
                     else:
-                        out += [self.bytes_[b] for b in stretch[before:stop].encode()]
+                        out += self.spell(stretch[before:stop])
                 return tuple(out)
             else:
                 path.pop()
@@ -194,7 +346,7 @@ class Machine:
             for j, piece in self.arcs(stretch, i):
                 total = weight - (self.score[piece] if piece >= 0 else self.unknown)
                 if total < best[j][0]:
-                    best[j] = (total, i, (piece,) if piece >= 0 else tuple(self.bytes_[b] for b in stretch[i].encode()))
+                    best[j] = (total, i, (piece,) if piece >= 0 else tuple(self.spell(stretch[i])))
         back, i = [], n
         while i > 0:
             _, i, ids = best[i]
@@ -206,14 +358,15 @@ class Machine:
         if not text:
             return []
         if self.simple and text[0] not in " \n" and text[-1] != " " and "  " not in text and " \n" not in text and MARK not in text:
-            # words without their mark, or with the line feed before them: every path passes there too, as no piece has one
+            # the cache in front: words without their space, or with the line feed before them; every path passes there too, as no piece has one
             words = text.replace("\n", " \n").split(" ")
             found = list(map(self.stretches.get, words))
             if None in found:
-                found = [self.stretch(w, w if w[0] == "\n" else MARK + w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
+                found = [self.stretch(w, w if w[0] == "\n" else " " + w) if ids is None else ids for w, ids in zip(words, found, strict=True)]
             return list(chain.from_iterable(found))
-        marked = (MARK if self.prefix else "") + text.replace(" ", MARK)
-        return [i for s in _STRETCH.findall(marked) for i in (self.stretches.get(s) or self.stretch(s, s))]
+        # the normaliser's prefix is what it makes of a space
+        raw = " " + text if self.prefix else text
+        return [i for s in _STRETCH.findall(raw) for i in (self.stretches.get(s) or self.stretch(s, s))]
 
     def stretch(self, name: str, stretch: str) -> tuple[int, ...]:
         """Ids of a stretch, kept under a name: itself, or without its one mark."""

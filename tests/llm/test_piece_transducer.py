@@ -66,3 +66,41 @@ def test_forgetting_changes_nothing(monkeypatch, plain):
 
 def test_empty(spark):
     assert P.encode(frames.empty(spark)).count() == 0 and P.encode(frames.clashing(spark), with_ids=False).count() == len(frames.rows())
+
+
+def small_machine():
+    pieces = {P.MARK: 0, P.MARK + "a": 1, "a": 2, "b": 3, "ab": 4, "abc": 5, "bc": 6, P.MARK + "ab": 7, "x" + "y": 8}
+    weights = [2.0, 2.5, 1.0, 1.5, 2.2, 9.0, 3.5, 3.1, 0.5]
+    return P.compose(P.normaliser(True), P.union(P.piece_trie(pieces, weights.__getitem__), P.byte_fallback(20.0))), pieces, weights
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.text(alphabet=f"abcxy é{P.MARK}", max_size=9))
+def test_composed_transducer_takes_the_least_path_of_all(text):
+    machine, pieces, weights = small_machine()
+    spell = lambda c: [100 + b for b in c.encode()]
+    normal = P.MARK + text.replace(" ", P.MARK)
+    best = [(0.0, ())] + [(float("inf"), ())] * len(normal)
+    for i in range(len(normal)):
+        options = [(p, weights[n], (n,)) for p, n in pieces.items() if normal.startswith(p, i)]
+        if normal[i] not in pieces:
+            options.append((normal[i], 20.0, tuple(spell(normal[i]))))
+        for p, w, ids in options:
+            if best[i][0] + w < best[i + len(p)][0]:
+                best[i + len(p)] = (best[i][0] + w, best[i][1] + ids)
+    weight, ids = P.shortest(machine, text, spell)
+    assert abs(weight - best[-1][0]) < 1e-9
+    by_id = {n: p for p, n in pieces.items()}
+    back = b"".join(by_id[i].encode() if i < 100 else bytes([i - 100]) for i in ids).decode()
+    assert back == normal
+
+
+def test_model_is_one_composed_transducer():
+    m = P.machine(P.default_model())
+    root = {read for read, *_ in m.transducer.arcs[m.body()]}
+    assert {" ", P.MARK, P.OTHER} <= root and m.trie[" "] == m.trie[P.MARK]
+    assert m.transducer.arcs[0] and all(out in (P.EPSILON, P.MARK) or isinstance(out, (int, str)) for arcs in m.transducer.arcs[:50] for _, out, _, _ in arcs)
+    node = m.trie
+    for c in " the":
+        node = node[c]
+    assert m.text[node[""]] == P.MARK + "the"
